@@ -1,0 +1 @@
+"""Batch only: every input is a complete table, so there is no streaming operator."""
