@@ -6,11 +6,26 @@ import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tidemark.operators import cleaning, cohorts, customers, features, rfm
+from tidemark.functions.fixedpoint import round_half_up
+from tidemark.operators import (
+    churn,
+    cleaning,
+    cohorts,
+    customers,
+    distribution,
+    features,
+    kpis,
+    ltv,
+    metrics,
+    rfm,
+    segments,
+)
 from tidemark.params import Params
-from tidemark.plans.oracle import base_relations, statement
+from tidemark.plans.oracle import all_relations, statement
 from tidemark.plans.workspace import Workspace
+from tidemark.sources.master import coerce_numeric
 from tidemark.sources.star import dirty_tables, star_tables
 
 # The analysis calendar of the test tables and their product categories.
@@ -84,6 +99,119 @@ def _analysis() -> dict[str, Callable[[Workspace], DataFrame]]:
     }
 
 
+def _rounded(df: DataFrame, **digits: int) -> DataFrame:
+    """Engines differ in the last bit of exp, variance and float sums; compare less than that."""
+    return df.withColumns({c: round_half_up(F.col(c), d) for c, d in digits.items()})
+
+
+def _features() -> dict[str, Callable[[Workspace], DataFrame]]:
+    tables = lambda w: (w.raw.items, w.clean, w.raw.products, w.p)
+    return {
+        "feat_base": lambda w: features.feat_base(w.clean, w.p),
+        "feat_velocity": lambda w: features.feat_velocity(w.clean, w.p),
+        "feat_category_share": lambda w: features.feat_category_share(*tables(w)),
+        "feat_spend_trend": lambda w: features.feat_spend_trend(w.clean, w.p),
+        "feat_meta": lambda w: features.feat_meta(w.customers, w.p),
+        "ml_features": lambda w: w.features,
+        "ml_features_alt": lambda w: features.ml_features_alt(
+            w.base.orders, w.base.items, w.raw.products, w.customers, w.p
+        ),
+        "rfm_percentile_scores": lambda w: rfm.rfm_percentile_scores(
+            w.feature_table.select("customer_id", "recency_days", "frequency", "monetary")
+        ),
+        "scaled_features": lambda w: _rounded(
+            segments.scaled_features(w.features), **{segments.z_name(c): 6 for c in segments.CLUSTER_FEATURES}
+        ),
+        "pareto_curve": lambda w: segments.pareto_curve(w.features),
+        "pareto_at_20": lambda w: segments.pareto_at_20(segments.pareto_curve(w.features)),
+        "encode_categoricals": lambda w: churn.encode_categoricals(
+            w.feature_table.select("customer_id", "city", "channel")
+        ),
+        "churn_matrix": lambda w: churn.churn_matrix(w.feature_table, w.p),
+        "stratified_split": lambda w: churn.stratified_split(w.features.select("customer_id", "is_churned"), w.p),
+        "ltv_heuristic": lambda w: _rounded(ltv.ltv_heuristic(w.features, w.p), retention_factor=9).select(
+            "customer_id",
+            "active_days",
+            "daily_purchase_rate",
+            "retention_factor",
+            "discount_ltv_haircut",
+            "ltv_heuristic",
+        ),
+    }
+
+
+def _text_master(w: Workspace) -> DataFrame:
+    """The master as it comes out of a CSV file, with bad and missing numbers."""
+    text = w.rule_master.select("customer_id", *[F.col(c).cast("string") for c in MASTER_NUMBERS])
+    return text.withColumn(
+        "monetary", F.when(F.col("customer_id") % 7 == 0, F.lit("n/a")).otherwise(F.col("monetary"))
+    ).withColumn("frequency", F.when(F.col("customer_id") % 11 != 0, F.col("frequency")))
+
+
+def _line(df: DataFrame) -> DataFrame:
+    return df.withColumn("slope", F.round("slope", 4)).withColumn("intercept", F.round("intercept", 2))
+
+
+def _master() -> dict[str, Callable[[Workspace], DataFrame]]:
+    """Over the rule-based master, so that SQL can check them."""
+    label, score = "is_churned", "churn_prob"
+    bands = lambda w: w.rule_master.withColumn("cluster_id", F.col("r_score") - 1)
+    summary = lambda w: segments.segment_summary(w.rule_master)
+    trend = distribution.linear_trend
+    tiers = lambda w: ltv.ltv_tiers(w.rule_master.select("customer_id", "ltv_heuristic"), "ltv_heuristic")
+    return {
+        "cluster_profiles": lambda w: segments.cluster_profiles(bands(w)),
+        "segment_summary": summary,
+        "segment_counts_revenue": lambda w: segments.segment_counts_revenue(w.rule_master),
+        "rfm_scatter_data": lambda w: segments.rfm_scatter_data(w.rule_master),
+        "discount_box_stats": lambda w: distribution.box_stats(w.rule_master, "discount_usage_rate", "segment_label"),
+        "discount_revenue_trend": lambda w: _line(trend(w.rule_master, "monetary", "discount_usage_rate")),
+        "discount_revenue_trend_by_segment": lambda w: _line(
+            trend(w.rule_master, "monetary", "discount_usage_rate", by="segment_label")
+        ),
+        "roc_auc": lambda w: metrics.roc_auc(w.rule_master, label, score),
+        "average_precision": lambda w: _rounded(
+            metrics.average_precision(w.rule_master, label, score), average_precision=9
+        ),
+        "roc_points": lambda w: metrics.roc_points(w.rule_master, label, score),
+        "confusion_matrix": lambda w: metrics.confusion_matrix(w.rule_master, label, "prediction"),
+        "classification_report": lambda w: metrics.classification_report(w.rule_master, label, "prediction"),
+        "churn_risk_tiers": lambda w: churn.churn_risk_tiers(w.rule_master),
+        "churn_prob_histogram": lambda w: churn.churn_prob_histogram(w.rule_master),
+        "regression_metrics": lambda w: _rounded(
+            metrics.regression_metrics(w.rule_master, "ltv_heuristic", "ltv_predicted"), mae=2, r2=6
+        ),
+        "ltv_tiers": tiers,
+        "ltv_tier_summary": lambda w: ltv.ltv_tier_summary(tiers(w), value="ltv_heuristic"),
+        "ltv_box_stats": lambda w: distribution.box_stats(
+            w.rule_master, "ltv_heuristic", "segment_label", descending=True
+        ),
+        "ltv_axis_limit": lambda w: ltv.ltv_axis_limit(w.rule_master),
+        "report_kpis": lambda w: kpis.report_kpis(w.rule_master, w.retention),
+        "report_derived_kpis": lambda w: kpis.report_derived_kpis(w.rule_master, w.retention),
+        "report_segment_table": lambda w: kpis.report_segment_table(summary(w)),
+        "customer_filter": lambda w: kpis.customer_filter(
+            w.rule_master,
+            city="All",
+            segment="Loyal Customers",
+            risk="Medium Risk",
+            min_revenue=1_000_000,
+            max_revenue=4_000_000,
+        ).select(*kpis.EXPLORER_COLUMNS),
+        "filter_domains": lambda w: kpis.filter_domains(w.rule_master),
+        "dashboard_kpis": lambda w: kpis.dashboard_kpis(w.rule_master),
+        "segment_revenue_share": lambda w: kpis.segment_revenue_share(w.rule_master),
+        "rfm_sample": lambda w: kpis.rfm_sample(w.rule_master),
+        "discount_sample": lambda w: kpis.discount_sample(w.rule_master),
+        "median_ltv_by_segment": lambda w: kpis.median_ltv_by_segment(w.rule_master),
+        "discount_by_segment": lambda w: kpis.discount_by_segment(w.rule_master),
+        "customer_explorer": lambda w: kpis.customer_explorer(w.rule_master),
+        "dashboard_segment_table": lambda w: kpis.dashboard_segment_table(w.rule_master),
+        "dataset_summary": lambda w: kpis.dataset_summary(w.datasets()),
+        "load_master": lambda w: coerce_numeric(_text_master(w)),
+    }
+
+
 # Queries that are also run over the defective tables, as <key>_dirty.
 ALSO_DIRTY = [
     "customer_stats",
@@ -96,7 +224,11 @@ ALSO_DIRTY = [
     "cohort_retention",
     "cohort_revenue",
     "cohort_retention_alt",
+    "feat_category_share",
+    "ml_features",
+    "ml_features_alt",
 ]
+MASTER_NUMBERS = ["recency_days", "frequency", "monetary", "churn_prob", "ltv_predicted"]
 # Registered key -> relation of the SQL twin, where the names differ.
 TWIN = {"flag_order_dates": "base_orders"}
 
@@ -111,7 +243,7 @@ def queries() -> dict[str, Query]:
         register(key, build, dirty=False)
     for key, build in _cleaning().items():
         register(key, build, dirty=True)
-    analysis = _analysis()
+    analysis = {**_analysis(), **_features(), **_master()}
     for key, build in analysis.items():
         register(key, build, dirty=False)
     for key in ALSO_DIRTY:
@@ -120,7 +252,7 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    plain, dirty = base_relations(TEST_PARAMS, dirty=False), base_relations(TEST_PARAMS, dirty=True)
+    plain, dirty = all_relations(TEST_PARAMS, dirty=False), all_relations(TEST_PARAMS, dirty=True)
     statements: dict[str, str] = {}
     for key in queries():
         on_dirty = key in _cleaning() or key.endswith("_dirty")

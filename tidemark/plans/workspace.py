@@ -5,9 +5,13 @@ from __future__ import annotations
 from functools import cached_property
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from tidemark.operators import cleaning, cohorts, customers, features, rfm
+from tidemark.operators import cleaning, cohorts, customers, features, ltv, rfm
+from tidemark.operators.churn import risk_tier
+from tidemark.functions.fixedpoint import round_half_up
 from tidemark.params import Params
+from tidemark.session import materialise
 from tidemark.sources import Tables
 
 
@@ -54,6 +58,31 @@ class Workspace:
     def features(self) -> DataFrame:
         return features.ml_features(self.clean, self.raw.items, self.raw.products, self.customers, self.p)
 
+    @cached_property
+    def feature_table(self) -> DataFrame:
+        """The features as a table: models read them many times."""
+        return materialise(self.features)
+
+    @cached_property
+    def rule_master(self) -> DataFrame:
+        """A customer master without fitted models.
+
+        Rule-based segment, a churn score that falls with the order count, and a run-rate
+        value stand in for K-Means, the classifier and the regressor. Every report and
+        dashboard query can be checked on it against SQL.
+        """
+        scored = rfm.with_band_scores(self.features)
+        labelled = scored.withColumn(
+            "segment_label", rfm.segment_label(F.col("r_score"), F.col("f_score"), F.col("m_score"))
+        ).withColumn("churn_prob", F.lit(5.0) / (F.col("frequency") + F.lit(5.0)))
+        valued = ltv.ltv_heuristic(labelled, self.p).withColumn(
+            "ltv_predicted", round_half_up(F.col("avg_order_value") * F.col("orders_per_month") * 12, 2)
+        )
+        graded = ltv.ltv_tiers(valued, "ltv_predicted")
+        return graded.withColumn("churn_risk_tier", risk_tier(F.col("churn_prob"), self.p)).withColumn(
+            "prediction", F.when(F.col("churn_prob") > 0.5, 1).otherwise(0)
+        )
+
     def datasets(self) -> dict[str, DataFrame]:
         """The ten datasets of the analysis, lazily, under their public names.
 
