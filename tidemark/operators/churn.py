@@ -6,7 +6,6 @@ from concurrent.futures import ThreadPoolExecutor
 from statistics import fmean, pstdev
 from typing import NamedTuple
 
-from pyspark import StorageLevel
 from pyspark.ml import Model
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
@@ -16,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.lookup import join_lookup
+from tidemark.functions.sizing import cached_for_training
 from tidemark.operators.distribution import histogram
 from tidemark.operators.features import share_column
 from tidemark.operators.ranking import with_positions
@@ -98,26 +98,38 @@ def stratified_split(df: DataFrame, p: Params, label: str = "is_churned") -> Dat
 
 
 class ChurnData(NamedTuple):
-    """The materialised training table and the columns of its two feature vectors."""
+    """All input columns plus raw_point, scaled_point, label, is_test and fold."""
 
     table: DataFrame
     names: list[str]
 
 
 def prepare(features: DataFrame, p: Params, exclude_leaky: bool = False) -> ChurnData:
-    """Plain and standardised feature vectors with split, fold and class weight.
+    """The training table. The scaler is fitted on its training part.
 
-    The scaler is fitted on the training part, as is the class balance.
+    The columns of ``features`` stay in the table, so that scoring all customers later is
+    a projection and needs no join back.
     """
     names = churn_feature_names(p, exclude_leaky)
-    split = materialise(stratified_split(churn_matrix(features, p, exclude_leaky), p))
-    scaled = z_scores(split, names, fit_on=split.filter("is_test = 0"))
-    plain = VectorAssembler(inputCols=names, outputCol="raw_point")
-    standard = VectorAssembler(inputCols=[z_name(c) for c in names], outputCol="scaled_point")
-    table = standard.transform(plain.transform(scaled)).select(
-        "customer_id", "raw_point", "scaled_point", F.col("is_churned").cast("double").alias("label"), "is_test", "fold"
+    inputs = [f"_x_{c}" for c in names]
+    filled = encode_categoricals(features).withColumns(
+        {x: F.coalesce(F.col(c), F.lit(0)).cast("double") for x, c in zip(inputs, names)}
+    )
+    split = materialise(stratified_split(filled, p))
+    plain = VectorAssembler(inputCols=inputs, outputCol="raw_point")
+    standard = VectorAssembler(inputCols=[z_name(x) for x in inputs], outputCol="scaled_point")
+    table = standard.transform(plain.transform(z_scores(split, inputs, fit_on=split.filter("is_test = 0"))))
+    return ChurnData(
+        table.select(
+            *features.columns,
+            "raw_point",
+            "scaled_point",
+            F.col("is_churned").cast("double").alias("label"),
+            "is_test",
+            "fold",
+        ),
+        names,
     )
-    return ChurnData(materialise(table), names)
 
 
 def _balanced(train: DataFrame) -> DataFrame:
@@ -164,9 +176,14 @@ def _fit(name: str, train: DataFrame, rows: int, p: Params) -> Model:
     return trainer.fit(train)
 
 
+def _training(table: DataFrame, rows: int) -> DataFrame:
+    return cached_for_training(_balanced(table.select("raw_point", "scaled_point", "label")), rows)
+
+
 def train_models(data: ChurnData, p: Params, only: list[str] | None = None) -> dict[str, Model]:
-    train = _balanced(data.table.filter("is_test = 0")).persist(StorageLevel.MEMORY_AND_DISK)
-    rows = train.count()
+    part = data.table.filter("is_test = 0")
+    rows = part.count()
+    train = _training(part, rows)
     names = only or [LOGISTIC, FOREST, BOOSTED]
     with ThreadPoolExecutor(len(names)) as pool:  # independent fits share the cluster
         models = list(pool.map(lambda name: _fit(name, train, rows, p), names))
@@ -185,12 +202,15 @@ def _auc(model: Model, table: DataFrame) -> float:
 def churn_cv(data: ChurnData, p: Params, only: list[str] | None = None) -> DataFrame:
     """Mean and deviation of the AUC over stratified folds, one row per model."""
     names = only or [LOGISTIC, FOREST, BOOSTED]
-    table = data.table.persist(StorageLevel.MEMORY_AND_DISK)
+    columns = data.table.select("raw_point", "scaled_point", "label", "fold")
+    table = cached_for_training(columns, columns.count())
 
     def one(task: tuple[str, int]) -> float:
         name, fold = task
-        train = _balanced(table.filter(F.col("fold") != fold)).persist(StorageLevel.MEMORY_AND_DISK)
-        auc = _auc(_fit(name, train, train.count(), p), table.filter(F.col("fold") == fold))
+        part = table.filter(F.col("fold") != fold)
+        rows = part.count()
+        train = _training(part, rows)
+        auc = _auc(_fit(name, train, rows, p), table.filter(F.col("fold") == fold))
         train.unpersist()
         return auc
 
@@ -240,10 +260,13 @@ def risk_tier(score: Column, p: Params) -> Column:
     return F.when(score <= low, RISK_TIERS[0]).when(score <= high, RISK_TIERS[1]).when(score > high, RISK_TIERS[2])
 
 
-def churn_scored(features: DataFrame, data: ChurnData, model: Model, p: Params) -> DataFrame:
-    """Features plus churn_prob and churn_risk_tier for every customer."""
-    scores = _scored(model, data.table).select("customer_id", "churn_prob")
-    return features.join(scores, "customer_id").withColumn("churn_risk_tier", risk_tier(F.col("churn_prob"), p))
+def churn_scored(data: ChurnData, model: Model, p: Params) -> DataFrame:
+    """The input columns plus churn_prob and churn_risk_tier for every customer."""
+    added = ["raw_point", "scaled_point", "label", "is_test", "fold"]
+    kept = [c for c in data.table.columns if c not in added]
+    return _scored(model, data.table).select(*kept, "churn_prob").withColumn(
+        "churn_risk_tier", risk_tier(F.col("churn_prob"), p)
+    )
 
 
 def churn_risk_tiers(df: DataFrame, tier: str = "churn_risk_tier") -> DataFrame:

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import GBTRegressionModel, GBTRegressor
@@ -10,9 +9,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.fixedpoint import cents, quotient, ratio, round_half_up, wide_sum
+from tidemark.functions.sizing import cached_for_training
 from tidemark.operators.distribution import QUARTILES
 from tidemark.operators.features import share_column
-from tidemark.operators.ranking import quantiles
+from tidemark.operators.ranking import column_quantiles, quantiles
 from tidemark.params import Params
 from tidemark.session import materialise
 
@@ -73,7 +73,7 @@ def train_ltv_model(valued: DataFrame, p: Params) -> tuple[GBTRegressionModel, l
     """(model, features, MAE, R squared); the error is measured on the held-out customers."""
     names = _feature_names(valued, p)
     data = _assembled(valued, names).withColumn("_test", in_test_part(p))
-    data = data.select("_ltv_point", "ltv_heuristic", "_test").persist(StorageLevel.MEMORY_AND_DISK)
+    data = cached_for_training(data.select("_ltv_point", "ltv_heuristic", "_test"), valued.count())
     trainer = GBTRegressor(
         featuresCol="_ltv_point",
         labelCol="ltv_heuristic",
@@ -138,5 +138,5 @@ def ltv_tier_summary(df: DataFrame, value: str = "ltv_predicted", tier: str = "l
 
 
 def ltv_axis_limit(df: DataFrame, first: str = "ltv_heuristic", second: str = "ltv_predicted") -> DataFrame:
-    tops = [quantiles(df, c, {"p99": 0.99}).select("p99") for c in (first, second)]
-    return tops[0].select(F.greatest(F.col("p99"), tops[1].scalar()).alias("axis_limit"))
+    tops = column_quantiles(df, [first, second], {"p99": 0.99})
+    return tops.select(F.greatest(F.col(f"{first}.p99"), F.col(f"{second}.p99")).alias("axis_limit"))

@@ -125,3 +125,16 @@ def quantiles(df: DataFrame, value: str, probs: dict[str, float], by: list[str]
             for n in probs
         ],
     )
+
+
+def column_quantiles(df: DataFrame, columns: list[str], probs: dict[str, float]) -> DataFrame:
+    """Quantiles of several columns in one pass: one row, one struct of ``probs`` per column."""
+    pairs = [F.struct(F.lit(c).alias("_column"), F.col(c).cast("double").alias("_value")) for c in columns]
+    long = df.select(F.explode(F.array(*pairs)).alias("_pair")).select("_pair.*")
+    found = quantiles(long, "_value", probs, by=["_column"])
+    return found.agg(
+        *[
+            F.struct(*[F.max(F.when(F.col("_column") == c, F.col(name))).alias(name) for name in probs]).alias(c)
+            for c in columns
+        ]
+    )

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.fixedpoint import cents, from_cents, ratio, wide_sum
 from tidemark.operators.customers import order_totals
-from tidemark.operators.ranking import quantiles, with_ntile
+from tidemark.operators.ranking import column_quantiles, with_ntile
 from tidemark.params import Params
 
 # Score bands and segment names.
@@ -38,26 +38,20 @@ def rfm_raw(clean: DataFrame, p: Params) -> DataFrame:
     )
 
 
-def recency_score(days: Column) -> Column:
-    score = F.lit(1)
-    for limit, points in reversed(RECENCY_BANDS):
-        score = F.when(days <= limit, points).otherwise(score)
-    return score
+def recency_score(days: str) -> Column:
+    bands = " ".join(f"WHEN {days} <= {limit} THEN {points}" for limit, points in RECENCY_BANDS)
+    return F.expr(f"CASE {bands} ELSE 1 END")
 
 
-def frequency_score(orders: Column) -> Column:
-    score = F.lit(1)
-    for limit, points in reversed(FREQUENCY_BANDS):
-        score = F.when(orders >= limit, points).otherwise(score)
-    return score
+def frequency_score(orders: str) -> Column:
+    bands = " ".join(f"WHEN {orders} >= {limit} THEN {points}" for limit, points in FREQUENCY_BANDS)
+    return F.expr(f"CASE {bands} ELSE 1 END")
 
 
 def with_band_scores(df: DataFrame) -> DataFrame:
     """Add r, f and m scores to any frame with customer_id and the three raw values."""
     tiled = with_ntile(df, [F.col("monetary"), F.col("customer_id")], 5, "m_score")
-    return tiled.withColumn("r_score", recency_score(F.col("recency_days"))).withColumn(
-        "f_score", frequency_score(F.col("frequency"))
-    )
+    return tiled.withColumns({"r_score": recency_score("recency_days"), "f_score": frequency_score("frequency")})
 
 
 def rfm_scores(raw: DataFrame) -> DataFrame:
@@ -75,17 +69,17 @@ def rfm_scores(raw: DataFrame) -> DataFrame:
     )
 
 
-def segment_label(r: Column, f: Column, m: Column) -> Column:
+def segment_label(r: str = "r_score", f: str = "f_score", m: str = "m_score") -> Column:
     """The first rule that matches names the segment."""
-    label = F.lit(OTHER_SEGMENT)
-    for name, *bands in reversed(SEGMENT_RULES):
-        inside = [score.between(low, high) for score, (low, high) in zip((r, f, m), bands)]
-        label = F.when(inside[0] & inside[1] & inside[2], name).otherwise(label)
-    return label
+    rules = []
+    for name, *bands in SEGMENT_RULES:
+        inside = [f"{score} BETWEEN {low} AND {high}" for score, (low, high) in zip((r, f, m), bands)]
+        rules.append(f"WHEN {' AND '.join(inside)} THEN '{name}'")
+    return F.expr(f"CASE {' '.join(rules)} ELSE '{OTHER_SEGMENT}' END")
 
 
 def rfm_segments(scores: DataFrame) -> DataFrame:
-    return scores.withColumn("rfm_segment", segment_label(F.col("r_score"), F.col("f_score"), F.col("m_score")))
+    return scores.withColumn("rfm_segment", segment_label())
 
 
 def rfm_segment_summary(segments: DataFrame) -> DataFrame:
@@ -100,29 +94,28 @@ def rfm_segment_summary(segments: DataFrame) -> DataFrame:
     )
 
 
-def _percentile_score(value: str, breaks: str, ascending: bool) -> Column:
+def _percentile_score(value: str, ascending: bool) -> Column:
     score = F.lit(5 if ascending else 1)
     for position, name in reversed(list(enumerate(PERCENTILES))):
         points = position + 1 if ascending else 5 - position
-        score = F.when(F.col(value) <= F.col(f"{breaks}.{name}"), points).otherwise(score)
+        score = F.when(F.col(value) <= F.col(f"_breaks.{value}.{name}"), points).otherwise(score)
     return score
 
 
 def rfm_percentile_scores(features: DataFrame) -> DataFrame:
     """Scores 1-5 between the 20/40/60/80 percentiles, bins closed on the right.
 
-    Tied break points leave a bin empty instead of failing. The break points are scalar
-    subqueries: one row each, whatever the size of the table.
+    Tied break points leave a bin empty instead of failing. The break points are one
+    scalar subquery: one row, whatever the size of the table.
     """
-    scored = features
-    for value in ("recency_days", "frequency", "monetary"):
-        breaks = quantiles(features, value, PERCENTILES)
-        scored = scored.withColumn(f"_{value}", breaks.select(F.struct(*PERCENTILES)).scalar())
-    scored = (
-        scored.withColumn("r_score", _percentile_score("recency_days", "_recency_days", ascending=False))
-        .withColumn("f_score", _percentile_score("frequency", "_frequency", ascending=True))
-        .withColumn("m_score", _percentile_score("monetary", "_monetary", ascending=True))
-        .withColumn("rfm_total", F.col("r_score") + F.col("f_score") + F.col("m_score"))
-        .withColumn("rfm_avg", F.col("rfm_total") / F.lit(3))
+    values = ["recency_days", "frequency", "monetary"]
+    breaks = column_quantiles(features, values, PERCENTILES).select(F.struct(*values)).scalar()
+    scored = features.withColumn("_breaks", breaks).withColumns(
+        {
+            "r_score": _percentile_score("recency_days", ascending=False),
+            "f_score": _percentile_score("frequency", ascending=True),
+            "m_score": _percentile_score("monetary", ascending=True),
+        }
     )
-    return scored.drop("_recency_days", "_frequency", "_monetary")
+    total = F.col("r_score") + F.col("f_score") + F.col("m_score")
+    return scored.withColumns({"rfm_total": total, "rfm_avg": total / F.lit(3)}).drop("_breaks")

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import VectorAssembler
@@ -10,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.fixedpoint import cents, from_cents, quotient, ratio, scaled, wide_sum
+from tidemark.functions.sizing import cached_for_training
 from tidemark.operators.ranking import with_positions
 from tidemark.params import Params
 
@@ -54,13 +56,13 @@ def z_scores(df: DataFrame, columns: list[str], fit_on: DataFrame | None = None)
             *[F.stddev_pop(value[c]).alias(f"std_{c}") for c in columns],
         ).alias("moments")
     )
-    scaled_df = df.withColumn("_moments", moments.scalar())
-    for c in columns:
-        std = F.col(f"_moments.std_{c}")
-        scaled_df = scaled_df.withColumn(
-            z_name(c), (value[c] - F.col(f"_moments.mean_{c}")) / F.when(std == 0, F.lit(1.0)).otherwise(std)
-        )
-    return scaled_df.drop("_moments")
+
+    def z(column: str) -> Column:
+        std = F.col(f"_moments.std_{column}")
+        return (value[column] - F.col(f"_moments.mean_{column}")) / F.when(std == 0, F.lit(1.0)).otherwise(std)
+
+    with_moments = df.withColumn("_moments", moments.scalar())
+    return with_moments.withColumns({z_name(c): z(c) for c in columns}).drop("_moments")
 
 
 def scaled_features(features: DataFrame) -> DataFrame:
@@ -69,21 +71,24 @@ def scaled_features(features: DataFrame) -> DataFrame:
 
 def _points(features: DataFrame) -> DataFrame:
     columns = [z_name(c) for c in CLUSTER_FEATURES]
-    return VectorAssembler(inputCols=columns, outputCol="_point").transform(scaled_features(features))
+    assembler = VectorAssembler(inputCols=columns, outputCol="_point")
+    return assembler.transform(z_scores(features, CLUSTER_FEATURES)).drop(*columns)
 
 
 def _best_kmeans(points: DataFrame, k: int, iterations: int, restarts: int, seed: int):
     """The cheapest of several seeded runs; the estimator itself has no restarts."""
-    runs = [
-        KMeans(k=k, maxIter=iterations, seed=seed + n, featuresCol="_point", predictionCol="cluster_id").fit(points)
-        for n in range(restarts)
-    ]
-    return min(runs, key=lambda model: model.summary.trainingCost)
+
+    def run(n: int):
+        trainer = KMeans(k=k, maxIter=iterations, seed=seed + n, featuresCol="_point", predictionCol="cluster_id")
+        return trainer.fit(points)
+
+    with ThreadPoolExecutor(restarts) as pool:  # independent runs share the cluster
+        return min(pool.map(run, range(restarts)), key=lambda model: model.summary.trainingCost)
 
 
 def kmeans_k_sweep(features: DataFrame, p: Params, restarts: int = SWEEP_RESTARTS) -> DataFrame:
     """Inertia and silhouette (squared Euclidean) for k = 3..8."""
-    points = _points(features).select("_point").persist(StorageLevel.MEMORY_AND_DISK)
+    points = cached_for_training(_points(features).select("_point"), features.count())
     judge = ClusteringEvaluator(featuresCol="_point", predictionCol="cluster_id")
     rows = []
     for k in SWEEP:
@@ -144,14 +149,16 @@ def cluster_profiles(clustered: DataFrame) -> DataFrame:
 def kmeans_segments(features: DataFrame, p: Params) -> DataFrame:
     """Features plus cluster_id, segment_label and segment_color.
 
-    ``features`` is read several times: pass a materialised table.
+    ``features`` is read several times: pass a materialised table. The assignment is a
+    projection of it, and the label lookup has one row per cluster: nothing is shuffled.
     """
-    points = _points(features).persist(StorageLevel.MEMORY_AND_DISK)
-    model = _best_kmeans(points.select("_point"), p.n_clusters, p.kmeans_iterations, p.kmeans_restarts, p.seed)
-    assigned = model.transform(points).select("customer_id", "cluster_id")
-    clustered = features.join(assigned, "customer_id")
+    points = _points(features)
+    training = cached_for_training(points.select("_point"), features.count())
+    model = _best_kmeans(training, p.n_clusters, p.kmeans_iterations, p.kmeans_restarts, p.seed)
+    training.unpersist()
+    clustered = model.transform(points).drop("_point")
     labels = cluster_profiles(clustered).select("cluster_id", "segment_label", "segment_color")
-    return clustered.join(F.broadcast(labels), "cluster_id")  # one row per cluster
+    return clustered.join(F.broadcast(labels), "cluster_id").select(*features.columns, *labels.columns)
 
 
 def segment_summary(df: DataFrame, label: str = "segment_label") -> DataFrame:

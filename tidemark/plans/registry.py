@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,6 +25,7 @@ from tidemark.operators import (
 )
 from tidemark.params import Params
 from tidemark.plans.oracle import all_relations, statement
+from tidemark.plans.pipeline import run_analysis
 from tidemark.plans.workspace import Workspace
 from tidemark.sources.master import coerce_numeric
 from tidemark.sources.star import dirty_tables, star_tables
@@ -36,6 +38,11 @@ TEST_PARAMS = Params(
     categories=("economy", "large", "medium", "promo", "small", "standard"),
 )
 
+# Model sizes of the registered queries; Params holds the documented ones.
+QUICK_PARAMS = replace(
+    TEST_PARAMS, kmeans_restarts=2, kmeans_iterations=100, forest_trees=40, churn_rounds=15, ltv_rounds=30
+)
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -212,6 +219,43 @@ def _master() -> dict[str, Callable[[Workspace], DataFrame]]:
     }
 
 
+def _models() -> dict[str, Callable[[Workspace], DataFrame]]:
+    """Fitted models: no SQL twin. Smaller than the documented sizes, over all customers."""
+    fit = churn.train_models
+
+    def prepared(w: Workspace) -> churn.ChurnData:
+        return churn.prepare(w.feature_table, w.p)
+
+    def predictions(w: Workspace, name: str) -> DataFrame:
+        data = prepared(w)
+        return churn.test_predictions(data, fit(data, w.p, [name])[name])
+
+    def scored(w: Workspace) -> DataFrame:
+        data = prepared(w)
+        models = fit(data, w.p)
+        return churn.churn_scored(data, models[churn.model_scores(data, models)[0][0]], w.p)
+
+    def with_models(w: Workspace, report: Callable) -> DataFrame:
+        data = prepared(w)
+        return report(data, fit(data, w.p))
+
+    valued = lambda w: ltv.ltv_heuristic(w.feature_table, w.p)
+    return {
+        "kmeans_k_sweep": lambda w: segments.kmeans_k_sweep(w.feature_table, w.p, restarts=w.p.kmeans_restarts),
+        "kmeans_segments": lambda w: segments.kmeans_segments(w.feature_table, w.p),
+        "churn_lr": lambda w: predictions(w, churn.LOGISTIC),
+        "churn_rf": lambda w: predictions(w, churn.FOREST),
+        "churn_gbt": lambda w: predictions(w, churn.BOOSTED),
+        "churn_cv": lambda w: churn.churn_cv(prepared(w), w.p),
+        "feature_importance": lambda w: with_models(w, churn.feature_importance),
+        "best_model": lambda w: with_models(w, churn.best_model),
+        "churn_scored": scored,
+        "ltv_model": lambda w: ltv.ltv_model(valued(w), w.p),
+        "ltv_scored": lambda w: ltv.ltv_scored(valued(w), w.p),
+        "customer_master": lambda w: run_analysis(w, cross_validate=False).master,
+    }
+
+
 # Queries that are also run over the defective tables, as <key>_dirty.
 ALSO_DIRTY = [
     "customer_stats",
@@ -236,8 +280,8 @@ TWIN = {"flag_order_dates": "base_orders"}
 def queries() -> dict[str, Query]:
     registered: dict[str, Query] = {}
 
-    def register(key: str, build: Callable[[Workspace], DataFrame], dirty: bool) -> None:
-        registered[key] = lambda spark, sf_dir: build(workspace(spark, sf_dir, dirty))
+    def register(key: str, build: Callable[[Workspace], DataFrame], dirty: bool, p: Params = TEST_PARAMS) -> None:
+        registered[key] = lambda spark, sf_dir: build(workspace(spark, sf_dir, dirty, p))
 
     for key, build in _sources().items():
         register(key, build, dirty=False)
@@ -248,6 +292,8 @@ def queries() -> dict[str, Query]:
         register(key, build, dirty=False)
     for key in ALSO_DIRTY:
         register(f"{key}_dirty", analysis[key], dirty=True)
+    for key, build in _models().items():
+        register(key, build, dirty=False, p=QUICK_PARAMS)
     return registered
 
 
@@ -255,6 +301,8 @@ def oracle_sql() -> dict[str, str]:
     plain, dirty = all_relations(TEST_PARAMS, dirty=False), all_relations(TEST_PARAMS, dirty=True)
     statements: dict[str, str] = {}
     for key in queries():
+        if key in _models():
+            continue
         on_dirty = key in _cleaning() or key.endswith("_dirty")
         name = key.removesuffix("_dirty")
         relation = TWIN.get(name, name)

@@ -71,16 +71,18 @@ class Workspace:
         value stand in for K-Means, the classifier and the regressor. Every report and
         dashboard query can be checked on it against SQL.
         """
-        scored = rfm.with_band_scores(self.features)
-        labelled = scored.withColumn(
-            "segment_label", rfm.segment_label(F.col("r_score"), F.col("f_score"), F.col("m_score"))
-        ).withColumn("churn_prob", F.lit(5.0) / (F.col("frequency") + F.lit(5.0)))
+        labelled = rfm.with_band_scores(self.features).withColumns(
+            {"segment_label": rfm.segment_label(), "churn_prob": F.expr("5D / (frequency + 5D)")}
+        )
         valued = ltv.ltv_heuristic(labelled, self.p).withColumn(
             "ltv_predicted", round_half_up(F.col("avg_order_value") * F.col("orders_per_month") * 12, 2)
         )
         graded = ltv.ltv_tiers(valued, "ltv_predicted")
-        return graded.withColumn("churn_risk_tier", risk_tier(F.col("churn_prob"), self.p)).withColumn(
-            "prediction", F.when(F.col("churn_prob") > 0.5, 1).otherwise(0)
+        return graded.withColumns(
+            {
+                "churn_risk_tier": risk_tier(F.col("churn_prob"), self.p),
+                "prediction": F.expr("CASE WHEN churn_prob > 0.5 THEN 1 ELSE 0 END"),
+            }
         )
 
     def datasets(self) -> dict[str, DataFrame]:
