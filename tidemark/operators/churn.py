@@ -42,6 +42,7 @@ RISK_TIERS = ("Low Risk", "Medium Risk", "High Risk")
 HISTOGRAM_BINS = 40
 TOP_FEATURES = 15
 INVERSE_REGULARISATION = 0.5
+TRAINING_COLUMNS = ["raw_point", "scaled_point", "label", "is_test", "fold"]
 
 
 def encode_categoricals(features: DataFrame, columns: list[str] = CATEGORICAL_FEATURES) -> DataFrame:
@@ -98,9 +99,14 @@ def stratified_split(df: DataFrame, p: Params, label: str = "is_churned") -> Dat
 
 
 class ChurnData(NamedTuple):
-    """All input columns plus raw_point, scaled_point, label, is_test and fold."""
+    """``table``: all input columns plus the two vectors, label, is_test and fold.
+
+    ``training`` holds the latter only, cached: every fit and fold filters it, and the
+    estimators keep what they derive from it themselves.
+    """
 
     table: DataFrame
+    training: DataFrame
     names: list[str]
 
 
@@ -119,17 +125,9 @@ def prepare(features: DataFrame, p: Params, exclude_leaky: bool = False) -> Chur
     plain = VectorAssembler(inputCols=inputs, outputCol="raw_point")
     standard = VectorAssembler(inputCols=[z_name(x) for x in inputs], outputCol="scaled_point")
     table = standard.transform(plain.transform(z_scores(split, inputs, fit_on=split.filter("is_test = 0"))))
-    return ChurnData(
-        table.select(
-            *features.columns,
-            "raw_point",
-            "scaled_point",
-            F.col("is_churned").cast("double").alias("label"),
-            "is_test",
-            "fold",
-        ),
-        names,
-    )
+    table = table.withColumn("label", F.col("is_churned").cast("double")).select(*features.columns, *TRAINING_COLUMNS)
+    training = cached_for_training(table.select(*TRAINING_COLUMNS), split.count())
+    return ChurnData(table, training, names)
 
 
 def _balanced(train: DataFrame) -> DataFrame:
@@ -176,19 +174,15 @@ def _fit(name: str, train: DataFrame, rows: int, p: Params) -> Model:
     return trainer.fit(train)
 
 
-def _training(table: DataFrame, rows: int) -> DataFrame:
-    return cached_for_training(_balanced(table.select("raw_point", "scaled_point", "label")), rows)
+def _fit_on(name: str, part: DataFrame, p: Params) -> Model:
+    return _fit(name, _balanced(part), part.count(), p)
 
 
 def train_models(data: ChurnData, p: Params, only: list[str] | None = None) -> dict[str, Model]:
-    part = data.table.filter("is_test = 0")
-    rows = part.count()
-    train = _training(part, rows)
+    part = data.training.filter("is_test = 0")
     names = only or [LOGISTIC, FOREST, BOOSTED]
     with ThreadPoolExecutor(len(names)) as pool:  # independent fits share the cluster
-        models = list(pool.map(lambda name: _fit(name, train, rows, p), names))
-    train.unpersist()
-    return dict(zip(names, models))
+        return dict(zip(names, pool.map(lambda name: _fit_on(name, part, p), names)))
 
 
 def _scored(model: Model, table: DataFrame) -> DataFrame:
@@ -202,32 +196,26 @@ def _auc(model: Model, table: DataFrame) -> float:
 def churn_cv(data: ChurnData, p: Params, only: list[str] | None = None) -> DataFrame:
     """Mean and deviation of the AUC over stratified folds, one row per model."""
     names = only or [LOGISTIC, FOREST, BOOSTED]
-    columns = data.table.select("raw_point", "scaled_point", "label", "fold")
-    table = cached_for_training(columns, columns.count())
+    fold = F.col("fold")
 
     def one(task: tuple[str, int]) -> float:
-        name, fold = task
-        part = table.filter(F.col("fold") != fold)
-        rows = part.count()
-        train = _training(part, rows)
-        auc = _auc(_fit(name, train, rows, p), table.filter(F.col("fold") == fold))
-        train.unpersist()
-        return auc
-
-    tasks = [(name, fold) for name in names for fold in range(p.cv_folds)]
-    with ThreadPoolExecutor(p.cv_folds) as pool:
+        name, number = task
+        model = _fit_on(name, data.training.filter(fold != number), p)
+        return _auc(model, data.training.filter(fold == number))
+
+    tasks = [(name, number) for name in reversed(names) for number in range(p.cv_folds)]  # the longest first
+    with ThreadPoolExecutor(p.parallel_fits) as pool:
         scores = list(pool.map(one, tasks))
-    table.unpersist()
     rows = []
     for name in names:
         own = [score for (task, _), score in zip(tasks, scores) if task == name]
         rows.append((name, fmean(own), pstdev(own)))
-    return table.sparkSession.createDataFrame(rows, "model_name string, mean_auc double, std_auc double")
+    return data.table.sparkSession.createDataFrame(rows, "model_name string, mean_auc double, std_auc double")
 
 
 def model_scores(data: ChurnData, models: dict[str, Model]) -> list[tuple[str, float]]:
     """(model, AUC on the held-out customers), best first; the earlier model wins a tie."""
-    held_out = data.table.filter("is_test = 1")
+    held_out = data.training.filter("is_test = 1")
     return sorted(((name, _auc(model, held_out)) for name, model in models.items()), key=lambda s: -s[1])
 
 
@@ -262,8 +250,7 @@ def risk_tier(score: Column, p: Params) -> Column:
 
 def churn_scored(data: ChurnData, model: Model, p: Params) -> DataFrame:
     """The input columns plus churn_prob and churn_risk_tier for every customer."""
-    added = ["raw_point", "scaled_point", "label", "is_test", "fold"]
-    kept = [c for c in data.table.columns if c not in added]
+    kept = [c for c in data.table.columns if c not in TRAINING_COLUMNS]
     return _scored(model, data.table).select(*kept, "churn_prob").withColumn(
         "churn_risk_tier", risk_tier(F.col("churn_prob"), p)
     )

@@ -92,11 +92,16 @@ def feat_spend_trend(clean: DataFrame, p: Params) -> DataFrame:
 
 
 def _category_listing(products: DataFrame, p: Params) -> DataFrame:
-    """One row per product: how often it is listed, in all and in each category."""
+    """One row per product: how often it is listed, in all and in each category.
+
+    Grouped under a derived key as well, so that the product join shuffles both sides
+    itself and AQE can split a product that nearly every customer buys.
+    """
     hits = [F.sum(F.when(F.col("category") == c, 1).otherwise(0)).alias(f"_in_{i}") for i, c in enumerate(p.categories)]
-    return products.groupBy("product_id").agg(
+    listing = products.groupBy(F.xxhash64("product_id").alias("_slot"), "product_id").agg(
         F.count(F.lit(1)).alias("listed"), F.count("category").alias("categorised"), *hits
     )
+    return listing.drop("_slot")
 
 
 def feat_category_share(items: DataFrame, clean: DataFrame, products: DataFrame, p: Params) -> DataFrame:

@@ -29,5 +29,6 @@ class Params:
     churn_rounds: int = 200
     ltv_rounds: int = 300
     cv_folds: int = 5
+    parallel_fits: int = 5
     test_fraction: float = 0.20
     seed: int = 42

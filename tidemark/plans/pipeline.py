@@ -51,6 +51,7 @@ def run_analysis(w: Workspace, cross_validate: bool = True) -> Analysis:
         comparison = folds.result() if folds else None
 
     ranking = churn.model_scores(data, models)
+    data.training.unpersist()
     scored = churn.churn_scored(data, models[ranking[0][0]], p)
     valued = materialise(ltv.predict_ltv(ltv.ltv_heuristic(scored, p), model, names))
     return Analysis(
