@@ -86,6 +86,7 @@ def test_aqe_splits_the_hot_order(joins, build, spark, hot_tables):
     """With broadcasting off, the join of items to orders runs as a skewed join."""
     folder, _ = hot_tables
     w = registry.workspace(spark, folder)
+    w.raw.items.repartition(8).write.mode("overwrite").parquet(f"{folder}/eight_files")
     settings = {
         "spark.sql.autoBroadcastJoinThreshold": "-1",
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1KB",
@@ -95,7 +96,7 @@ def test_aqe_splits_the_hot_order(joins, build, spark, hot_tables):
     for name, value in settings.items():
         spark.conf.set(name, value)
     try:
-        items = w.raw.items.repartition(8)  # eight map outputs, as from a table of many files
+        items = spark.read.parquet(f"{folder}/eight_files")
         df = build(w, items)
         df.collect()
         plan = df._jdf.queryExecution().executedPlan().toString()
