@@ -23,7 +23,7 @@ def folder(tmp_path):
     return str(tmp_path)
 
 
-def test_reference_shaped_csv_end_to_end(spark, folder):
+def test_csv_tables_end_to_end(spark, folder):
     datasets = Workspace(read_csv_tables(spark, folder), Params()).datasets()
     assert list(datasets) == [
         "customers", "orders", "order_items", "products", "customer_stats",
