@@ -48,6 +48,12 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
     context.setCheckpointDir(folder)
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that driver and executors share, for tables written between steps."""
+    ensure_checkpoint_dir(spark)
+    return spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+
+
 def materialise(df: DataFrame) -> DataFrame:
     """Write ``df`` to the reliable checkpoint folder and continue from there."""
     ensure_checkpoint_dir(df.sparkSession)
