@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from tidemark.llm import decontaminate, mixing, quality_rules, url_filter
+from tidemark.llm import decontaminate, license_scan, line_dedup, mixing, quality_rules, secret_scan, url_filter
 
 QUERIES = {
+    "op2_secret_scan": secret_scan.op2_secret_scan,
+    "op3_license_scan": license_scan.op3_license_scan,
     "op4_mix_sources": mixing.op4_mix_sources,
+    "op5_line_dedup": line_dedup.op5_line_dedup,
     "op6_quality_rules": quality_rules.op6_quality_rules,
     "op8_url_filter": url_filter.op8_url_filter,
     "op9_decontaminate": decontaminate.op9_decontaminate,
