@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tidemark.llm import decontaminate, license_scan, line_dedup, mixing, quality_rules, secret_scan, url_filter
+from tidemark.llm import decontaminate, license_scan, line_dedup, mixing, quality_rules, repeats, secret_scan, url_filter
 
 QUERIES = {
     "op2_secret_scan": secret_scan.op2_secret_scan,
@@ -12,6 +12,7 @@ QUERIES = {
     "op6_quality_rules": quality_rules.op6_quality_rules,
     "op8_url_filter": url_filter.op8_url_filter,
     "op9_decontaminate": decontaminate.op9_decontaminate,
+    "op10_repeated_strings": repeats.op10_repeated_strings,
 }
 SQL = {
     "op4_mix_sources": mixing.SQL,

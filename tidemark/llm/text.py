@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Callable
 
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.session import materialise
 
-__all__ = ["WORD", "ascii_lower", "let", "lines", "materialise", "read", "row_key", "same_key", "words"]
+__all__ = ["WORD", "ascii_lower", "let", "lines", "materialise", "read", "row_key", "same_key", "ship", "words"]
 
 # What the contracts call white space, a word, and a letter to fold.
 SPACE = r"[\x20\x09-\x0D]"
@@ -51,3 +53,8 @@ def row_key(text: str = "text", key: str = "doc_id") -> list[Column]:
 
 def same_key(left: DataFrame, right: DataFrame) -> Column:
     return left["_td_id"].eqNullSafe(right["_td_id"]) & (left["_td_hash"] == right["_td_hash"])
+
+
+def ship(module: str) -> None:
+    """Send the functions of ``module`` to Python workers by value: workers need no copy of the package."""
+    cloudpickle.register_pickle_by_value(sys.modules[module])
