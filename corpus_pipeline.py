@@ -6,11 +6,26 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import decontaminate, mixing
+from tidemark.llm import decontaminate, jaccard_join, line_dedup, mixing, quality_lm
 from tidemark.llm import text as t
 from tidemark.session import shared_folder
 
 
+def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drops documents whose perplexity under the model of the trusted ones is too high for their language."""
+    return quality_lm.remove_low_quality(docs, quality_lm.trusted_ids(t.read(spark, sf_dir, "labels")))
+
+
+def duplicate_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Cuts lines that stand earlier in the corpus, equal or within two edits; drops documents left without a line."""
+    return line_dedup.line_dedup(docs)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keeps one document of each group of near copies: five-word shingles, similarity 0.8."""
+    return jaccard_join.remove_near_duplicates(docs)
+
+
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents that hold a window of a benchmark item."""
     return decontaminate.remove_documents(docs, t.read(spark, sf_dir, "benchmark"))
@@ -22,6 +37,9 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 STAGES = [
+    ("quality_classifier", quality_classifier),
+    ("line_dedup", duplicate_lines),
+    ("jaccard_join", near_duplicates),
     ("benchmark_decontamination", benchmark_decontamination),
     ("mix_sources", mix_sources),
 ]

@@ -35,6 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm import text as t
+from tidemark.llm.bloom import possible
 
 LENGTH = 200
 GRAM = 64
@@ -256,7 +257,7 @@ def repeated_windows(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, bi
     )
     candidates = t.materialise(places.join(names, "name").select("name", "n", "d1", "d2", "first", "last").distinct())
     wanted = candidates.select(*DIGEST).distinct()
-    texts = known.join(wanted, list(DIGEST), "left_semi").select(*DIGEST, F.encode("text", "UTF-8").alias("text"))
+    texts = possible(known, wanted, list(DIGEST)).join(wanted, list(DIGEST), "left_semi").select(*DIGEST, F.encode("text", "UTF-8").alias("text"))
     schema = "name long, n long, d1 long, d2 long, first int, context binary"
     contexts = t.materialise(
         texts.dropDuplicates(list(DIGEST)).groupBy(*DIGEST).cogroup(candidates.groupBy(*DIGEST)).applyInArrow(_contexts(length), schema)
@@ -304,7 +305,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, big:
     copies = keyed.filter(F.col("n_bytes") >= length).groupBy(*DIGEST).agg(F.count("*").alias("rows"))
     copied = copies.filter("rows > 1").select(*DIGEST, F.lit(True).alias("copied"))
     hit = runs.select(*DIGEST).distinct()
-    texts = keyed.join(hit, list(DIGEST), "left_semi").select(*DIGEST, whole.alias("text")).dropDuplicates(list(DIGEST))
+    texts = possible(keyed, hit, list(DIGEST)).join(hit, list(DIGEST), "left_semi").select(*DIGEST, whole.alias("text")).dropDuplicates(list(DIGEST))
     cuts = texts.groupBy(*DIGEST).cogroup(runs.groupBy(*DIGEST)).applyInArrow(
         _cut(length), "d1 long, d2 long, n_removed long, n_spans long, kept binary"
     )

@@ -3,7 +3,7 @@
 The listed URLs are folded into a blocked Bloom filter: one 64-bit word a block, four bits a URL.
 A page looks up one block; only possible hits go on to the exact hash join, which removes the
 false positives. The filter has a fixed number of blocks, so broadcasting it is bounded by
-``BLOCKS`` rows whatever the list holds; a longer list only makes more possible hits, and the
+``bloom.BLOCKS`` rows whatever the list holds; a longer list only makes more possible hits, and the
 join stays exact. The join's hot URLs are split by AQE.
 
 Defined cases: a NULL URL, or one without ``://``, has an empty host and path, fits no rule and is
@@ -17,10 +17,9 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.llm import bloom
 from tidemark.llm import text as t
 
-BLOCKS = 1 << 16
-BITS_PER_URL = 4
 # Fixed value: first host labels of the listed spam sites.
 LISTED_LABELS = ("spam-farm", "cheap-pills")
 
@@ -80,28 +79,6 @@ def _by_rule(rules: tuple[UrlRule, ...], value) -> Column:
     return chosen
 
 
-def _block(url: Column) -> Column:
-    return F.pmod(F.xxhash64(url), F.lit(BLOCKS)).cast("int")
-
-
-def _mask(url: Column) -> Column:
-    second = F.xxhash64(url, F.lit(1))
-    mask = F.lit(0).cast("long")
-    for k in range(BITS_PER_URL):
-        place = F.shiftrightunsigned(second, 6 * k).bitwiseAND(F.lit(63)).cast("int")
-        mask = mask.bitwiseOR(F.call_function("shiftleft", F.lit(1).cast("long"), place))
-    return mask
-
-
-def bloom_filter(listed: DataFrame, url: str = "canonical") -> DataFrame:
-    """(block, bits): at most ``BLOCKS`` rows."""
-    return (
-        listed.filter(F.col(url).isNotNull())
-        .groupBy(_block(F.col(url)).alias("block"))
-        .agg(F.bit_or(_mask(F.col(url))).alias("bits"))
-    )
-
-
 def url_filter(pages: DataFrame, listed: DataFrame, rules: tuple[UrlRule, ...] = RULES, url: str = "url") -> DataFrame:
     """``pages`` with host, path, rule, ``listed`` and verdict; ``listed`` has a column ``canonical``."""
     names = ("host", "path", "rule", "listed", "verdict")
@@ -111,10 +88,10 @@ def url_filter(pages: DataFrame, listed: DataFrame, rules: tuple[UrlRule, ...] =
         pages.select(*kept)
         .withColumns({"host": host(F.col(url)), "path": path(F.col(url)), "_td_url": canonical(F.col(url))})
         .withColumns({"rule": _by_rule(rules, lambda r: r.name), "_td_rule": _by_rule(rules, lambda r: r.verdict)})
-        .withColumn("_td_block", F.when(F.col("_td_url").isNotNull(), _block(F.col("_td_url"))))
+        .withColumn("_td_block", F.when(F.col("_td_url").isNotNull(), bloom.block(F.col("_td_url"))))
     )
-    bits = F.broadcast(bloom_filter(unique).select(F.col("block").alias("_td_block"), F.col("bits").alias("_td_bits")))
-    mask = _mask(F.col("_td_url"))
+    bits = F.broadcast(bloom.bloom_filter(unique, "canonical").select(F.col("block").alias("_td_block"), F.col("bits").alias("_td_bits")))
+    mask = bloom.mask(F.col("_td_url"))
     probed = judged.join(bits, "_td_block", "left").withColumn(
         "_td_maybe", F.coalesce(F.col("_td_bits").bitwiseAND(mask) == mask, F.lit(False))
     )
