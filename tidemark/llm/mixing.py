@@ -167,14 +167,15 @@ def pieces(placed: DataFrame, plan: MixPlan = MixPlan()) -> DataFrame:
 
 def mix(docs: DataFrame, plan: MixPlan = MixPlan(), **names: str) -> DataFrame:
     """(doc_id, size, source, source_size, target, taken), a row for each of ``docs``."""
-    sizes = sized(docs, **names)
-    sources = source_targets(sizes, plan)
+    sizes = t.materialise(sized(docs, **names))
+    sources = t.materialise(source_targets(sizes, plan))
     placed = packed(sizes, sources, plan)
     counts = slots(sources, plan).groupBy("source_no", "block").agg(F.count("*").alias("times"))
     own = ["doc_id", "source", "source_no", "size", "source_size", "target"]
     taken = (
         pieces(placed, plan)
-        .join(counts, ["source_no", "block"], "left")
+        # As many blocks as words / block_words: never a broadcast.
+        .join(counts.hint("merge"), ["source_no", "block"], "left")
         .groupBy(*own, "start")
         .agg(F.sum(F.col("n_words") * F.coalesce("times", F.lit(0))).alias("taken"))
     )
