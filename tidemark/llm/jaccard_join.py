@@ -13,7 +13,9 @@ features in a part is a signature. Three rules keep buckets small without losing
 
 Within a bucket every set is first checked against the smallest, which joins groups of copies in
 linear time; then sets of different components that share a bucket are checked with each other.
-Every check is exact, on the sets. Components come from minimum labels with pointer jumping.
+A sketch of parities
+bounds from below in how many features two sets differ, which rules most pairs out inside the join;
+the others are checked exactly, on the sets. Components come from minimum labels with pointer jumping.
 
 Defined cases: a NULL, empty or blank text has an empty set, links with nothing and is its own
 component. Rows that share id and text are one document; a NULL id is never the smallest of a group
@@ -55,7 +57,7 @@ class JoinPlan:
             low = tops[-1] + 1
         top = np.array(tops, np.int64)
         k = 2 * top * (100 - self.percent) // (100 + self.percent)
-        return top, k, 2 + k // 8
+        return top, k, 2 + k // 3
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -159,7 +161,15 @@ def _set_ids(n_docs: int, doc: np.ndarray, feature: np.ndarray) -> tuple[np.ndar
     return size, _mix(total + size.astype(np.uint64))
 
 
-SETS = "_td_id {id}, _td_hash long, n long, sid long"
+SKETCH = [f"s{i}" for i in range(8)]
+SETS = "_td_id {id}, _td_hash long, n long, sid long, " + ", ".join(f"{s} long" for s in SKETCH)
+
+
+def _sketches(n_docs: int, doc: np.ndarray, feature: np.ndarray) -> np.ndarray:
+    """512 parities of each set. Two sets differ in at least as many features as their sketches in bits."""
+    place = (_mix(feature + np.uint64(0x2545F4914F6CDD1D)) & np.uint64(511)).astype(np.int64)
+    odd = (np.bincount(doc * 512 + place, minlength=n_docs * 512) & 1).astype(bool)
+    return np.packbits(odd).view(np.int64).reshape(n_docs, 8)
 
 
 def _sizes(size: int):
@@ -167,8 +177,10 @@ def _sizes(size: int):
         for batch, rows, doc, feature in _grouped_texts(batches, size):
             n, sid = _set_ids(len(rows), doc, feature)
             own = batch.select(["_td_id", "_td_hash"]).take(pa.array(rows))
+            sketch = [pa.array(np.ascontiguousarray(column)) for column in _sketches(len(rows), doc, feature).T]
             yield pa.RecordBatch.from_arrays(
-                [*own.columns, pa.array(n.astype(np.int64)), pa.array(sid.view(np.int64))], names=["_td_id", "_td_hash", "n", "sid"]
+                [*own.columns, pa.array(n.astype(np.int64)), pa.array(sid.view(np.int64)), *sketch],
+                names=["_td_id", "_td_hash", "n", "sid", *SKETCH],
             )
 
     return run
@@ -253,6 +265,12 @@ def buckets(docs: DataFrame, plan: JoinPlan, text: str = "text") -> DataFrame:
     return again.filter("low <> high").select("sig", "sid", "low")
 
 
+def _near(a: str, b: str, plan: JoinPlan):
+    """False only if sketches and sizes show that two sets can't link."""
+    bits = sum((F.bit_count(F.col(f"{a}.{s}").bitwiseXOR(F.col(f"{b}.{s}"))) for s in SKETCH[1:]), F.bit_count(F.col(f"{a}.s0").bitwiseXOR(F.col(f"{b}.s0"))))
+    return bits * (100 + plan.percent) <= (F.col(f"{a}.n") + F.col(f"{b}.n")) * (100 - plan.percent)
+
+
 def _linked(pairs: DataFrame, sets: DataFrame, plan: JoinPlan) -> DataFrame:
     """The pairs (a, b) that link, checked on the sets."""
     left, right = (sets.select(F.col("sid").alias(x), F.col("features").alias(f"f_{x}")) for x in ("a", "b"))
@@ -289,16 +307,21 @@ def linked_components(docs: DataFrame, own: DataFrame, plan: JoinPlan, text: str
     sets = t.materialise(
         texts.dropDuplicates(["_td_hash"]).select("text").mapInArrow(_features(plan.words), "sid long, features array<long>").dropDuplicates(["sid"])
     )
-    stars = t.materialise(shared.filter("sid <> low").select(F.col("low").alias("a"), F.col("sid").alias("b")).distinct())
+    sketch = own.filter("n > 0").join(wanted, "sid", "left_semi").groupBy("sid").agg(F.first("n").alias("n"), *[F.first(s).alias(s) for s in SKETCH])
+    sketch = t.materialise(sketch.select("sid", F.struct("n", *SKETCH).alias("known")))
+    known = {x: sketch.select(F.col("sid").alias(x), F.col("known").alias(f"k_{x}")) for x in ("a", "b")}
+    stars = shared.filter("sid <> low").select(F.col("low").alias("a"), F.col("sid").alias("b")).distinct()
+    stars = stars.join(known["a"], "a").join(known["b"], "b").filter(_near("k_a", "k_b", plan)).select("a", "b")
+    stars = t.materialise(stars)
     links = t.materialise(_linked(stars, sets, plan))
     roots = components(links)
     named = shared.join(roots, "sid", "left").select("sig", "sid", F.coalesce("root", "sid").alias("root"))
     by_sig = Window.partitionBy("sig")
     mixed = named.select("*", F.min("root").over(by_sig).alias("r1"), F.max("root").over(by_sig).alias("r2")).filter("r1 <> r2")
-    mixed = t.materialise(mixed.select("sig", "sid", "root"))
-    other = mixed.select("sig", F.col("sid").alias("b"), F.col("root").alias("root_b"))
-    apart = mixed.join(other, "sig").filter((F.col("sid") < F.col("b")) & (F.col("root") != F.col("root_b")))
-    rest = apart.select(F.col("sid").alias("a"), "b").distinct()
+    mixed = t.materialise(mixed.select("sig", F.col("sid").alias("a"), "root").join(known["a"], "a"))
+    other = mixed.select(F.col("sig").alias("sig_b"), F.col("a").alias("b"), F.col("root").alias("root_b"), F.col("k_a").alias("k_b"))
+    apart = (F.col("a") < F.col("b")) & (F.col("root") != F.col("root_b")) & _near("k_a", "k_b", plan)
+    rest = mixed.join(other, (F.col("sig") == F.col("sig_b")) & apart).select("a", "b").distinct()
     tried = stars.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     more = t.materialise(_linked(rest.join(tried, ["a", "b"], "left_anti"), sets, plan))
     if more.isEmpty():
