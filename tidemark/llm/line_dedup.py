@@ -50,10 +50,10 @@ def occurrences(docs: DataFrame, text: str = "text", key: str = "doc_id") -> Dat
 
 
 def _keys(edits: int, min_chars: int) -> Column:
-    """Every (key, own) of a line: ``own`` for its segments, the others for what it may match."""
+    """Every (key, own) of a line of ``n`` characters: ``own`` for its segments, the others for what it may match."""
     parts, keys = edits + 1, []
     for shorter in range(edits + 1):
-        length = f"(length(line) - {shorter})"
+        length = f"(n - {shorter})"
         base, longer = f"({length} div {parts})", f"({length} % {parts})"
         for i in range(parts):
             size = f"({base} + CAST({i} >= {parts} - {longer} AS INT))"
@@ -61,7 +61,7 @@ def _keys(edits: int, min_chars: int) -> Column:
             for shift in range(max(-i, shorter - edits + i), min(i, shorter + edits - i) + 1):
                 at = f"({start} + {shift})"
                 keys.append(
-                    f"CASE WHEN {length} >= {min_chars} AND {at} >= 0 AND {at} + {size} <= length(line) THEN "
+                    f"CASE WHEN {length} >= {min_chars} AND {at} >= 0 AND {at} + {size} <= n THEN "
                     f"struct(xxhash64({i}, {length}, substring(line, CAST({at} + 1 AS INT), CAST({size} AS INT))) AS key, "
                     f"{'true' if shorter == shift == 0 else 'false'} AS own) END"
                 )
@@ -69,7 +69,8 @@ def _keys(edits: int, min_chars: int) -> Column:
 
 
 def _keyed(lines: DataFrame, edits: int, min_chars: int) -> DataFrame:
-    each = lines.filter(F.length("line") >= min_chars).withColumn("_td_key", F.explode(_keys(edits, min_chars)))
+    counted = lines.withColumn("n", F.length("line")).filter(F.col("n") >= min_chars)
+    each = counted.withColumn("_td_key", F.explode(_keys(edits, min_chars)))
     return each.filter(F.col("_td_key").isNotNull()).select(
         F.col("_td_key.key").alias("key"), F.col("_td_key.own").alias("own"), "h1", "h2", "line"
     )
