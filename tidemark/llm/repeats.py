@@ -258,13 +258,18 @@ def repeated_windows(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, bi
     candidates = t.materialise(places.join(names, "name").select("name", "n", "d1", "d2", "first", "last").distinct())
     wanted = candidates.select(*DIGEST).distinct()
     texts = possible(known, wanted, list(DIGEST)).join(wanted, list(DIGEST), "left_semi").select(*DIGEST, F.encode("text", "UTF-8").alias("text"))
-    schema = "name long, n long, d1 long, d2 long, first int, context binary"
-    contexts = t.materialise(
-        texts.dropDuplicates(list(DIGEST)).groupBy(*DIGEST).cogroup(candidates.groupBy(*DIGEST)).applyInArrow(_contexts(length), schema)
-    )
-    few, many = contexts.filter(F.col("n") <= big), contexts.filter(F.col("n") > big)
+    texts = texts.dropDuplicates(list(DIGEST))
+
+    def contexts(places: DataFrame) -> DataFrame:
+        met = texts.groupBy(*DIGEST).cogroup(places.groupBy(*DIGEST))
+        return met.applyInArrow(_contexts(length), "name long, n long, d1 long, d2 long, first int, context binary")
+
+    few = contexts(candidates.filter(F.col("n") <= big))
     runs = few.repartition("name").sortWithinPartitions("name").mapInArrow(_repeated_runs(length), "d1 long, d2 long, first int, last int")
-    flat = many.mapInArrow(_flat_windows(length), "w1 long, w2 long, d1 long, d2 long, first int")
+    big_names = candidates.filter(F.col("n") > big)
+    if big_names.isEmpty():
+        return runs
+    flat = contexts(big_names).mapInArrow(_flat_windows(length), "w1 long, w2 long, d1 long, d2 long, first int")
     start = F.xxhash64("d1", "d2", "first")
     twice = flat.groupBy("w1", "w2").agg(F.min(start).alias("low"), F.max(start).alias("high")).filter("low <> high").select("w1", "w2")
     hot = flat.join(twice, ["w1", "w2"]).select(*DIGEST, "first", F.col("first").alias("last"))
