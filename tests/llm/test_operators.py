@@ -1,0 +1,193 @@
+"""Each operator against SQL or a brute-force version, and on awkward rows and empty tables."""
+
+import itertools
+import os
+import re
+
+import duckdb
+import pytest
+from pyspark.sql import functions as F
+
+import corpus_pipeline
+from tidemark.llm import (
+    decontaminate,
+    jaccard_join,
+    license_scan,
+    line_dedup,
+    mixing,
+    quality_lm,
+    quality_rules,
+    registry,
+    repeats,
+    secret_scan,
+    url_filter,
+)
+from tidemark.llm import text as t
+
+
+@pytest.mark.parametrize("key", sorted(registry.SQL))
+def test_same_as_sql(key, spark, sf_dir):
+    database = duckdb.connect()
+    for file in os.listdir(sf_dir):
+        database.execute(f"CREATE VIEW {file.removesuffix('.parquet')} AS SELECT * FROM '{sf_dir}/{file}'")
+    result = registry.QUERIES[key](spark, sf_dir)
+    names = sorted(result.columns)
+    want = database.execute(f"SELECT {', '.join(names)} FROM ({registry.SQL[key]})").fetchall()
+    assert sorted(map(str, (tuple(r) for r in result.select(*names).collect()))) == sorted(map(str, want))
+
+
+def brute_components(rows, words, percent):
+    sets = {}
+    for key, text in rows:
+        w = re.findall(r"[^\x20\x09-\x0D]+", (text or "").lower())
+        runs = {tuple(w[i : i + words]) for i in range(len(w) - words + 1)}
+        sets[key] = runs or ({tuple(w)} if w else set())
+    root = {key: key for key in sets}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for a, b in itertools.combinations(sorted(sets), 2):
+        common = len(sets[a] & sets[b])
+        if common and 100 * common >= percent * len(sets[a] | sets[b]):
+            x, y = sorted((find(a), find(b)))
+            root[y] = x
+    return {key: (len(sets[key]), find(key)) for key in sets}
+
+
+@pytest.mark.parametrize("words, percent", [(4, 85), (2, 60)])
+def test_components_as_brute_force(words, percent, spark, sf_dir):
+    docs = t.read(spark, sf_dir, "documents").select("doc_id", "text")
+    found = jaccard_join.document_components(docs, jaccard_join.JoinPlan(words, percent)).collect()
+    want = brute_components([tuple(r) for r in docs.collect()], words, percent)
+    assert {r["_td_id"]: (r["n_shingles"], r["component_id"]) for r in found} == want
+
+
+@pytest.mark.parametrize("big", [20_000, 1])
+def test_repeats_as_brute_force(big, spark):
+    body = [f"part {i} " + "".join(chr(97 + (i * j * j) % 26) for j in range(150)) for i in range(12)]
+    texts = ["".join(body[:5]), "".join(body[3:9]), "é" + "".join(body[4:6]) * 2, None, "", body[0], "".join(body[:5])]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    found = repeats.remove_repeats(docs, big=big).select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256))
+    assert {r[0]: tuple(r[1:]) for r in found.collect()} == dict(enumerate(repeats.brute_force(texts)))
+
+
+def test_line_dedup_as_brute_force(spark, sf_dir):
+    docs = t.read(spark, sf_dir, "documents").select("doc_id", "text").filter("doc_id < 60")
+    rows = sorted((r.doc_id, n, line) for r in docs.collect() for n, line in enumerate((r.text or "").split("\n")) if line.strip())
+
+    def near(a, b):
+        if abs(len(a) - len(b)) > 2 or min(len(a), len(b)) < line_dedup.MIN_CHARS:
+            return a == b
+        before = list(range(len(b) + 1))
+        for i, x in enumerate(a, 1):
+            row = [i]
+            for j, y in enumerate(b, 1):
+                row.append(min(before[j] + 1, row[-1] + 1, before[j - 1] + (x != y)))
+            before = row
+        return before[-1] <= 2
+
+    want = {}
+    for k, (doc, n, line) in enumerate(rows):
+        if any(near(line, other) for _, _, other in rows[:k]):
+            want.setdefault(doc, set()).add(n)
+    found = {r["_td_id"]: set(r["gone"]) for r in line_dedup.removed_lines(docs).collect() if r["gone"]}
+    assert found == want
+
+
+def test_one_edit_is_a_duplicate_line(tables):
+    kept = {r.doc_id: r.text for r in line_dedup.line_dedup(tables).collect()}
+    assert "first line" in kept[1] and 2 not in kept and 3 not in kept
+    assert kept[4] is None and kept[5] == ""
+
+
+def test_quality_classifier_on_held_out_labels(spark):
+    found = registry.QUERIES["op7_quality_classifier"](spark, "/root/testdata/sf0.01")
+    labels = t.read(spark, "/root/testdata/sf0.01", "labels")
+    share = found.join(labels, "doc_id").groupBy("quality").agg(F.avg(F.col("kept").cast("int")).alias("kept"))
+    kept = {r.quality: r.kept for r in share.collect()}
+    assert kept[1] > 0.95 and kept[0] < 0.25
+
+
+def test_secret_forest(spark):
+    key = "0123456789abcdef0123456789abcdef01234567"
+    rows = [(i, f'say token = "{key[i % 40:] + key[: i % 40]}" and {7_000_000_000_000_000 + i * 7919} too', "a") for i in range(60)]
+    docs = spark.createDataFrame(rows + [(99, None, None)], "doc_id long, text string, source string")
+    found = secret_scan.secret_scan(docs, secret_scan.rule_label())
+    assert found.filter("is_secret").select("doc_id").distinct().count() == 60
+    assert found.filter("NOT is_secret AND candidate RLIKE '[a-f]'").isEmpty()
+
+
+def test_licence_is_inherited_from_the_nearest_directory(spark):
+    rows = [
+        ("a/LICENSE", "Released under the MIT License."),
+        ("a/b/LICENSE.txt", "x\nLicensed under the Apache License, Version 2.0."),
+        ("a/x.c", "code"),
+        ("a/b/c/y.c", None),
+        ("z/q.c", ""),
+        (None, "code"),
+    ]
+    files = spark.createDataFrame(rows, "path string, text string")
+    found = {r.path: (r.licence, r.licence_dir) for r in license_scan.license_scan(files).collect()}
+    assert found["a/x.c"] == ("MIT", "a") and found["a/b/c/y.c"] == ("Apache-2.0", "a/b")
+    assert found["z/q.c"] == (None, None) and found[None] == (None, None)
+
+
+def test_mix_meets_targets_and_repeats(spark, sf_dir):
+    docs = t.read(spark, sf_dir, "documents")
+    first, again = mixing.mix(docs), mixing.mix(docs.repartition(7))
+    assert sorted(map(str, first.collect())) == sorted(map(str, again.collect()))
+    assert first.filter("taken > 3 * size").isEmpty()
+    off = first.groupBy("source").agg(F.abs(F.sum("taken") - F.first("target")).alias("off")).agg(F.max("off")).first()[0]
+    assert off <= 2 * mixing.MixPlan().block_words
+
+
+def test_spans_are_cut(spark):
+    item = "one two three four five six seven eight nine ten"
+    docs = spark.createDataFrame([(1, f"before {item}, after"), (2, "clean text")], "doc_id long, text string")
+    bench = spark.createDataFrame([(1, item)], "item_id long, text string")
+    cut = {r.doc_id: r.text for r in decontaminate.remove_spans(docs, bench).collect()}
+    assert cut == {1: "before after", 2: "clean text"}
+    assert [r.doc_id for r in decontaminate.remove_documents(docs, bench).collect()] == [2]
+
+
+def applied(docs, spark):
+    bench = spark.createDataFrame([(1, "some words and the rest of it has more"), (2, None)], "item_id long, text string")
+    trusted = docs.select("doc_id")
+    pages = docs.withColumnRenamed("text", "url")
+    return {
+        "rules": quality_rules.quality_rules(docs),
+        "contamination": decontaminate.contamination(docs, bench),
+        "mix": mixing.mix(docs),
+        "lines": line_dedup.line_dedup(docs),
+        "join": jaccard_join.remove_near_duplicates(docs),
+        "scores": quality_lm.quality_scores(docs, trusted),
+        "repeats": repeats.remove_repeats(docs),
+        "licences": license_scan.license_scan(license_scan.document_paths(docs)),
+        "secrets": secret_scan.secret_scan(docs, secret_scan.rule_label()),
+        "urls": url_filter.url_filter(pages, url_filter.listed_urls(pages)),
+    }
+
+
+def test_awkward_rows(tables, spark):
+    count = tables.count()
+    docs = tables.withColumns({"host": F.lit("x"), "start": F.lit(1), "gone": F.lit(2), "n_words": F.lit(0)})
+    every = {name: frame.count() for name, frame in applied(docs, spark).items()}
+    for name in ("rules", "contamination", "mix", "scores", "repeats", "licences", "urls"):
+        assert every[name] == count, name
+
+
+def test_empty_tables(tables, spark):
+    for name, frame in applied(tables.limit(0), spark).items():
+        assert frame.count() == 0, name
+
+
+def test_pipeline_keeps_columns(spark, sf_dir):
+    docs = t.read(spark, sf_dir, "documents")
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        rest = t.materialise(stage(spark, docs, sf_dir))
+        assert rest.columns == docs.columns and 0 < rest.count() <= docs.count(), name
+        docs = rest
+    assert corpus_pipeline.STAGES[-1][1](spark, docs, sf_dir).count() == docs.count()

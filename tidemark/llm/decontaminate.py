@@ -126,10 +126,10 @@ def remove_documents(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW
 def remove_spans(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, text: str = "text", key: str = "doc_id") -> DataFrame:
     """``docs`` with the hit words cut out of the text; a changed text is its other words, joined by blanks."""
     keyed = docs.withColumns(dict(zip(("_td_id", "_td_hash"), t.row_key(text, key))))
-    found = hit_words(docs, benchmark, window, text, key)
+    found = hit_words(docs, benchmark, window, text, key).withColumnRenamed("positions", "_td_positions")
     joined = keyed.join(found, t.same_key(keyed, found), "left")
     # Both ends of a maximal run of clean words, between sorted hit positions.
-    w, p = tokens(keyed[text]), F.concat(F.array(F.lit(-1)), F.col("positions"), F.array(F.size(tokens(keyed[text]))))
+    w, p = tokens(keyed[text]), F.concat(F.array(F.lit(-1)), F.col("_td_positions"), F.array(F.size(tokens(keyed[text]))))
 
     def clean(word_list: Column) -> Column:
         return t.let(
@@ -142,7 +142,7 @@ def remove_spans(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, te
             ),
         )
 
-    cut = F.when(F.col("positions").isNull(), keyed[text]).otherwise(F.array_join(t.let(w, clean), " "))
+    cut = F.when(F.col("_td_positions").isNull(), keyed[text]).otherwise(F.array_join(t.let(w, clean), " "))
     return joined.select(*[cut.alias(text) if c == text else keyed[c] for c in docs.columns])
 
 

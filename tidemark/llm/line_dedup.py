@@ -132,13 +132,14 @@ def line_dedup(docs: DataFrame, edits: int = EDITS, min_chars: int = MIN_CHARS,
     """``docs`` without duplicate lines; a document that loses every line with a word goes."""
     keyed = docs.withColumns(dict(zip(("_td_id", "_td_hash"), t.row_key(text, key))))
     gone = removed_lines(docs, edits, min_chars, text, key).filter(F.size("gone") > 0)
-    joined = keyed.join(gone, t.same_key(keyed, gone), "left").filter("gone IS NULL OR size(gone) < n_lines")
+    gone = gone.withColumnsRenamed({"gone": "_td_gone", "n_lines": "_td_lines"})
+    joined = keyed.join(gone, t.same_key(keyed, gone), "left").filter("_td_gone IS NULL OR size(_td_gone) < _td_lines")
 
     def rest(line_list: Column) -> Column:
-        left = F.array_except(F.sequence(F.lit(0), F.size(line_list) - 1), F.col("gone"))
+        left = F.array_except(F.sequence(F.lit(0), F.size(line_list) - 1), F.col("_td_gone"))
         return F.array_join(F.transform(left, lambda i: F.get(line_list, i)), "\n")
 
-    cut = F.when(F.col("gone").isNull(), keyed[text]).otherwise(t.let(t.lines(keyed[text]), rest))
+    cut = F.when(F.col("_td_gone").isNull(), keyed[text]).otherwise(t.let(t.lines(keyed[text]), rest))
     return joined.select(*[cut.alias(text) if c == text else keyed[c] for c in docs.columns])
 
 
