@@ -5,11 +5,11 @@ import os
 import duckdb
 import pytest
 
-import __spark_entry__ as contract
+from tidemark.plans import registry
 
 TYPES = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR", "date": "DATE"}
-QUERIES = contract.queries()
-ORACLE = contract.oracle_sql()
+QUERIES = registry.queries()
+ORACLE = registry.oracle_sql()
 
 
 @pytest.fixture(scope="module")

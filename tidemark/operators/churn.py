@@ -40,7 +40,6 @@ CATEGORICAL_FEATURES = ["city", "channel"]
 LOGISTIC, FOREST, BOOSTED = "Logistic Regression", "Random Forest", "Gradient Boosting"
 RISK_TIERS = ("Low Risk", "Medium Risk", "High Risk")
 HISTOGRAM_BINS = 40
-TOP_FEATURES = 15
 INVERSE_REGULARISATION = 0.5
 TRAINING_COLUMNS = ["raw_point", "scaled_point", "label", "is_test", "fold"]
 
@@ -231,13 +230,13 @@ def test_predictions(data: ChurnData, model: Model) -> DataFrame:
     )
 
 
-def feature_importance(data: ChurnData, models: dict[str, Model], top: int = TOP_FEATURES) -> DataFrame:
-    """The ``top`` inputs of each model: impurity importance, or the size of the coefficient."""
+def feature_importance(data: ChurnData, models: dict[str, Model]) -> DataFrame:
+    """Every input of each model, the strongest first: impurity importance, or the size of the coefficient."""
     rows = []
     for name, model in models.items():
         values = model.coefficients if name == LOGISTIC else model.featureImportances
         pairs = sorted(zip(data.names, (abs(float(v)) for v in values.toArray())), key=lambda pair: -pair[1])
-        rows += [(name, n + 1, feature, weight) for n, (feature, weight) in enumerate(pairs[:top])]
+        rows += [(name, n + 1, feature, weight) for n, (feature, weight) in enumerate(pairs)]
     return data.table.sparkSession.createDataFrame(
         rows, "model_name string, position int, feature string, importance double"
     )

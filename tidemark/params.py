@@ -23,7 +23,7 @@ class Params:
 
     # Model sizes. The defaults are the documented ones; tests pass smaller values.
     n_clusters: int = 5
-    kmeans_restarts: int = 5
+    kmeans_restarts: int = 20
     kmeans_iterations: int = 500
     forest_trees: int = 300
     churn_rounds: int = 200
