@@ -11,10 +11,10 @@ features in a part is a signature. Three rules keep buckets small without losing
   ones the smallest remains on both sides, as all sets order buckets alike;
 * equal sets are one set.
 
-Within a bucket every set is first checked against the smallest, which joins groups of copies in
-linear time; then sets of different components that share a bucket are checked with each other.
-A sketch of parities
-bounds from below in how many features two sets differ, which rules most pairs out inside the join;
+Within a bucket every set is first checked against the smallest, then, in two rounds, against the one
+with most links so far if their components differ. That joins groups of near copies in linear time; last,
+sets of different components that share a bucket are checked with each other, once a pair.
+A sketch of parities bounds from below in how many features two sets differ, which rules most pairs out inside the join;
 the others are checked exactly, on the sets. Components come from minimum labels with pointer jumping.
 
 Defined cases: a NULL, empty or blank text has an empty set, links with nothing and is its own
@@ -40,6 +40,10 @@ t.ship(__name__)
 
 BUFFER = 1 << 21
 MAX_SIZE = 1 << 40
+# Rounds in which each bucket is checked against one of its sets, before pairs.
+ROUNDS = 3
+# So many signatures of a set tell whether a pair has met before.
+FIRST = 16
 
 
 @dataclass(frozen=True)
@@ -310,19 +314,41 @@ def linked_components(docs: DataFrame, own: DataFrame, plan: JoinPlan, text: str
     sketch = own.filter("n > 0").join(wanted, "sid", "left_semi").groupBy("sid").agg(F.first("n").alias("n"), *[F.first(s).alias(s) for s in SKETCH])
     sketch = t.materialise(sketch.select("sid", F.struct("n", *SKETCH).alias("known")))
     known = {x: sketch.select(F.col("sid").alias(x), F.col("known").alias(f"k_{x}")) for x in ("a", "b")}
-    stars = shared.filter("sid <> low").select(F.col("low").alias("a"), F.col("sid").alias("b")).distinct()
-    stars = stars.join(known["a"], "a").join(known["b"], "b").filter(_near("k_a", "k_b", plan)).select("a", "b")
-    stars = t.materialise(stars)
-    links = t.materialise(_linked(stars, sets, plan))
-    roots = components(links)
-    named = shared.join(roots, "sid", "left").select("sig", "sid", F.coalesce("root", "sid").alias("root"))
+
+    def checked(pairs: DataFrame) -> DataFrame:
+        """Those of the pairs that sketches do not rule out."""
+        return pairs.join(known["a"], "a").join(known["b"], "b").filter(_near("k_a", "k_b", plan)).select("a", "b")
+
+    def mixed_buckets(roots: DataFrame) -> DataFrame:
+        """(sig, sid, root): the buckets with sets of several components."""
+        named = shared.join(roots, "sid", "left").select("sig", "sid", F.coalesce("root", "sid").alias("root"))
+        return named.select("*", F.min("root").over(by_sig).alias("r1"), F.max("root").over(by_sig).alias("r2")).filter("r1 <> r2").drop("r1", "r2")
+
     by_sig = Window.partitionBy("sig")
-    mixed = named.select("*", F.min("root").over(by_sig).alias("r1"), F.max("root").over(by_sig).alias("r2")).filter("r1 <> r2")
-    mixed = t.materialise(mixed.select("sig", F.col("sid").alias("a"), "root").join(known["a"], "a"))
-    other = mixed.select(F.col("sig").alias("sig_b"), F.col("a").alias("b"), F.col("root").alias("root_b"), F.col("k_a").alias("k_b"))
-    apart = (F.col("a") < F.col("b")) & (F.col("root") != F.col("root_b")) & _near("k_a", "k_b", plan)
-    rest = mixed.join(other, (F.col("sig") == F.col("sig_b")) & apart).select("a", "b").distinct()
-    tried = stars.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    tried = t.materialise(checked(shared.filter("sid <> low").select(F.col("low").alias("a"), F.col("sid").alias("b")).distinct()))
+    links = t.materialise(_linked(tried, sets, plan))
+    roots = components(links)
+    for step in range(1, ROUNDS):
+        # Sets with many links stand in the middle of their group: whatever links at all is likely to link with them.
+        degree = links.select(F.col("a").alias("sid")).union(links.select("b")).groupBy("sid").agg((-F.count("*")).alias("degree"))
+        ranked = mixed_buckets(roots).join(degree, "sid", "left").withColumn(
+            "rank", F.struct(F.coalesce("degree", F.lit(0)).alias("degree"), F.xxhash64("sid", F.lit(step)).alias("order"), "sid", "root")
+        )
+        pivot = ranked.select("sid", "root", F.min("rank").over(by_sig).alias("pivot")).filter("root <> pivot.root")
+        pairs = pivot.select(F.least("sid", "pivot.sid").alias("a"), F.greatest("sid", "pivot.sid").alias("b")).distinct()
+        pairs = t.materialise(checked(pairs.join(tried, ["a", "b"], "left_anti")))
+        more = t.materialise(_linked(pairs, sets, plan))
+        tried, links = tried.unionByName(pairs), links.unionByName(more)
+        roots = components(links)
+    mixed = t.materialise(mixed_buckets(roots))
+    # A pair meets in each bucket it shares; it counts only in the first, as far as the first signatures of both show.
+    first = mixed.groupBy("sid").agg(F.slice(F.sort_array(F.collect_list("sig")), 1, FIRST).alias("first"))
+    rows = mixed.join(sketch.join(first, "sid"), "sid")
+    left, right = (rows.select("sig", *[F.col(c).alias(f"{c}_{x}") for c in ("sid", "root", "known", "first")]) for x in ("a", "b"))
+    earliest = F.array_min(F.array_intersect("first_a", "first_b"))
+    apart = (F.col("sid_a") < F.col("sid_b")) & (F.col("root_a") != F.col("root_b")) & _near("known_a", "known_b", plan)
+    once = F.coalesce(earliest >= left["sig"], F.lit(True))
+    rest = left.join(right, (left["sig"] == right["sig"]) & apart & once).select(F.col("sid_a").alias("a"), F.col("sid_b").alias("b")).distinct()
     more = t.materialise(_linked(rest.join(tried, ["a", "b"], "left_anti"), sets, plan))
     if more.isEmpty():
         return roots
