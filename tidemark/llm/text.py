@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 import sys
+import uuid
 from collections.abc import Callable
 
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.session import materialise
+from tidemark.session import shared_folder
 
 __all__ = ["WORD", "ascii_lower", "let", "lines", "materialise", "read", "row_key", "same_key", "ship", "words"]
 
@@ -23,6 +24,17 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def materialise(df: DataFrame) -> DataFrame:
+    """Write ``df`` as a table in the shared folder and continue from there.
+
+    Columns are encoded and compressed, where a checkpoint writes whole rows, and the planner knows
+    the table's size. Like checkpoints, the tables belong to whoever owns the folder.
+    """
+    path = f"{shared_folder(df.sparkSession)}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def words(text: Column) -> Column:
     """All words of a whole text, in order; none for NULL."""
     return F.array_remove(F.split(F.coalesce(text, F.lit("")), SPACE + "+"), "")
