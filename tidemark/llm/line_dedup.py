@@ -49,30 +49,38 @@ def occurrences(docs: DataFrame, text: str = "text", key: str = "doc_id") -> Dat
     )
 
 
-def _keys(edits: int, min_chars: int) -> Column:
-    """Every (key, own) of a line of ``n`` characters: ``own`` for its segments, the others for what it may match."""
-    parts, keys = edits + 1, []
-    for shorter in range(edits + 1):
-        length = f"(n - {shorter})"
-        base, longer = f"({length} div {parts})", f"({length} % {parts})"
-        for i in range(parts):
-            size = f"({base} + CAST({i} >= {parts} - {longer} AS INT))"
-            start = f"({i} * {base} + greatest(0, {i} - {parts} + {longer}))"
-            for shift in range(max(-i, shorter - edits + i), min(i, shorter + edits - i) + 1):
-                at = f"({start} + {shift})"
-                keys.append(
-                    f"CASE WHEN {length} >= {min_chars} AND {at} >= 0 AND {at} + {size} <= n THEN "
-                    f"struct(xxhash64({i}, {length}, substring(line, CAST({at} + 1 AS INT), CAST({size} AS INT))) AS key, "
-                    f"{'true' if shorter == shift == 0 else 'false'} AS own) END"
-                )
-    return F.expr(f"array({', '.join(keys)})")
+def _probes(edits: int) -> Column:
+    """Every (shorter, part, shift): the line looks for a match ``shorter`` characters shorter whose segment ``part`` stands at ``shift``."""
+    return F.array(
+        *[
+            F.struct(F.lit(shorter).alias("shorter"), F.lit(part).alias("part"), F.lit(shift).alias("shift"))
+            for shorter in range(edits + 1)
+            for part in range(edits + 1)
+            for shift in range(max(-part, shorter - edits + part), min(part, shorter + edits - part) + 1)
+        ]
+    )
 
 
 def _keyed(lines: DataFrame, edits: int, min_chars: int) -> DataFrame:
+    """Every key of a line: ``own`` for its segments, the others for what it may match.
+
+    The probes are rows and the key one small expression over them, which the JVM compiles; an array of all keys
+    is too large a method for that. Lines in ASCII are cut as bytes, which needs no count of characters.
+    """
+    parts = edits + 1
     counted = lines.withColumn("n", F.length("line")).filter(F.col("n") >= min_chars)
-    each = counted.withColumn("_td_key", F.explode(_keys(edits, min_chars)))
-    return each.filter(F.col("_td_key").isNotNull()).select(
-        F.col("_td_key.key").alias("key"), F.col("_td_key.own").alias("own"), "h1", "h2", "line"
+    raw = F.expr("IF(octet_length(line) = n, CAST(line AS BINARY), NULL)")
+    each = counted.withColumn("raw", raw).withColumn("probe", F.explode(_probes(edits)))
+    each = each.withColumns({"length": F.expr("n - probe.shorter"), "part": F.col("probe.part")}).filter(F.col("length") >= min_chars)
+    each = each.withColumns({"base": F.expr(f"CAST(length div {parts} AS INT)"), "over": F.expr(f"part - {parts} + length % {parts}")})
+    each = each.withColumns({"size": F.expr("base + CAST(over >= 0 AS INT)"), "at": F.expr("part * base + greatest(0, over) + probe.shift")})
+    piece = "IF(raw IS NULL, CAST(substring(line, at + 1, size) AS BINARY), substring(raw, at + 1, size))"
+    return each.filter("at >= 0 AND at + size <= n").select(
+        F.expr(f"xxhash64(part, length, {piece})").alias("key"),
+        F.expr("probe.shorter = 0 AND probe.shift = 0").alias("own"),
+        "h1",
+        "h2",
+        "line",
     )
 
 
