@@ -98,6 +98,15 @@ def test_items_without_a_key_are_kept(spark):
     )
     base = cleaning.base_orders(orders(spark, [("o1", "c", "2023-01-01", 5.0)]), P)
     assert {r.order_id for r in cleaning.drop_orphan_items(items, base).collect()} == {"o1", None}
+    keyless = orders(spark, [("o1", "c", "2023-01-01", 5.0), (None, "c", "2023-01-01", 5.0)])
+    kept = cleaning.drop_orphan_items(items, cleaning.base_orders(keyless, P)).collect()
+    assert {r.order_id for r in kept} == {"o1", "x", None}  # nothing is NOT IN a list with a NULL
+
+
+def test_amounts_below_a_cent_add_up(spark):
+    clean = cleaning.orders_clean(orders(spark, [(f"o{i}", "c", "2023-01-01", 0.004) for i in range(1000)]), P)
+    totals = customers.order_totals(clean, P).first()
+    assert totals.spend_cents == 400 and totals.max_cents == 0
 
 
 def test_repeated_order_ids_multiply_items(spark):

@@ -81,6 +81,10 @@ def test_report_and_files(spark, analysis, tmp_path):
     save(analysis, str(tmp_path))
     assert spark.read.parquet(f"{tmp_path}/customer_master").count() == row.total_customers
     assert spark.read.parquet(f"{tmp_path}/report_derived_kpis").count() == 1
+    report = spark.read.parquet(f"{tmp_path}/evaluation/classification_report")
+    assert report.groupBy("model_name").count().count() == 3
+    cells = spark.read.parquet(f"{tmp_path}/evaluation/confusion_matrix").groupBy("model_name").agg(F.sum("customers").alias("n"))
+    assert len({r.n for r in cells.collect()}) == 1
     table = kpis.report_segment_table(analysis.segment_summary).orderBy("position").collect()
     assert [r.position for r in table] == list(range(1, len(table) + 1))
 

@@ -27,7 +27,7 @@ def lake(spark, w, tmp_path_factory):
     shapes = {
         "customers": w.raw.customers.withColumn("age", F.lit(30)),
         "orders": w.raw.orders,
-        "order_items": w.raw.items.drop("line_cents"),
+        "order_items": w.raw.items,
         "products": w.raw.products.withColumn("margin_pct", F.lit(0.5)),
     }
     for name, df in shapes.items():

@@ -1,8 +1,8 @@
 """Order-independent money and percentage arithmetic.
 
-A sum of doubles depends on the order in which partitions arrive. Amounts have a
-fixed number of decimals, so every sum here runs over integers (cents, hundredths)
-and becomes a double again in one division at the end.
+A sum of doubles depends on the order in which partitions arrive. Every sum here runs
+over integers (millionths of an amount, cents of a rounded figure, hundredths) and becomes
+a double again in one division at the end.
 """
 
 from __future__ import annotations
@@ -20,6 +20,16 @@ def cents(amount: Column) -> Column:
     return scaled(amount, 2)
 
 
+def micros(amount: Column) -> Column:
+    """Millionths, for sums: an amount may be smaller than a cent, and only its sum is rounded."""
+    return scaled(amount, 6)
+
+
+def whole_cents(total: Column) -> Column:
+    """Cents, halves up, of a sum in millionths."""
+    return F.floor((total.cast("decimal(30,0)") + 5000) / 10000).cast("bigint")
+
+
 def from_cents(amount: Column) -> Column:
     return amount.cast("double") / F.lit(100.0)
 

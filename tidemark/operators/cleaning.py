@@ -71,9 +71,15 @@ def flagged_orders(base: DataFrame) -> DataFrame:
 
 
 def drop_orphan_items(items: DataFrame, base: DataFrame) -> DataFrame:
-    """Items of known orders, plus items without an order key (NOT IN is unknown there)."""
-    known = items.join(base.select("order_id"), "order_id", "left_semi").select(*items.columns)
-    return known.unionByName(items.filter(F.col("order_id").isNull()))
+    """All but the items whose order key is NOT IN the orders.
+
+    NOT IN is unknown, and the item stays, if its key is NULL or any order has a NULL key.
+    """
+    keys = base.select("order_id")
+    known = items.join(keys, "order_id", "left_semi").select(*items.columns)
+    unknown = items.join(keys, "order_id", "left_anti").select(*items.columns)
+    any_null = keys.filter(F.col("order_id").isNull()).agg((F.count(F.lit(1)) > 0).alias("any_null")).scalar()
+    return known.unionByName(unknown.filter(F.col("order_id").isNull() | any_null))
 
 
 def drop_bad_items(items: DataFrame) -> DataFrame:

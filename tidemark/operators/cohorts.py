@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.calendar import label_of_index, month_index
-from tidemark.functions.fixedpoint import cents, quotient, ratio, scaled
+from tidemark.functions.fixedpoint import micros, quotient, ratio, scaled, wide_sum
 from tidemark.operators.customers import repeat_rows
 from tidemark.params import Params
 
@@ -25,11 +25,11 @@ def cohort_base(clean: DataFrame) -> DataFrame:
 
 
 def _customer_months(orders: DataFrame) -> DataFrame:
-    """customer_id, month, orders, cents, cohort, period_number."""
+    """customer_id, month, orders, spend (millionths), cohort, period_number."""
     months = (
         orders.withColumn("month", month_index(F.col("order_date")))
         .groupBy("customer_id", "month")
-        .agg(F.count(F.lit(1)).alias("orders"), F.sum(cents(F.col("total_amount"))).alias("cents"))
+        .agg(F.count(F.lit(1)).alias("orders"), wide_sum(micros(F.col("total_amount"))).alias("spend"))
     )
     first = F.min("month").over(Window.partitionBy("customer_id"))
     return months.withColumn("cohort", first).withColumn("period_number", F.col("month") - F.col("cohort"))
@@ -57,7 +57,7 @@ def _cohort_periods(orders: DataFrame, p: Params) -> DataFrame:
         _customer_months(orders)
         .filter(F.col("cohort").isNotNull() & F.col("period_number").between(0, p.max_period))
         .groupBy("cohort", "period_number")
-        .agg(F.count("customer_id").alias("active_customers"), F.sum("cents").alias("cents"))
+        .agg(F.count("customer_id").alias("active_customers"), F.sum("spend").alias("spend"))
     )
     newcomers = F.when(F.col("period_number") == 0, F.col("active_customers"))
     return cells.withColumn("cohort_size", F.max(newcomers).over(Window.partitionBy("cohort"))).withColumn(
@@ -81,7 +81,7 @@ def cohort_revenue(clean: DataFrame, p: Params) -> DataFrame:
         "cohort_month",
         "period_number",
         "cohort_size",
-        ratio(F.col("cents").cast("double") / 100, F.col("cohort_size"), 2).alias("avg_revenue_per_customer"),
+        ratio(F.col("spend").cast("double") / 1_000_000, F.col("cohort_size"), 2).alias("avg_revenue_per_customer"),
     )
 
 

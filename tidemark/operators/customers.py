@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.functions.fixedpoint import cents, from_cents, ratio, scaled, wide_sum
+from tidemark.functions.fixedpoint import cents, from_cents, micros, ratio, scaled, whole_cents, wide_sum
 from tidemark.operators.cleaning import sellable
 from tidemark.operators.ranking import with_ntile
 from tidemark.params import Params
@@ -16,27 +16,35 @@ EXPAND_CHUNK = 65_536
 def order_totals(orders: DataFrame, p: Params) -> DataFrame:
     """Everything the customer-level operators need from orders, in one aggregation.
 
-    Amounts are integers (cents; billionths of a percent for the discount), so partial
-    sums combine to the same result in any order. Unused columns are pruned.
+    Amounts are integers (millionths; billionths of a percent for the discount), so partial
+    sums combine to the same result in any order. Cents are rounded from the sums, not from
+    the rows. Unused columns are pruned.
     """
-    amount = cents(F.col("total_amount"))
+    amount = micros(F.col("total_amount"))
     discounted = F.col("discount_applied") == "Yes"
     pct = scaled(F.col("discount_percentage"), 9)
     recent = F.datediff(F.lit(p.ref_date), F.col("order_date")) <= p.recent_days
-    return orders.groupBy("customer_id").agg(
+    totals = orders.groupBy("customer_id").agg(
         F.countDistinct("order_id").alias("order_count"),
         F.count("total_amount").alias("amounts"),
-        F.sum(amount).alias("spend_cents"),
-        F.max(amount).alias("max_cents"),
-        F.min(amount).alias("min_cents"),
+        wide_sum(amount).alias("spend"),
+        F.max(amount).alias("most"),
+        F.min(amount).alias("least"),
         F.min("order_date").alias("first_order_date"),
         F.max("order_date").alias("last_order_date"),
         F.sum(F.when(discounted, 1).otherwise(0)).alias("discounted_orders"),
         F.count(F.when(discounted, F.col("discount_percentage"))).alias("discounts"),
         wide_sum(F.when(discounted, pct)).alias("discount_sum"),
         wide_sum(pct).alias("all_discount_sum"),
-        F.sum(F.when(recent, amount).otherwise(0)).alias("recent_cents"),
+        wide_sum(F.when(recent, amount).otherwise(0)).alias("recent"),
     )
+    rounded = {"spend_cents": "spend", "max_cents": "most", "min_cents": "least", "recent_cents": "recent"}
+    return totals.withColumns({name: whole_cents(F.col(total)) for name, total in rounded.items()})
+
+
+def mean_cents(total: Column, n: Column) -> Column:
+    """Mean of amounts summed in millionths, in whole cents."""
+    return ratio(total, n * 10_000, 0)
 
 
 def mean_discount(total: Column, n: Column) -> Column:
@@ -53,7 +61,7 @@ def customer_stats(clean: DataFrame, customers: DataFrame, p: Params) -> DataFra
         "signup_date",
         "channel",
         from_cents(F.col("spend_cents")).alias("total_revenue"),
-        from_cents(ratio(F.col("spend_cents"), F.col("amounts"), 0)).alias("avg_order_value"),
+        from_cents(mean_cents(F.col("spend"), F.col("amounts"))).alias("avg_order_value"),
         from_cents(F.col("max_cents")).alias("max_order_value"),
         "order_count",
         "first_order_date",
@@ -139,8 +147,8 @@ def purchase_intervals(clean: DataFrame) -> DataFrame:
     )
 
 
-def line_cents(items: DataFrame) -> Column:
-    return cents(F.col("quantity") * F.col("price"))
+def line_micros(items: DataFrame) -> Column:
+    return micros(F.col("quantity") * F.col("price"))
 
 
 def order_owners(orders: DataFrame) -> DataFrame:
@@ -149,7 +157,7 @@ def order_owners(orders: DataFrame) -> DataFrame:
 
 
 def customer_products(items: DataFrame, clean: DataFrame) -> DataFrame:
-    """Units and cents per customer and product.
+    """Units and spend (millionths) per customer and product.
 
     An order_id that occurs k times among the clean orders repeats its items k times, and
     joining them to the orders repeats them again. The repetition is applied as a weight
@@ -161,13 +169,13 @@ def customer_products(items: DataFrame, clean: DataFrame) -> DataFrame:
     owners = order_owners(clean).select(
         "order_id", "customer_id", (F.col("copies") * F.sum("copies").over(same_order)).alias("weight")
     )
-    lines = sellable(items).select("order_id", "product_id", "quantity", line_cents(items).alias("cents"))
+    lines = sellable(items).select("order_id", "product_id", "quantity", line_micros(items).alias("spend"))
     return (
         lines.join(owners, "order_id")
         .groupBy("customer_id", "product_id")
         .agg(
             F.sum(F.col("quantity") * F.col("weight")).alias("units"),
-            F.sum(F.col("cents") * F.col("weight")).alias("cents"),
+            wide_sum(F.col("spend") * F.col("weight")).alias("spend"),
         )
     )
 
@@ -182,7 +190,7 @@ def product_mix(items: DataFrame, clean: DataFrame, products: DataFrame) -> Data
         .groupBy("customer_id", "category")
         .agg(
             F.sum(F.col("units") * F.col("listed")).alias("total_units"),
-            from_cents(F.sum(F.col("cents") * F.col("listed"))).alias("category_revenue"),
+            from_cents(whole_cents(F.sum(F.col("spend") * F.col("listed")))).alias("category_revenue"),
             F.count(F.lit(1)).alias("distinct_products"),
         )
     )

@@ -7,10 +7,11 @@ import re
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.fixedpoint import from_cents, quotient, ratio
+from tidemark.functions.fixedpoint import from_cents, quotient, ratio, wide_sum
 from tidemark.operators.customers import (
     customer_products,
-    line_cents,
+    line_micros,
+    mean_cents,
     mean_discount,
     order_owners,
     order_totals,
@@ -55,7 +56,7 @@ def _base(clean: DataFrame, p: Params) -> DataFrame:
         "customer_id",
         F.col("order_count").alias("frequency"),
         from_cents(F.col("spend_cents")).alias("monetary"),
-        from_cents(ratio(F.col("spend_cents"), F.col("amounts"), 0)).alias("avg_order_value"),
+        from_cents(mean_cents(F.col("spend"), F.col("amounts"))).alias("avg_order_value"),
         F.datediff(ref, "last_order_date").alias("recency_days"),
         F.datediff("last_order_date", "first_order_date").alias("lifespan_days"),
         F.datediff(ref, "first_order_date").alias("days_since_signup"),
@@ -64,7 +65,8 @@ def _base(clean: DataFrame, p: Params) -> DataFrame:
         from_cents(F.col("max_cents")).alias("max_order_value"),
         from_cents(F.col("min_cents")).alias("min_order_value"),
         "recent_cents",
-        "spend_cents",
+        "recent",
+        "spend",
     )
 
 
@@ -76,7 +78,7 @@ def _velocity() -> Column:
 
 
 def feat_base(clean: DataFrame, p: Params) -> DataFrame:
-    return _base(clean, p).drop("recent_cents", "spend_cents")
+    return _base(clean, p).drop("recent_cents", "recent", "spend")
 
 
 def feat_velocity(clean: DataFrame, p: Params) -> DataFrame:
@@ -106,14 +108,14 @@ def _category_listing(products: DataFrame, p: Params) -> DataFrame:
 
 def feat_category_share(items: DataFrame, clean: DataFrame, products: DataFrame, p: Params) -> DataFrame:
     """Fraction of the spend per category, three decimals."""
-    spend = F.sum(F.col("cents") * F.col("listed"))
+    spend = F.sum(F.col("spend") * F.col("listed"))
     return (
         customer_products(items, clean)
         .join(_category_listing(products, p), "product_id")
         .groupBy("customer_id")
         .agg(
             *[
-                ratio(F.sum(F.col("cents") * F.col(f"_in_{i}")), spend, 3).alias(share_column(c))
+                ratio(F.sum(F.col("spend") * F.col(f"_in_{i}")), spend, 3).alias(share_column(c))
                 for i, c in enumerate(p.categories)
             ],
             F.count(F.lit(1)).alias("distinct_products_bought"),
@@ -146,7 +148,7 @@ def ml_features(clean: DataFrame, items: DataFrame, products: DataFrame, custome
             "avg_discount_pct": F.coalesce("avg_discount_pct", zero),
             **{c: F.coalesce(c, zero) for c in shares},
             "distinct_products_bought": F.coalesce("distinct_products_bought", F.lit(0)).cast("bigint"),
-            "recent_spend_ratio": F.coalesce(ratio(F.col("recent_cents"), F.col("spend_cents"), 3), zero),
+            "recent_spend_ratio": F.coalesce(ratio(F.col("recent"), F.col("spend"), 3), zero),
             "is_churned": _churned(p),
         }
     )
@@ -155,19 +157,19 @@ def ml_features(clean: DataFrame, items: DataFrame, products: DataFrame, custome
 
 def _alt_shares(items: DataFrame, orders: DataFrame, products: DataFrame, p: Params) -> DataFrame:
     """Shares of the alternative table: items of any base order; NULL prices count as 0."""
-    lines = items.select("order_id", "product_id", F.coalesce(line_cents(items), F.lit(0)).alias("cents"))
+    lines = items.select("order_id", "product_id", F.coalesce(line_micros(items), F.lit(0)).alias("spend"))
     bought = (
         lines.join(order_owners(orders), "order_id")
         .groupBy("customer_id", "product_id")
-        .agg(F.sum(F.col("cents") * F.col("copies")).alias("cents"))
+        .agg(wide_sum(F.col("spend") * F.col("copies")).alias("spend"))
     )
-    spend = F.sum(F.col("cents") * F.coalesce("categorised", F.lit(0)))
+    spend = F.sum(F.col("spend") * F.coalesce("categorised", F.lit(0)))
     return (
         bought.join(_category_listing(products, p), "product_id", "left")
         .groupBy("customer_id")
         .agg(
             *[
-                ratio(F.sum(F.col("cents") * F.col(f"_in_{i}")), spend, 3).alias(share_column(c))
+                ratio(F.sum(F.col("spend") * F.col(f"_in_{i}")), spend, 3).alias(share_column(c))
                 for i, c in enumerate(p.categories)
             ],
             F.count("product_id").alias("distinct_products_bought"),
@@ -198,16 +200,16 @@ def ml_features_alt(
     base = t.select(
         "customer_id",
         F.col("order_count").alias("frequency"),
-        quotient(F.col("spend_cents"), F.lit(100)).alias("monetary"),
-        quotient(F.col("spend_cents"), F.col("amounts") * 100).alias("avg_order_value"),
-        from_cents(F.col("max_cents")).alias("max_order_value"),
-        from_cents(F.col("min_cents")).alias("min_order_value"),
+        quotient(F.col("spend"), F.lit(1_000_000)).alias("monetary"),
+        quotient(F.col("spend"), F.col("amounts") * 1_000_000).alias("avg_order_value"),
+        quotient(F.col("most"), F.lit(1_000_000)).alias("max_order_value"),
+        quotient(F.col("least"), F.lit(1_000_000)).alias("min_order_value"),
         "recency_days",
         lifespan.alias("lifespan_days"),
         ratio(F.col("discounted_orders") * 100, F.col("order_count"), 2).alias("discount_usage_rate"),
         mean_discount(F.col("all_discount_sum"), F.greatest("discounted_orders", F.lit(1))).alias("avg_discount_pct"),
         F.when(velocity.isNotNull(), F.least(velocity, F.lit(30.0))).alias("orders_per_month"),
-        ratio(F.coalesce("recent_cents", F.lit(0)), F.greatest("spend_cents", F.lit(100)), 3).alias(
+        ratio(F.coalesce("recent", F.lit(0)), F.greatest("spend", F.lit(1_000_000).cast("decimal(30,0)")), 3).alias(
             "recent_spend_ratio"
         ),
         _churned(p),

@@ -3,11 +3,14 @@
 from __future__ import annotations
 
 from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
 from typing import NamedTuple
 
+from pyspark.ml import Model
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from tidemark.operators import churn, kpis, ltv, rfm, segments
+from tidemark.operators import churn, kpis, ltv, metrics, rfm, segments
 from tidemark.plans.workspace import Workspace
 from tidemark.session import materialise
 from tidemark.sources.master import write_master
@@ -20,6 +23,7 @@ class Analysis(NamedTuple):
     model_auc: dict[str, float]
     cross_validation: DataFrame | None
     ltv_error: tuple[float, float]
+    evaluation: dict[str, DataFrame]
 
     def kpis(self) -> DataFrame:
         return kpis.report_kpis(self.master, self.retention)
@@ -33,7 +37,25 @@ def segmented(w: Workspace) -> DataFrame:
     return materialise(segments.kmeans_segments(rfm.rfm_percentile_scores(w.feature_table), w.p))
 
 
-def run_analysis(w: Workspace, cross_validate: bool = True) -> Analysis:
+def evaluate_models(data: churn.ChurnData, models: dict[str, Model]) -> dict[str, DataFrame]:
+    """Every measure of each model over the held-out customers, told apart by ``model_name``."""
+    label, score = "label", "churn_prob"
+    measures = {
+        "average_precision": lambda df: metrics.average_precision(df, label, score),
+        "roc_points": lambda df: metrics.roc_points(df, label, score),
+        "confusion_matrix": lambda df: metrics.confusion_matrix(df, label, "prediction"),
+        "classification_report": lambda df: metrics.classification_report(df, label, "prediction"),
+        "churn_prob_histogram": lambda df: churn.churn_prob_histogram(df, score, label),
+    }
+    held_out = {name: materialise(churn.test_predictions(data, model)) for name, model in models.items()}
+    found = {"feature_importance": churn.feature_importance(data, models)}
+    for measure, of in measures.items():
+        parts = [of(df).select(F.lit(name).alias("model_name"), "*") for name, df in held_out.items()]
+        found[measure] = reduce(DataFrame.unionByName, parts)
+    return found
+
+
+def run_analysis(w: Workspace, cross_validate: bool = True, exclude_leaky: bool = False) -> Analysis:
     """Segments, churn scores and lifetime value, one row per customer.
 
     The lifetime model does not use the churn score, so the models are trained side by
@@ -41,7 +63,7 @@ def run_analysis(w: Workspace, cross_validate: bool = True) -> Analysis:
     """
     p = w.p
     segment_table = segmented(w)
-    data = churn.prepare(segment_table, p)
+    data = churn.prepare(segment_table, p, exclude_leaky)
     with ThreadPoolExecutor(3) as pool:
         lifetime = pool.submit(ltv.train_ltv_model, ltv.ltv_heuristic(segment_table, p), p)
         fitted = pool.submit(churn.train_models, data, p)
@@ -52,6 +74,7 @@ def run_analysis(w: Workspace, cross_validate: bool = True) -> Analysis:
 
     ranking = churn.model_scores(data, models)
     data.training.unpersist()
+    evaluation = evaluate_models(data, models)
     scored = churn.churn_scored(data, models[ranking[0][0]], p)
     valued = materialise(ltv.predict_ltv(ltv.ltv_heuristic(scored, p), model, names))
     return Analysis(
@@ -61,6 +84,7 @@ def run_analysis(w: Workspace, cross_validate: bool = True) -> Analysis:
         model_auc=dict(ranking),
         cross_validation=comparison,
         ltv_error=(mae, r2),
+        evaluation=evaluation,
     )
 
 
@@ -70,3 +94,5 @@ def save(analysis: Analysis, folder: str) -> None:
     analysis.segment_summary.write.mode("overwrite").parquet(f"{folder}/segment_summary")
     analysis.kpis().write.mode("overwrite").parquet(f"{folder}/report_kpis")
     analysis.derived_kpis().write.mode("overwrite").parquet(f"{folder}/report_derived_kpis")
+    for name, df in analysis.evaluation.items():
+        df.write.mode("overwrite").parquet(f"{folder}/evaluation/{name}")
