@@ -191,3 +191,68 @@ def test_pipeline_keeps_columns(spark, sf_dir):
         assert rest.columns == docs.columns and 0 < rest.count() <= docs.count(), name
         docs = rest
     assert corpus_pipeline.STAGES[-1][1](spark, docs, sf_dir).count() == docs.count()
+
+
+def test_quality_model_sees_words_and_their_order(spark):
+    good = [f"the red house stands near road {i} and the old tree grows behind it" for i in range(300)]
+    odd = "it behind grows tree old the and road near stands house red the"
+    rows = [(i, text, "en") for i, text in enumerate(good)] + [(900, good[0].replace("road 0", "road 7"), "en"), (901, odd, "en"), (901, odd, "en")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    found = {r["_td_id"]: (r["perplexity"], r["kept"]) for r in quality_lm.quality_scores(docs, docs.filter("doc_id < 300").select("doc_id")).collect()}
+    assert found[900][1] and not found[901][1] and found[901][0] > 2 * found[900][0]
+
+
+def test_quality_model_sums_to_one(spark):
+    """Every word that can follow a context, and the spelling for all others, against the definition by brute force."""
+    texts = ["a b c a b", "a b d", "b c", "a b c a d d"]
+    docs = spark.createDataFrame([(i, x) for i, x in enumerate(texts)], "doc_id long, text string")
+    counts = quality_lm.word_counts(docs)
+    tri = {}
+    for x in texts:
+        w = ["<s>", "<s>", *x.split(), "</s>"]
+        for g in zip(w, w[1:], w[2:]):
+            tri[g] = tri.get(g, 0) + 1
+    assert sorted(r["c"] for r in counts.collect()) == sorted(tri.values())
+    spelling = {w: -1.0 for w in "abcd"}
+    hashed = quality_lm._Hashes()
+    rows = [(int.from_bytes(hashed[w].to_bytes(8, "little"), "little", signed=True), int(v * quality_lm.UNIT)) for w, v in spelling.items()]
+    weights, spelt = quality_lm.word_weights(counts, spark.createDataFrame(rows, "g1 long, spelling long"))
+    found = {r["gram"]: r["weight"] for r in weights.collect()}
+    bi = {}
+    for g in tri:
+        bi[g[1:]] = bi.get(g[1:], 0) + 1
+    uni = {}
+    for g in bi:
+        uni[g[1:]] = uni.get(g[1:], 0) + 1
+
+    def discounts(table):
+        n = [sum(v == k for v in table.values()) for k in (1, 2, 3, 4)]
+        if not all(n[:3]):
+            return (0.5,) * 3
+        y = n[0] / (n[0] + 2 * n[1])
+        return [min(max(k - (k + 1) * y * n[k] / n[k - 1], 0.0), k) for k in (1, 2, 3)]
+
+    tables = {1: uni, 2: bi, 3: tri}
+
+    def p(gram):
+        if not gram:
+            return None
+        table, d = tables[len(gram)], discounts(tables[len(gram)])
+        lower = p(gram[1:]) if len(gram) > 1 else (1 / 64 if gram == ("</s>",) else 2.718281828459045**-1.0)
+        own = {g: c for g, c in table.items() if g[:-1] == gram[:-1]}
+        if not own:
+            return lower
+        cut = {g: d[min(c, 3) - 1] for g, c in own.items()}
+        seen = (own[gram] - cut[gram]) / sum(own.values()) if gram in own else 0.0
+        return seen + sum(cut.values()) / sum(own.values()) * lower
+
+    import math
+
+    text = "a b c b d"
+    w = ["<s>", "<s>", *text.split(), "</s>"]
+    want = sum(math.log(p(g)) for g in zip(w, w[1:], w[2:]))
+    grams = spark.createDataFrame([(1, 1, text)], "_td_id long, _td_hash long, text string").mapInArrow(
+        quality_lm._document_grams, "_td_id long, _td_hash long, gram long, c long"
+    )
+    got = sum(r["c"] * found.get(r["gram"], 0) for r in grams.collect()) / quality_lm.UNIT + 6 * spelt - 5 - math.log(64)
+    assert abs(got - want) < 1e-6
