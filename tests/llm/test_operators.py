@@ -256,3 +256,17 @@ def test_quality_model_sums_to_one(spark):
     )
     got = sum(r["c"] * found.get(r["gram"], 0) for r in grams.collect()) / quality_lm.UNIT + 6 * spelt - 5 - math.log(64)
     assert abs(got - want) < 1e-6
+
+
+def test_thresholds_alike_at_every_size(spark):
+    def rows(lang, n, middle, outlier=()):
+        return [(lang, middle * 1.2 ** ((2 * i + 1) / n - 1)) for i in range(n)] + [(lang, x) for x in outlier]
+
+    def limits(*parts):
+        own, whole = quality_lm.thresholds(spark.createDataFrame(sum(parts, []), "_td_lang string, perplexity double"))
+        return {r["_td_of"]: r["own"] for r in own.collect()} | {"": whole}
+
+    many = rows("en", 400, 5.0)
+    at = {n: limits(many, rows("de", n, 8.0))["de"] for n in (20, 49, 51, 97, 400)}
+    assert abs(at[49] / at[51] - 1) < 0.03 and abs(at[97] / at[400] - 1) < 0.1 and at[20] > 1.2 * limits(many)["en"]
+    assert limits(many, rows("de", 97, 8.0, [80.0]))["de"] < 1.05 * at[97]
