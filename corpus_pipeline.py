@@ -32,8 +32,8 @@ def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """How often each document's words enter the mix."""
-    return mixing.mix(docs)
+    """The mixed text: each document's rows of the output shards, and how many of its words they take."""
+    return mixing.mixed(docs)
 
 
 STAGES = [

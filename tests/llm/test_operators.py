@@ -270,3 +270,24 @@ def test_thresholds_alike_at_every_size(spark):
     at = {n: limits(many, rows("de", n, 8.0))["de"] for n in (20, 49, 51, 97, 400)}
     assert abs(at[49] / at[51] - 1) < 0.03 and abs(at[97] / at[400] - 1) < 0.1 and at[20] > 1.2 * limits(many)["en"]
     assert limits(many, rows("de", 97, 8.0, [80.0]))["de"] < 1.05 * at[97]
+
+
+def test_shards_are_drawn_and_hold_the_text(tables, spark, sf_dir):
+    plan = mixing.MixPlan(slots_per_shard=64)
+    docs = t.read(spark, sf_dir, "documents")
+    drawn = mixing.draw(docs, plan).slots
+    cells = [tuple(r) for r in drawn.select("shard", "slot").collect()]
+    assert sorted(cells) == [(i // 64, i % 64) for i in range(len(cells))]
+    counts = {(r["shard"], r["source_no"]): r["n_slots"] for r in mixing.shard_counts(drawn).collect()}
+    full, sources = len(cells) // 64, sorted({k[1] for k in counts})
+    total = {k: sum(n for (_, s), n in counts.items() if s == k) for k in sources}
+    off = sum((counts.get((i, k), 0) - 64 * total[k] / len(cells)) ** 2 / (64 * total[k] / len(cells)) for i in range(full) for k in sources)
+    assert 0.6 < off / (full * (len(sources) - 1)) < 1.5  # a chi-square of its degrees of freedom; an even spread has next to none
+    for frame in (docs, tables):
+        texts = [(r.doc_id, r.source, re.findall(t.WORD, r.text or "")) for r in frame.collect()]
+        found = corpus_pipeline.STAGES[-1][1](spark, frame, sf_dir).collect()
+        assert len(found) == len(texts)
+        for r in found:
+            assert r.taken == sum(len(x.text.split(" ")) for x in r.rows)
+            mine = [w for i, source, w in texts if (i, source, len(w)) == (r.doc_id, r.source, r.size)]
+            assert all(any(w[x.first_word : x.first_word + len(x.text.split(" "))] == x.text.split(" ") for w in mine) for x in r.rows)

@@ -3,11 +3,11 @@
 Each source's documents are laid end to end and cut into blocks of ``block_words`` words. Offsets
 come from two-level running sums, within a pack group and over the group totals, so no source is
 ordered in one task. The output has shards of ``slots_per_shard`` slots. A source owns as many
-slots as its target asks for; an affine permutation of all slots deals them out to shards, so the
-counts of a shard are a multinomial draw under the condition that all shards together meet the
-targets. The j-th slot of a source is the block that the source's permutation of the epoch gives,
-and blocks are joined by index. A permutation is arithmetic on an index: nothing is collected, and
-a rerun gives the same mix.
+slots as its target asks for. All slots are drawn into a random order, by a seeded hash of source and
+number, and that order is cut into shards: the source counts of a shard are a multinomial draw under the
+condition that all shards together meet the targets. The j-th slot of a source is the block that the
+source's permutation of the epoch gives, and blocks are joined by index. The order comes from two-level
+ranks, within a hash range and over the range totals; nothing is collected, and a rerun gives the same mix.
 
 Defined cases: a NULL text has size 0 and a document of size 0 takes nothing; a NULL source is a
 source of its own, the last. Repeated rows are packed one by one, and NULL ids count as id 0 for
@@ -36,6 +36,7 @@ class MixPlan:
     block_words: int = 32
     pack_groups: int = 4096
     slots_per_shard: int = 4096
+    seed: int = 17
 
 
 def _permuted(index: Column, n: Column, turn: Column) -> Column:
@@ -52,6 +53,7 @@ def sized(docs: DataFrame, text: str = "text", key: str = "doc_id", source: str
         F.col(key).alias("doc_id"),
         F.col(source).alias("source"),
         F.regexp_count(F.coalesce(F.col(text), F.lit("")), F.lit(t.WORD)).cast("long").alias("size"),
+        t.row_key(text, key)[1],
     )
 
 
@@ -115,7 +117,7 @@ def packed(sizes: DataFrame, sources: DataFrame, plan: MixPlan = MixPlan()) -> D
     in_source = Window.partitionBy("source_no").orderBy("_td_group").rowsBetween(Window.unboundedPreceding, -1)
     in_group = (
         Window.partitionBy("source_no", "_td_group")
-        .orderBy("_td_order", "size")
+        .orderBy("_td_order", "size", "_td_hash")
         .rowsBetween(Window.unboundedPreceding, -1)
     )
     starts = groups.select("source_no", "_td_group", F.coalesce(F.sum("_td_sum").over(in_source), F.lit(0)).alias("_td_base"))
@@ -128,7 +130,7 @@ def packed(sizes: DataFrame, sources: DataFrame, plan: MixPlan = MixPlan()) -> D
 
 
 def slots(sources: DataFrame, plan: MixPlan = MixPlan()) -> DataFrame:
-    """(source_no, block, shard, slot): every slot of the output, in chunks that spread over tasks."""
+    """(source_no, block, shard, slot): every slot of the output, made in chunks that spread over tasks."""
     chunks = sources.filter("n_slots > 0").select(
         "source_no",
         "n_blocks",
@@ -143,13 +145,38 @@ def slots(sources: DataFrame, plan: MixPlan = MixPlan()) -> DataFrame:
     )
     epoch = F.floor(F.col("j") / F.col("n_blocks"))
     turn = F.col("source_no") * 31 + epoch
-    dealt = _permuted(F.col("first_slot") + F.col("j"), F.col("all_slots"), F.lit(0).cast("long"))
-    return each.select(
+    # Ranges of the hash, a shard's slots in each.
+    ranges = F.floor((F.col("all_slots") - 1) / plan.slots_per_shard) + 1
+    drawn = F.xxhash64("source_no", "j", F.lit(plan.seed))
+    high = F.shiftrightunsigned(drawn, 32)
+    mapped = each.select(
         "source_no",
+        "j",
         _permuted(F.pmod(F.col("j"), F.col("n_blocks")), F.col("n_blocks"), turn).alias("block"),
-        F.floor(dealt / plan.slots_per_shard).alias("shard"),
-        F.pmod(dealt, F.lit(plan.slots_per_shard)).alias("slot"),
+        drawn.alias("drawn"),
+        F.floor(high.cast("decimal(20,0)") * ranges.cast("decimal(17,0)") / F.lit(1 << 32).cast("decimal(10,0)")).cast("long").alias("range"),
+        # The unsigned order of the hash, which that of ranges follows.
+        drawn.bitwiseXOR(F.lit(-(1 << 63))).alias("order"),
     )
+    sums = mapped.groupBy("range").agg(F.count("*").alias("n"))
+    starts = sums.select("range", F.coalesce(F.sum("n").over(before_of("range")), F.lit(0)).alias("base"))
+    rank = F.row_number().over(Window.partitionBy("range").orderBy("order", "source_no", "j")) - 1
+    place = F.col("base") + F.col("rank")
+    return (
+        mapped.withColumn("rank", rank)
+        .join(starts, "range")
+        .select(
+            "source_no",
+            "block",
+            F.floor(place / plan.slots_per_shard).alias("shard"),
+            F.pmod(place, F.lit(plan.slots_per_shard).cast("long")).alias("slot"),
+        )
+    )
+
+
+def shard_counts(drawn: DataFrame) -> DataFrame:
+    """(shard, source_no, n_slots) of what :func:`slots` gives."""
+    return drawn.groupBy("shard", "source_no").agg(F.count("*").alias("n_slots"))
 
 
 def pieces(placed: DataFrame, plan: MixPlan = MixPlan()) -> DataFrame:
@@ -165,46 +192,81 @@ def pieces(placed: DataFrame, plan: MixPlan = MixPlan()) -> DataFrame:
     )
 
 
-def mix(docs: DataFrame, plan: MixPlan = MixPlan(), **names: str) -> DataFrame:
-    """(doc_id, size, source, source_size, target, taken), a row for each of ``docs``."""
+@dataclass(frozen=True)
+class Drawn:
+    """The written tables of one mix: the documents with their places, and the slots."""
+
+    placed: DataFrame
+    slots: DataFrame
+
+
+def draw(docs: DataFrame, plan: MixPlan = MixPlan(), **names: str) -> Drawn:
     sizes = t.materialise(sized(docs, **names))
     sources = t.materialise(source_targets(sizes, plan))
-    placed = packed(sizes, sources, plan)
-    counts = slots(sources, plan).groupBy("source_no", "block").agg(F.count("*").alias("times"))
-    own = ["doc_id", "source", "source_no", "size", "source_size", "target"]
+    return Drawn(packed(sizes, sources, plan), t.materialise(slots(sources, plan)))
+
+
+def _taken(drawn: Drawn, plan: MixPlan) -> DataFrame:
+    """(doc_id, source, size, source_size, target, taken, source_no, start, _td_hash): the words of each document's rows in the slots."""
+    own = ["doc_id", "source", "size", "source_size", "target", "source_no", "start", "_td_hash"]
     taken = (
-        pieces(placed, plan)
+        pieces(drawn.placed, plan)
         # As many blocks as words / block_words: never a broadcast.
-        .join(counts.hint("merge"), ["source_no", "block"], "left")
-        .groupBy(*own, "start")
-        .agg(F.sum(F.col("n_words") * F.coalesce("times", F.lit(0))).alias("taken"))
+        .join(drawn.slots.hint("merge"), ["source_no", "block"], "left")
+        .groupBy(*own)
+        .agg(F.sum(F.when(F.col("slot").isNotNull(), F.col("n_words")).otherwise(0)).alias("taken"))
     )
-    none = placed.filter("size = 0").withColumn("taken", F.lit(0).cast("long"))
-    columns = ["doc_id", "source", "size", "source_size", "target", "taken"]
-    return taken.select(*columns).unionByName(none.select(*columns))
+    none = drawn.placed.filter("size = 0").withColumn("taken", F.lit(0).cast("long"))
+    return taken.select(*own, "taken").unionByName(none.select(*own, "taken"))
 
 
-def shard_rows(docs: DataFrame, plan: MixPlan = MixPlan(), text: str = "text", key: str = "doc_id", source: str = "source") -> DataFrame:
-    """(shard, slot, source, doc_id, first_word, text): the mix itself; a slot's rows in order of first_word form its block.
+def mix(docs: DataFrame, plan: MixPlan = MixPlan(), **names: str) -> DataFrame:
+    """(doc_id, size, source, source_size, target, taken), a row for each of ``docs``."""
+    return _taken(draw(docs, plan, **names), plan).select("doc_id", "source", "size", "source_size", "target", "taken")
 
-    The words are cut where a document lies, before any shuffle.
-    """
-    sizes = sized(docs, text, key, source)
-    sources = source_targets(sizes, plan)
-    placed = packed(sizes, sources, plan)
-    words = docs.select(
-        F.col(key).alias("_td_id"), F.col(source).alias("_td_source"), t.words(F.col(text)).alias("_td_words")
-    ).dropDuplicates(["_td_id", "_td_source", "_td_words"])
-    cut = pieces(placed, plan)
-    met = cut.join(
-        words,
-        cut["doc_id"].eqNullSafe(words["_td_id"])
-        & cut["source"].eqNullSafe(words["_td_source"])
-        & (cut["size"] == F.size("_td_words")),
+
+def _rows(docs: DataFrame, drawn: Drawn, plan: MixPlan, text: str, key: str, source: str) -> DataFrame:
+    """(shard, slot, source, doc_id, first_word, text, source_no, start)."""
+    texts = docs.select(*t.row_key(text, key), F.col(source).alias("_td_source"), F.col(text).alias("_td_text"))
+    texts = texts.dropDuplicates(["_td_id", "_td_hash", "_td_source"])
+    placed = drawn.placed.filter("size > 0").withColumnRenamed("_td_hash", "_td_of")
+    met = placed.join(
+        texts,
+        placed["doc_id"].eqNullSafe(texts["_td_id"]) & (placed["_td_of"] == texts["_td_hash"]) & placed["source"].eqNullSafe(texts["_td_source"]),
+    )
+    block, end = plan.block_words, F.col("start") + F.col("size")
+
+    def cut(words: Column) -> Column:
+        def piece(number: Column) -> Column:
+            first = F.greatest(F.col("start"), number * block)
+            many = F.least(end, (number + 1) * block) - first
+            at = (first - F.col("start")).cast("int")
+            return F.struct(number.alias("block"), at.cast("long").alias("first_word"), F.array_join(F.slice(words, at + 1, many.cast("int")), " ").alias("text"))
+
+        return F.transform(F.sequence(F.floor(F.col("start") / block), F.floor((end - 1) / block)), piece)
+
+    parts = met.select("source_no", "source", "doc_id", "start", F.inline(t.let(t.words(F.col("_td_text")), cut)))
+    return parts.join(drawn.slots.hint("merge"), ["source_no", "block"]).select(
+        "shard", "slot", "source", "doc_id", "first_word", "text", "source_no", "start"
     )
-    piece = F.array_join(F.slice("_td_words", F.col("first_word").cast("int") + 1, F.col("n_words").cast("int")), " ")
-    return met.join(slots(sources, plan), ["source_no", "block"]).select(
-        "shard", "slot", "source", "doc_id", "first_word", piece.alias("text")
+
+
+def shard_rows(docs: DataFrame, plan: MixPlan = MixPlan(), text: str = "text", key: str = "doc_id", source: str = "source") -> DataFrame:
+    """(shard, slot, source, doc_id, first_word, text): the mix itself; a slot's rows in order of first_word form its block."""
+    drawn = draw(docs, plan, text=text, key=key, source=source)
+    return _rows(docs, drawn, plan, text, key, source).drop("source_no", "start")
+
+
+def mixed(docs: DataFrame, plan: MixPlan = MixPlan(), text: str = "text", key: str = "doc_id", source: str = "source") -> DataFrame:
+    """What :func:`mix` gives, and ``rows``: the document's rows of :func:`shard_rows`, (shard, slot, first_word, text), in order."""
+    drawn = draw(docs, plan, text=text, key=key, source=source)
+    own = ["source_no", "start"]
+    rows = _rows(docs, drawn, plan, text, key, source).groupBy(*own).agg(F.sort_array(F.collect_list(F.struct("shard", "slot", "first_word", "text"))).alias("rows"))
+    # A document without words shares its start with the next one.
+    counted = _taken(drawn, plan).withColumn("_td_start", F.when(F.col("size") > 0, F.col("start")))
+    rows = rows.withColumnsRenamed({"source_no": "_td_no", "start": "_td_at"})
+    return counted.join(rows, (F.col("source_no") == F.col("_td_no")) & (F.col("_td_start") == F.col("_td_at")), "left").select(
+        "doc_id", "source", "size", "source_size", "target", "taken", F.coalesce("rows", F.array().cast(rows.schema["rows"].dataType)).alias("rows")
     )
 
 
