@@ -291,3 +291,17 @@ def test_shards_are_drawn_and_hold_the_text(tables, spark, sf_dir):
             assert r.taken == sum(len(x.text.split(" ")) for x in r.rows)
             mine = [w for i, source, w in texts if (i, source, len(w)) == (r.doc_id, r.source, r.size)]
             assert all(any(w[x.first_word : x.first_word + len(x.text.split(" "))] == x.text.split(" ") for w in mine) for x in r.rows)
+
+
+def test_licence_within_other_words(spark):
+    texts = {
+        "a": "Copyright 2020 Acme Inc. Licensed under the Apache License, Version 2.0",
+        "b": "This project is released under the MIT License. See the LICENSE file in the root for details.",
+        "c": "/* This work is licensed under\n * the GNU General Public\n * License, version 3 */ int main",
+        "d": "words " * 300 + "redistribution and use in source and binary forms, with or without modification, are permitted " + "words " * 300,
+        "e": "SPDX-License-Identifier: ISC",
+        "f": "The driving license of a person is not under the copyright of the state.",
+    }
+    files = spark.createDataFrame(list(texts.items()), "path string, text string")
+    found = {r.path: r.own_licence for r in license_scan.license_scan(files).collect()}
+    assert found == {"a": "Apache-2.0", "b": "MIT", "c": "GPL-3.0", "d": "BSD-3-Clause", "e": None, "f": None}

@@ -1,13 +1,16 @@
 """License scan: TF-IDF cosine of licence statements to templates, then inheritance by directory.
 
-A statement is a line with an anchor term; every template has one. Terms are weighted by their
-frequency in the line and their rarity among the templates; a term that no template has weighs as
-the rarest. A file's own licence is the template with the highest cosine over its lines, from
+Statements may stand anywhere in a file's text: around each anchor term, which every template has one of, windows as
+long as a template slide over the terms, across line ends. Terms are weighted by their frequency in the window and
+their rarity among the templates; a term that no template has weighs nothing, but a window must hold more than half
+of a template's terms. The templates are the sentences that grant a licence; whole licence texts are found by these.
+
+A file's own licence is the template with the highest cosine over its windows, from
 ``MIN_COSINE`` up. A file without one inherits from the licence file in its own or the nearest
 ancestor directory: directories are expanded to their ancestors once each, not once a file, and
 joined with the directories that hold a licence file.
 
-Equal lines are scored once, whatever their count. Hot directories are joined after all licences of
+Terms outside the templates are one mark, and equal surroundings are scored once, whatever their count. Hot directories are joined after all licences of
 a directory have become one row.
 
 Defined cases: NULL and empty texts have no licence of their own. A NULL path has no directory and
@@ -17,6 +20,8 @@ highest cosine, then the smaller name. Rows that share path and text share their
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -24,6 +29,8 @@ from tidemark.llm import text as t
 
 MIN_COSINE = 0.6
 ANCHOR = r"(?i)licen[cs]|copyright|spdx|rights reserved|permission is hereby|redistribution"
+ANCHOR_TERM = r"licen[cs]|copyright|spdx|reserved|permission|redistribution"
+OTHER = "_"
 LICENCE_FILE = r"(?i)(^|/)(licen[cs]e|copying|notice)[^/]*$"
 # Statements by which the licences are granted.
 TEMPLATES = (
@@ -74,33 +81,70 @@ def template_vectors(spark, templates=TEMPLATES) -> tuple[DataFrame, DataFrame,
     return unit, rarity, log(1 + total) + 1
 
 
-def score_lines(lines: DataFrame, templates=TEMPLATES, min_cosine: float = MIN_COSINE) -> DataFrame:
-    """(line, licence, cosine) of the distinct ``line`` values that are a licence statement."""
-    unit, rarity, unknown = template_vectors(lines.sparkSession, templates)
-    terms = _frequencies(lines.select("line").distinct(), "line")
-    weighed = terms.join(F.broadcast(rarity), "term", "left").withColumn(
-        "weight", F.col("tf") * F.coalesce("rarity", F.lit(unknown))
+def _lengths(templates) -> list[int]:
+    return sorted({len(_plain_terms(line)) for _, line in templates})
+
+
+def _plain_terms(line: str) -> list[str]:
+    return [w for w in (x.strip(".-") for x in re.split(r"[^a-z0-9.\-]+", line.lower())) if w]
+
+
+def surroundings(text: Column, templates=TEMPLATES) -> Column:
+    """What stands around each anchor term, as far as a window reaches: terms of the templates, others as one mark."""
+    reach = _lengths(templates)[-1] - 1
+    known = sorted({w for _, line in templates for w in _plain_terms(line)})
+
+    def around(terms: Column) -> Column:
+        anchors = F.filter(F.transform(terms, lambda w, i: F.when(w.rlike(ANCHOR_TERM), i)), lambda i: i.isNotNull())
+
+        def context(i: Column) -> Column:
+            first = F.greatest(i - reach, F.lit(0))
+            near = F.slice(terms, first + 1, i - first + 1 + reach)
+            return F.array_join(F.transform(near, lambda w: F.when(w.isin(known), w).otherwise(OTHER)), " ")
+
+        return F.array_distinct(F.transform(anchors, context))
+
+    return t.let(_terms(text), around)
+
+
+def score_surroundings(found: DataFrame, templates=TEMPLATES, min_cosine: float = MIN_COSINE) -> DataFrame:
+    """(context, licence, cosine) of the distinct ``context`` values with a window that is a licence statement."""
+    unit, rarity, _ = template_vectors(found.sparkSession, templates)
+    longest = F.expr("int(sum(tf) OVER (PARTITION BY no))")
+    sizes = _frequencies(found.sparkSession.createDataFrame([(n, line) for n, (_, line) in enumerate(templates)], "no int, line string"), "no")
+    sizes = sizes.select("no", longest.alias("length"), F.count("*").over(Window.partitionBy("no")).alias("n_terms")).distinct()
+    unit = unit.join(F.broadcast(sizes), "no")
+    contexts = found.select("context").distinct().withColumn("terms", F.split("context", " "))
+    each = contexts.withColumn("length", F.explode(F.array(*[F.lit(n) for n in _lengths(templates)])))
+    starts = F.sequence(F.lit(1), F.greatest(F.size("terms") - F.col("length") + 1, F.lit(1)))
+    each = each.withColumn("at", F.explode(starts))
+    window = F.array_sort(F.filter(F.slice("terms", F.col("at"), F.col("length")), lambda w: w != OTHER))
+    windows = t.materialise(each.select("context", "length", F.array_join(window, " ").alias("window")).filter("window LIKE '% %'").distinct())
+    own = ["window", "length"]
+    terms = windows.select(*own).distinct().withColumn("term", F.explode(F.split("window", " "))).groupBy(*own, "term").agg(F.count("*").alias("tf"))
+    weighed = terms.join(F.broadcast(rarity), "term").withColumn("weight", F.col("tf") * F.col("rarity"))
+    norms = weighed.groupBy(*own).agg(F.sqrt(F.sum(F.col("weight") * F.col("weight"))).alias("norm"))
+    dots = (
+        weighed.join(F.broadcast(unit), ["term", "length"])
+        .groupBy(*own, "no", "licence", "n_terms")
+        .agg(F.sum(F.col("weight") * F.col("unit")).alias("dot"), F.count("*").alias("met"))
+        .filter(F.col("met") * 2 > F.col("n_terms"))
     )
-    norms = weighed.groupBy("line").agg(F.sqrt(F.sum(F.col("weight") * F.col("weight"))).alias("norm"))
-    dots = weighed.join(F.broadcast(unit), "term").groupBy("line", "no", "licence").agg(F.sum(F.col("weight") * F.col("unit")).alias("dot"))
-    scored = dots.join(norms, "line").withColumn("cosine", F.round(F.col("dot") / F.col("norm"), 9))
+    scored = dots.join(norms, own).withColumn("cosine", F.round(F.col("dot") / F.col("norm"), 9))
     best = F.min(F.struct((-F.col("cosine")).alias("less"), "licence"))
-    return (
-        scored.filter(F.col("cosine") >= min_cosine)
-        .groupBy("line")
-        .agg(best.alias("best"))
-        .select("line", F.col("best.licence").alias("licence"), (-F.col("best.less")).alias("cosine"))
-    )
+    stated = scored.filter(F.col("cosine") >= min_cosine).groupBy(*own).agg(best.alias("stated"))
+    met = windows.join(stated, own).groupBy("context").agg(F.min("stated").alias("best"))
+    return met.select("context", F.col("best.licence").alias("licence"), (-F.col("best.less")).alias("cosine"))
 
 
 def own_licences(files: DataFrame, text: str = "text", path: str = "path", min_cosine: float = MIN_COSINE) -> DataFrame:
     """(_td_id, _td_hash, licence, cosine) of the files with a licence statement; the id is the path."""
-    each = files.select(*t.row_key(text, path), F.explode(t.lines(F.col(text))).alias("line"))
-    stated = t.materialise(each.filter(F.col("line").rlike(ANCHOR)))
-    scored = score_lines(stated, min_cosine=min_cosine)
+    anchored = files.filter(F.col(text).rlike(f"(?i){ANCHOR_TERM}"))
+    stated = t.materialise(anchored.select(*t.row_key(text, path), F.explode(surroundings(F.col(text))).alias("context")))
+    scored = score_surroundings(stated, min_cosine=min_cosine)
     best = F.min(F.struct((-F.col("cosine")).alias("less"), "licence"))
     return (
-        stated.join(scored, "line")
+        stated.join(scored, "context")
         .groupBy("_td_id", "_td_hash")
         .agg(best.alias("best"))
         .select("_td_id", "_td_hash", F.col("best.licence").alias("licence"), (-F.col("best.less")).alias("cosine"))
