@@ -1,6 +1,8 @@
 """Secret scan: candidates by shape, a random forest to drop the false positives.
 
-A candidate is a run of at least ``MIN_LENGTH`` key characters with a digit. Its features are length,
+A candidate is a run of at least ``MIN_LENGTH`` key characters that has a digit, the shape of an issued key, or
+``TURNS`` changes between small letters and capitals; and, at any length and of any characters, the value of a
+name of a credential. Its features are length,
 character transitions and classes, the share of its letter runs that the corpus uses as words
 (counted over all documents), its path, and the neighbouring words. The forest learns from labelled
 findings, of which at most ``MAX_LABELLED`` are taken, in hash order; copies of a finding count once.
@@ -28,6 +30,7 @@ TREES, DEPTH, SEED = 40, 6, 17
 # Words that name a credential, prefixes and shapes of issued keys.
 CREDENTIAL = r"(?i)(token|password|passwd|secret|api.?key|access.?key|auth|credential|bearer)"
 ISSUED = r"^(AKIA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{36}|xox[abp]-[A-Za-z0-9-]{10,}|sk-[A-Za-z0-9]{20,})$"
+TURNS = 3
 NUMBERS = r"^[0-9+\-/=_]+$"
 
 FEATURES = (
@@ -50,22 +53,36 @@ FEATURES = (
 def candidates(docs: DataFrame, text: str = "text", key: str = "doc_id", path: str = "source") -> DataFrame:
     """(doc_id, path, position, candidate, name, quoted, before, before_2, after), one row for each candidate of a word."""
     split = docs.select(F.col(key).alias("doc_id"), F.col(path).alias("path"), t.words(F.col(text)).alias("w"))
-    long_ones = F.filter(
+    shape = rf"[A-Za-z0-9+/_-]{{{MIN_LENGTH},}}"
+    # Words with a run, and words that may be the value of a name: the name is in them, or in one of the two before.
+    wanted = F.filter(
         F.transform("w", lambda x, i: F.struct(i.alias("i"), x.alias("x"))),
-        lambda s: (F.length(s["x"]) >= MIN_LENGTH) & s["x"].rlike(r"[0-9]"),
+        lambda s: s["x"].rlike(shape)
+        | s["x"].rlike(rf"{CREDENTIAL}[^=:]*[=:]")
+        | F.coalesce(F.get("w", s["i"] - 1).rlike(r"[=:][\"']?$"), F.lit(False)),
     )
-    shape = rf"[A-Za-z0-9+/_-]{{{MIN_LENGTH},}}"
-    each = split.withColumn("s", F.explode(long_ones)).withColumn("i", F.col("s.i"))
+    each = split.withColumn("s", F.explode(wanted)).withColumn("i", F.col("s.i"))
     near = {name: F.coalesce(F.get("w", F.col("i") + k), F.lit("")) for name, k in (("before", -1), ("before_2", -2), ("after", 1))}
-    cut = each.withColumns(near).withColumn("candidate", F.explode(F.regexp_extract_all("s.x", F.lit(f"({shape})"), 1)))
-    return cut.filter(F.col("candidate").rlike("[0-9]")).select(
+    each = each.withColumns(near)
+    runs = F.filter(
+        F.regexp_extract_all("s.x", F.lit(f"({shape})"), 1),
+        lambda c: c.rlike("[0-9]") | c.rlike(ISSUED) | c.rlike(rf"(([a-z](?=[A-Z])|[A-Z](?=[a-z])).*){{{TURNS}}}"),
+    )
+    named = F.regexp_extract("s.x", rf"^[^=:]*{CREDENTIAL}[^=:]*:?[=:](.*)$", 2)
+    after_name = (F.col("before").isin("=", ":", ":=") & F.col("before_2").rlike(CREDENTIAL)) | F.col("before").rlike(rf"{CREDENTIAL}[^=:]*[=:]$")
+    value = F.when(named != "", named).when(after_name & ~F.col("s.x").isin("=", ":", ":="), F.col("s.x")).otherwise("")
+    value = F.regexp_replace(value, r"^[\"'`(\[{]+|[\"'`)\]},;.]+$", "")
+    both = F.array_union(runs, F.filter(F.array(value), lambda v: v != ""))
+    return each.withColumn("candidate", F.explode(both)).select(
         "doc_id",
         "path",
         F.col("i").alias("position"),
         "candidate",
         F.regexp_extract(F.col("s.x"), r"^([A-Za-z_.-]+)[=:]", 1).alias("name"),
         F.col("s.x").rlike("[\"']").alias("quoted"),
-        *near,
+        "before",
+        "before_2",
+        "after",
     )
 
 
@@ -148,7 +165,9 @@ def secret_scan(docs: DataFrame, label: Column, text: str = "text", key: str = "
 def rule_label() -> Column:
     """The query's labelled findings: issued shapes and named credentials are true, plain numbers false, others open."""
     assigned = F.col("name").rlike(CREDENTIAL) | (F.col("before").isin("=", ":", ":=") & F.col("before_2").rlike(CREDENTIAL))
-    return F.when(F.col("candidate").rlike(ISSUED) | (assigned & F.col("candidate").rlike("[a-z]")), 1).when(F.col("candidate").rlike(NUMBERS), 0)
+    # A value of letters only may be a word of the text, after a name that is one too: open.
+    keyed = F.col("candidate").rlike("[a-z]") & F.col("candidate").rlike("[^a-z.]")
+    return F.when(F.col("candidate").rlike(ISSUED) | (assigned & keyed), 1).when(F.col("candidate").rlike(NUMBERS), 0)
 
 
 def op2_secret_scan(spark, sf_dir: str) -> DataFrame:
