@@ -355,11 +355,16 @@ def linked_components(docs: DataFrame, own: DataFrame, plan: JoinPlan, text: str
     return components(links.unionByName(more))
 
 
-def document_components(docs: DataFrame, plan: JoinPlan = JoinPlan(), text: str = "text", key: str = "doc_id") -> DataFrame:
-    """(_td_id, _td_hash, n_shingles, component_id), a row for each of ``docs``."""
+def _grouped(docs: DataFrame, plan: JoinPlan, text: str, key: str) -> DataFrame:
+    """What :func:`document_sets` gives, with ``group``: the same for all documents of a component."""
     own = t.materialise(document_sets(docs, plan, text, key))
     roots = linked_components(docs, own, plan, text)
-    placed = own.join(roots, "sid", "left").withColumn("group", F.coalesce("root", "sid"))
+    return own.join(roots, "sid", "left").withColumn("group", F.coalesce("root", "sid"))
+
+
+def document_components(docs: DataFrame, plan: JoinPlan = JoinPlan(), text: str = "text", key: str = "doc_id") -> DataFrame:
+    """(_td_id, _td_hash, n_shingles, component_id), a row for each of ``docs``."""
+    placed = _grouped(docs, plan, text, key)
     # One row an equal set and id before the groups meet.
     least = placed.filter("n > 0").groupBy("group").agg(F.min("_td_id").alias("least"))
     return placed.join(least, "group", "left").select(
@@ -371,11 +376,22 @@ def document_components(docs: DataFrame, plan: JoinPlan = JoinPlan(), text: str
 
 
 def remove_near_duplicates(docs: DataFrame, plan: JoinPlan = JoinPlan(), text: str = "text", key: str = "doc_id") -> DataFrame:
-    """``docs`` with one document of each component, that of the smallest id; all columns kept."""
-    found = document_components(docs, plan, text, key)
-    gone = found.filter(F.col("_td_id") != F.col("component_id")).select("_td_id", "_td_hash").distinct()
+    """``docs`` with one row of each component; all columns kept.
+
+    It is the first by id, NULL last, then by the text's hash, then by that of the whole row. Rows without a word stay.
+    """
+    placed = t.materialise(_grouped(docs, plan, text, key).filter("n > 0").select("group", "_td_id", "_td_hash"))
+    order = F.struct(F.col("_td_id").isNull().alias("last"), "_td_id", "_td_hash")
+    first = placed.groupBy("group").agg(F.min(order).alias("first"))
+    stays = (F.col("_td_id").eqNullSafe(F.col("first._td_id"))) & (F.col("_td_hash") == F.col("first._td_hash"))
+    gone = placed.join(first, "group").filter(~stays).select("_td_id", "_td_hash").distinct()
+    again = t.materialise(placed.groupBy("_td_id", "_td_hash").agg(F.count("*").alias("n")).filter("n > 1").drop("n"))
     keyed = docs.withColumns(dict(zip(("_td_id", "_td_hash"), t.row_key(text, key))))
-    return keyed.join(gone, t.same_key(keyed, gone), "left_anti").select(*docs.columns)
+    rest = keyed.join(gone, t.same_key(keyed, gone), "left_anti")
+    once = rest.join(again, t.same_key(rest, again), "left_anti").select(*docs.columns)
+    equal = Window.partitionBy("_td_id", "_td_hash").orderBy(F.xxhash64(*docs.columns))
+    repeated = rest.join(again, t.same_key(rest, again), "left_semi").withColumn("_td_number", F.row_number().over(equal))
+    return once.unionByName(repeated.filter("_td_number = 1").select(*docs.columns))
 
 
 CONTRACT = JoinPlan(words=4, percent=85)
