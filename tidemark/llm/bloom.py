@@ -1,7 +1,8 @@
-"""A blocked Bloom filter in SQL: one 64-bit word a block, four bits a key, a fixed number of blocks.
+"""A blocked Bloom filter in SQL: one 64-bit word a block, four bits a key, 16 bits of filter for each key.
 
-The filter has at most ``blocks`` rows whatever it holds, which bounds its broadcast. More keys only
-let more rows through, so whoever uses it follows with an exact join.
+The words of ``SLICE`` blocks are one row, so a broadcast filter takes two bytes a key. Its size follows from a
+count of the keys. Above ``BROADCAST_BYTES`` it is not broadcast: :func:`bloom_filter` is then joined by
+slice like any other table, and :func:`possible` lets every row through to the exact join that follows.
 """
 
 from __future__ import annotations
@@ -9,12 +10,27 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-BLOCKS = 1 << 16
+KEYS_PER_BLOCK = 4
 BITS_PER_KEY = 4
+SLICE = 1 << 14
+BROADCAST_BYTES = 64 << 20
 
 
-def block(key: Column, blocks: int = BLOCKS) -> Column:
-    return F.pmod(F.xxhash64(key), F.lit(blocks)).cast("int")
+def blocks_for(keys: int) -> int:
+    """Blocks of a filter for so many keys: a power of two, 16 to 32 bits a key."""
+    return 1 << max(0, (-(-keys // KEYS_PER_BLOCK) - 1).bit_length())
+
+
+def broadcastable(blocks: int) -> bool:
+    return 8 * blocks <= BROADCAST_BYTES
+
+
+def _block(key: Column, blocks: int) -> Column:
+    return F.pmod(F.xxhash64(key), F.lit(blocks))
+
+
+def slice_of(key: Column, blocks: int) -> Column:
+    return F.floor(_block(key, blocks) / SLICE).cast("int")
 
 
 def mask(key: Column) -> Column:
@@ -26,16 +42,31 @@ def mask(key: Column) -> Column:
     return bits
 
 
-def bloom_filter(keys: DataFrame, key: str, blocks: int = BLOCKS) -> DataFrame:
-    """(block, bits) of the values of column ``key`` that are not NULL."""
+def holds(words: Column, key: Column, blocks: int) -> Column:
+    """Whether the slice ``words`` of the key has all its bits: True for each key that went in."""
+    word = F.get(words, F.pmod(_block(key, blocks), F.lit(SLICE)).cast("int"))
+    return word.bitwiseAND(mask(key)) == mask(key)
+
+
+def bloom_filter(keys: DataFrame, key: str, blocks: int) -> DataFrame:
+    """(slice, words) of the values of column ``key`` that are not NULL; every slice is there."""
     known = keys.filter(F.col(key).isNotNull())
-    return known.groupBy(block(F.col(key), blocks).alias("block")).agg(F.bit_or(mask(F.col(key))).alias("bits"))
+    used = known.groupBy(_block(F.col(key), blocks).alias("block")).agg(F.bit_or(mask(F.col(key))).alias("bits"))
+    every = used.unionByName(keys.sparkSession.range(blocks).select(F.col("id").alias("block"), F.lit(0).cast("long").alias("bits")))
+    word = every.groupBy("block").agg(F.bit_or("bits").alias("bits"))
+    rows = word.groupBy(F.floor(F.col("block") / SLICE).cast("int").alias("slice")).agg(F.sort_array(F.collect_list(F.struct("block", "bits"))).alias("rows"))
+    return rows.select("slice", F.transform("rows", lambda r: r["bits"]).alias("words"))
+
 
+def possible(rows: DataFrame, keys: DataFrame, on: list[str]) -> DataFrame:
+    """The ``rows`` whose columns ``on`` may be among ``keys``: less to shuffle for the exact join that follows.
 
-def possible(rows: DataFrame, keys: DataFrame, on: list[str], blocks: int = BLOCKS) -> DataFrame:
-    """The ``rows`` whose columns ``on`` may be among ``keys``: less to shuffle for the exact join that follows."""
+    ``keys`` is counted, so pass a table.
+    """
+    blocks = blocks_for(keys.count())
+    if not broadcastable(blocks):
+        return rows
     hashed = keys.select(F.xxhash64(*on).alias("_td_key"))
-    bits = F.broadcast(bloom_filter(hashed, "_td_key", blocks).withColumnsRenamed({"block": "_td_block", "bits": "_td_bits"}))
-    keyed = rows.withColumn("_td_key", F.xxhash64(*on)).withColumn("_td_block", block(F.col("_td_key"), blocks))
-    met = keyed.join(bits, "_td_block").filter(F.col("_td_bits").bitwiseAND(mask(F.col("_td_key"))) == mask(F.col("_td_key")))
-    return met.select(*rows.columns)
+    bits = F.broadcast(bloom_filter(hashed, "_td_key", blocks).toDF("_td_slice", "_td_words"))
+    keyed = rows.withColumn("_td_key", F.xxhash64(*on)).withColumn("_td_slice", slice_of(F.col("_td_key"), blocks))
+    return keyed.join(bits, "_td_slice").filter(holds(F.col("_td_words"), F.col("_td_key"), blocks)).select(*rows.columns)

@@ -5,6 +5,7 @@ from __future__ import annotations
 import sys
 import uuid
 from collections.abc import Callable
+from contextvars import ContextVar
 
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -12,7 +13,7 @@ from pyspark.sql import functions as F
 
 from tidemark.session import shared_folder
 
-__all__ = ["WORD", "ascii_lower", "let", "lines", "materialise", "read", "row_key", "same_key", "ship", "words"]
+__all__ = ["WORD", "Tables", "ascii_lower", "delete", "drop", "let", "lines", "materialise", "read", "row_key", "same_key", "ship", "words"]
 
 # What the contracts call white space, a word, and a letter to fold.
 SPACE = r"[\x20\x09-\x0D]"
@@ -24,15 +25,72 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+# Shuffle files of a finished write are of no use: what it read from them is in the table.
+CLEAN_UP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+_OWNER: ContextVar[Tables | None] = ContextVar("owner of the tables written now", default=None)
+
+
+class Tables:
+    """Owner of the tables written while it is entered; on leaving it deletes those that were not kept.
+
+    ``keep`` hands a table whose frame outlives the owner to the owner around it. Without one, the table
+    belongs, like a checkpoint, to whoever owns the shared folder. A lost executor costs nothing: a
+    table is deleted only when the last one built from it is written.
+    """
+
+    def __init__(self) -> None:
+        self.held: list[tuple[DataFrame, str]] = []
+
+    def __enter__(self) -> Tables:
+        self.around = _OWNER.get()
+        _OWNER.set(self)
+        return self
+
+    def __exit__(self, *error) -> None:
+        _OWNER.set(self.around)
+        self.drop(*(frame for frame, _ in self.held))
+
+    def drop(self, *frames: DataFrame) -> None:
+        for frame, path in [x for x in self.held if any(x[0] is f for f in frames)]:
+            delete(frame.sparkSession, path)
+            self.held.remove((frame, path))
+
+    def keep(self, *frames: DataFrame) -> None:
+        for item in [x for x in self.held if any(x[0] is f for f in frames)]:
+            self.held.remove(item)
+            if self.around is not None:
+                self.around.held.append(item)
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+
+
+def drop(*frames: DataFrame) -> None:
+    """Delete tables that nothing reads any more, before their owner is left."""
+    if (owner := _OWNER.get()) is not None:
+        owner.drop(*frames)
+
+
 def materialise(df: DataFrame) -> DataFrame:
     """Write ``df`` as a table in the shared folder and continue from there.
 
     Columns are encoded and compressed, where a checkpoint writes whole rows, and the planner knows
-    the table's size. Like checkpoints, the tables belong to whoever owns the folder.
+    the table's size. The table belongs to the :class:`Tables` entered last.
     """
-    path = f"{shared_folder(df.sparkSession)}/table-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    spark = df.sparkSession
+    path = f"{shared_folder(spark)}/table-{uuid.uuid4().hex}"
+    before = spark.conf.get(CLEAN_UP, "false")
+    spark.conf.set(CLEAN_UP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(CLEAN_UP, before)
+    frame = spark.read.schema(df.schema).parquet(path)
+    if (owner := _OWNER.get()) is not None:
+        owner.held.append((frame, path))
+    return frame
 
 
 def words(text: Column) -> Column:

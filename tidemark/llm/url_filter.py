@@ -2,9 +2,8 @@
 
 The listed URLs are folded into a blocked Bloom filter: one 64-bit word a block, four bits a URL.
 A page looks up one block; only possible hits go on to the exact hash join, which removes the
-false positives. The filter has a fixed number of blocks, so broadcasting it is bounded by
-``bloom.BLOCKS`` rows whatever the list holds; a longer list only makes more possible hits, and the
-join stays exact. The join's hot URLs are split by AQE.
+false positives. The filter's size follows from a count of the list; up to ``bloom.BROADCAST_BYTES`` it is
+broadcast, above it is joined by slice. The join's hot URLs are split by AQE.
 
 Defined cases: a NULL URL, or one without ``://``, has an empty host and path, fits no rule and is
 not listed: it is allowed. An empty list blocks nothing. Repeated rows are judged one by one.
@@ -61,8 +60,8 @@ def path(url: Column) -> Column:
 def canonical(url: Column) -> Column:
     """Host without ``www.`` or ``m.``, path without a last slash, query without tracking; NULL without a host."""
     query = F.regexp_extract(_rest(url), r"^[^?#]*\?([^#]*)", 1)
-    query = F.regexp_replace(query, r"(utm_[A-Za-z]+|ref)=[^&]*&?", "")
-    query = F.regexp_replace(query, r"&$", "")
+    parts = F.filter(F.split(query, "&"), lambda part: (part != "") & ~part.rlike(r"^(utm_[A-Za-z]+|ref)="))
+    query = F.array_join(parts, "&")
     plain = F.regexp_replace(host(url), r"^(www|m)\.", "")
     whole = F.concat(plain, F.regexp_replace(path(url), r"/+$", ""), F.when(query != "", F.concat(F.lit("?"), query)).otherwise(""))
     return F.when(host(url) != "", whole)
@@ -88,12 +87,12 @@ def url_filter(pages: DataFrame, listed: DataFrame, rules: tuple[UrlRule, ...] =
         pages.select(*kept)
         .withColumns({"host": host(F.col(url)), "path": path(F.col(url)), "_td_url": canonical(F.col(url))})
         .withColumns({"rule": _by_rule(rules, lambda r: r.name), "_td_rule": _by_rule(rules, lambda r: r.verdict)})
-        .withColumn("_td_block", F.when(F.col("_td_url").isNotNull(), bloom.block(F.col("_td_url"))))
     )
-    bits = F.broadcast(bloom.bloom_filter(unique, "canonical").select(F.col("block").alias("_td_block"), F.col("bits").alias("_td_bits")))
-    mask = bloom.mask(F.col("_td_url"))
-    probed = judged.join(bits, "_td_block", "left").withColumn(
-        "_td_maybe", F.coalesce(F.col("_td_bits").bitwiseAND(mask) == mask, F.lit(False))
+    blocks = bloom.blocks_for(unique.count())
+    sliced = judged.withColumn("_td_slice", F.when(F.col("_td_url").isNotNull(), bloom.slice_of(F.col("_td_url"), blocks)))
+    bits = bloom.bloom_filter(unique, "canonical", blocks).toDF("_td_slice", "_td_words")
+    probed = sliced.join(F.broadcast(bits) if bloom.broadcastable(blocks) else bits, "_td_slice", "left").withColumn(
+        "_td_maybe", F.coalesce(bloom.holds(F.col("_td_words"), F.col("_td_url"), blocks), F.lit(False))
     )
     exact = unique.select(F.col("canonical").alias("_td_url"), F.lit(True).alias("_td_hit"))
     maybe = probed.filter("_td_maybe").join(exact, "_td_url", "left")
