@@ -2,7 +2,19 @@
 
 from __future__ import annotations
 
-from tidemark.llm import decontaminate, jaccard_join, license_scan, line_dedup, mixing, quality_lm, quality_rules, repeats, secret_scan, url_filter
+from tidemark.llm import (
+    decontaminate,
+    fim,
+    jaccard_join,
+    license_scan,
+    line_dedup,
+    mixing,
+    quality_lm,
+    quality_rules,
+    repeats,
+    secret_scan,
+    url_filter,
+)
 
 QUERIES = {
     "op1_jaccard_join": jaccard_join.op1_jaccard_join,
@@ -15,10 +27,12 @@ QUERIES = {
     "op8_url_filter": url_filter.op8_url_filter,
     "op9_decontaminate": decontaminate.op9_decontaminate,
     "op10_repeated_strings": repeats.op10_repeated_strings,
+    "op11_fill_in_middle": fim.op11_fill_in_middle,
 }
 SQL = {
     "op4_mix_sources": mixing.SQL,
     "op6_quality_rules": quality_rules.SQL,
     "op8_url_filter": url_filter.SQL,
     "op9_decontaminate": decontaminate.SQL,
+    "op11_fill_in_middle": fim.SQL,
 }
