@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from tidemark.llm import (
+    clustering,
     decontaminate,
     fim,
     jaccard_join,
@@ -28,6 +29,7 @@ QUERIES = {
     "op9_decontaminate": decontaminate.op9_decontaminate,
     "op10_repeated_strings": repeats.op10_repeated_strings,
     "op11_fill_in_middle": fim.op11_fill_in_middle,
+    "op12_centroid_clustering": clustering.op12_centroid_clustering,
 }
 SQL = {
     "op4_mix_sources": mixing.SQL,
@@ -35,4 +37,5 @@ SQL = {
     "op8_url_filter": url_filter.SQL,
     "op9_decontaminate": decontaminate.SQL,
     "op11_fill_in_middle": fim.SQL,
+    "op12_centroid_clustering": clustering.SQL,
 }
