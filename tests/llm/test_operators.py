@@ -39,7 +39,7 @@ def test_same_as_sql(key, spark, sf_dir):
 def brute_components(rows, words, percent):
     sets = {}
     for key, text in rows:
-        w = re.findall(r"[^\x20\x09-\x0D]+", (text or "").lower())
+        w = re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
         runs = {tuple(w[i : i + words]) for i in range(len(w) - words + 1)}
         sets[key] = runs or ({tuple(w)} if w else set())
     root = {key: key for key in sets}

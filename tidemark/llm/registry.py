@@ -9,6 +9,7 @@ from tidemark.llm import (
     jaccard_join,
     license_scan,
     line_dedup,
+    minhash,
     mixing,
     quality_lm,
     quality_rules,
@@ -30,6 +31,7 @@ QUERIES = {
     "op10_repeated_strings": repeats.op10_repeated_strings,
     "op11_fill_in_middle": fim.op11_fill_in_middle,
     "op12_centroid_clustering": clustering.op12_centroid_clustering,
+    "op13_minhash_dedup": minhash.op13_minhash_dedup,
 }
 SQL = {
     "op4_mix_sources": mixing.SQL,
