@@ -171,6 +171,12 @@ def applied(docs, spark):
     }
 
 
+def test_without_trusted_documents(tables, spark):
+    found = quality_lm.quality_scores(tables, tables.limit(0).select("doc_id")).collect()
+    assert len(found) == tables.count() and all(r["kept"] == (r["n_symbols"] > 0) and r["perplexity"] is None for r in found)
+    assert sorted(str(r["_td_id"]) for r in found if not r["kept"]) == ["4", "5", "6"]
+
+
 def test_awkward_rows(tables, spark):
     count = tables.count()
     docs = tables.withColumns({"host": F.lit("x"), "start": F.lit(1), "gone": F.lit(2), "n_words": F.lit(0)})
@@ -202,60 +208,87 @@ def test_quality_model_sees_words_and_their_order(spark):
     assert found[900][1] and not found[901][1] and found[901][0] > 2 * found[900][0]
 
 
-def test_quality_model_sums_to_one(spark):
-    """Every word that can follow a context, and the spelling for all others, against the definition by brute force."""
-    texts = ["a b c a b", "a b d", "b c", "a b c a d d"]
-    docs = spark.createDataFrame([(i, x) for i, x in enumerate(texts)], "doc_id long, text string")
-    counts = quality_lm.word_counts(docs)
-    tri = {}
-    for x in texts:
-        w = ["<s>", "<s>", *x.split(), "</s>"]
-        for g in zip(w, w[1:], w[2:]):
-            tri[g] = tri.get(g, 0) + 1
-    assert sorted(r["c"] for r in counts.collect()) == sorted(tri.values())
-    spelling = {w: -1.0 for w in "abcd"}
-    hashed = quality_lm._Hashes()
-    rows = [(int.from_bytes(hashed[w].to_bytes(8, "little"), "little", signed=True), int(v * quality_lm.UNIT)) for w, v in spelling.items()]
-    weights, spelt = quality_lm.word_weights(counts, spark.createDataFrame(rows, "g1 long, spelling long"))
-    found = {r["gram"]: r["weight"] for r in weights.collect()}
-    bi = {}
-    for g in tri:
-        bi[g[1:]] = bi.get(g[1:], 0) + 1
-    uni = {}
-    for g in bi:
-        uni[g[1:]] = uni.get(g[1:], 0) + 1
-
-    def discounts(table):
-        n = [sum(v == k for v in table.values()) for k in (1, 2, 3, 4)]
-        if not all(n[:3]):
-            return (0.5,) * 3
-        y = n[0] / (n[0] + 2 * n[1])
-        return [min(max(k - (k + 1) * y * n[k] / n[k - 1], 0.0), k) for k in (1, 2, 3)]
-
-    tables = {1: uni, 2: bi, 3: tri}
-
-    def p(gram):
-        if not gram:
-            return None
-        table, d = tables[len(gram)], discounts(tables[len(gram)])
-        lower = p(gram[1:]) if len(gram) > 1 else (1 / 64 if gram == ("</s>",) else 2.718281828459045**-1.0)
-        own = {g: c for g, c in table.items() if g[:-1] == gram[:-1]}
-        if not own:
-            return lower
-        cut = {g: d[min(c, 3) - 1] for g, c in own.items()}
-        seen = (own[gram] - cut[gram]) / sum(own.values()) if gram in own else 0.0
-        return seen + sum(cut.values()) / sum(own.values()) * lower
-
+def test_quality_model_as_defined(spark):
+    """Every word that can follow a context, and the scores of texts with and without their own counts, against the definition by brute force."""
+    import collections
     import math
 
-    text = "a b c b d"
-    w = ["<s>", "<s>", *text.split(), "</s>"]
-    want = sum(math.log(p(g)) for g in zip(w, w[1:], w[2:]))
-    grams = spark.createDataFrame([(1, 1, text)], "_td_id long, _td_hash long, text string").mapInArrow(
-        quality_lm._document_grams, "_td_id long, _td_hash long, gram long, c long"
-    )
-    got = sum(r["c"] * found.get(r["gram"], 0) for r in grams.collect()) / quality_lm.UNIT + 6 * spelt - 5 - math.log(64)
-    assert abs(got - want) < 1e-6
+    texts = ["a b c a b", "a b d", "b c x", "a b c a d d", "The c", "a  b\tc", "c d a b", "b c d"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    model, spelling = quality_lm.fitted(docs)
+    table = spelling.value
+
+    def spelt(word):
+        if word in ("<s>", "</s>"):
+            return 1 / 64 if word == "</s>" else None
+        classes = [0, 0, *(int(quality_lm._TABLE[x]) for x in word.encode()), 0]
+        return math.exp(sum(table[classes[i] | classes[i - 1] << 6 | classes[i - 2] << 12] for i in range(2, len(classes))) / quality_lm.UNIT)
+
+    def grams(text):
+        words = ["<s>", *text.split(), "</s>"]
+        return list(zip(words, words[1:]))
+
+    pairs = collections.Counter((v.lower(), w.lower()) for x in texts for v, w in grams(x))
+    spelling_of = {w.lower(): max(spelt(u) for x in texts for u in [*x.split(), "</s>"] if u.lower() == w.lower()) for x in texts for w in [*x.split(), "</s>"]}
+    singles = collections.Counter(w for _, w in pairs)
+
+    def discounts(counter):
+        n = [sum(v == k for v in counter.values()) for k in (1, 2, 3, 4)]
+        found = [k - (k + 1) * n[0] / (n[0] + 2 * n[1]) * n[k] / n[k - 1] for k in (1, 2, 3)] if all(n[:3]) else [0.5] * 3
+        return [0, *(min(max(d, 0.01), k) for d, k in zip(found, (1, 2, 3)))]
+
+    d2, d1 = discounts(pairs), discounts(singles)
+    d2[1] = 1.0
+    total = sum(singles.values())
+    other = sum(d1[min(c, 3)] for c in singles.values()) / total
+    context = collections.Counter()
+    for (v, _), c in pairs.items():
+        context[v] += c
+    backoff = {v: sum(d2[min(c, 3)] for (u, _), c in pairs.items() if u == v) / n for v, n in context.items()}
+
+    def p1(w, written, n):
+        return (n - d1[min(n, 3)]) / total + other * (spelling_of[w] if w in spelling_of else spelt(written))
+
+    def score(text, less):
+        own, result = collections.Counter((v.lower(), w.lower()) for v, w in grams(text)), 0.0
+        for v, w in grams(text):
+            written, v, w = w, v.lower(), w.lower()
+            m = own[v, w] if less else 0
+            lower = p1(w, written, max(singles[w] - less, 0))
+            if context[v] > (1 if less else 0):
+                result += math.log(backoff[v])
+            result += math.log(lower)
+            if pairs[v, w] > 1:
+                given = backoff[v] * p1(w, written, singles[w])
+                c = max(pairs[v, w] - m, 0)
+                result += math.log(1 + (c - d2[min(c, 3)]) / context[v] / given)
+        return result
+
+    for v in context:  # spelling_of covers the vocabulary; the rest of the spelling's mass is what words outside it get
+        inside = sum((pairs[v, w] - d2[min(pairs[v, w], 3)]) / context[v] + backoff[v] * p1(w, w, n) for w, n in singles.items())
+        outside = backoff[v] * other * (1 - sum(spelling_of[w] for w in singles))
+        assert abs(inside + outside - 1) < 1e-9
+    for heavy in (quality_lm.HEAVY, 0):
+        before, quality_lm.HEAVY = quality_lm.HEAVY, heavy
+        asked = texts + ["a b c d", "d unknown b", "", "b"]
+        frame = spark.createDataFrame([(i, i, "en", x) for i, x in enumerate(asked)], "_td_id long, _td_hash long, _td_lang string, text string")
+        with t.Tables():
+            found = {r["_td_id"]: (r["whole"], r["less"]) for r in quality_lm.log_probabilities(frame, model, spelling).collect()}
+        quality_lm.HEAVY = before
+        for i, x in enumerate(asked):
+            if x:
+                assert abs(found[i][0] / quality_lm.UNIT - score(x, 0)) < 1e-6, x
+            if i < len(texts):
+                assert abs(found[i][1] / quality_lm.UNIT - score(x, 1)) < 1e-6, x
+
+
+def test_quality_model_cuts_long_texts(spark, monkeypatch):
+    texts = ["one two three four five six seven " * 3, "  one  two " + "x" * 90 + " three", "seven six five one two", "one two three", "y" * 200, " " * 100]
+    docs = spark.createDataFrame([(i, i, "en", x) for i, x in enumerate(texts)], "_td_id long, _td_hash long, _td_lang string, text string")
+    model, spelling = quality_lm.fitted(docs)
+    whole = sorted(map(tuple, quality_lm.log_probabilities(docs, model, spelling).drop("less").collect()))
+    monkeypatch.setattr(quality_lm, "BUFFER", 32)
+    assert sorted(map(tuple, quality_lm.log_probabilities(docs, model, spelling).drop("less").collect())) == whole
 
 
 def test_thresholds_alike_at_every_size(spark):

@@ -57,21 +57,21 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(33))
 
 
-_SPACES = np.zeros(256, bool)
-_SPACES[[32, *range(9, 14)]] = True
+SPACES = np.zeros(256, bool)
+SPACES[[32, *range(9, 14)]] = True
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 
 
-def _word_hashes(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Start and hash of each word of one stretch of bytes."""
-    space = _SPACES[data]
+def word_hashes(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Start, end and hash of each word of one stretch of bytes; A-Z count as a-z."""
+    space = SPACES[data]
     edge = np.diff(np.r_[True, space, True].astype(np.int8))
     start, end = np.flatnonzero(edge == -1), np.flatnonzero(edge == 1)
     up, down = _powers(MULTIPLIERS[0], 1 << max(16, len(data).bit_length()))
     sums = np.zeros(len(data) + 1, np.uint64)
     np.cumsum((_LOWER[data].astype(np.uint64) + np.uint64(1)) * up[: len(data)], out=sums[1:])
-    return start, mix((sums[end] - sums[start]) * down[start] + (end - start).astype(np.uint64))
+    return start, end, mix((sums[end] - sums[start]) * down[start] + (end - start).astype(np.uint64))
 
 
 def _long_text(data: np.ndarray) -> np.ndarray:
@@ -79,9 +79,9 @@ def _long_text(data: np.ndarray) -> np.ndarray:
     found, at = [], 0
     while at < len(data):
         end = min(at + BUFFER, len(data))
-        while end < len(data) and not _SPACES[data[end]]:
+        while end < len(data) and not SPACES[data[end]]:
             end += 1
-        found.append(_word_hashes(data[at:end])[1])
+        found.append(word_hashes(data[at:end])[2])
         at = end
     return np.concatenate(found) if found else np.zeros(0, np.uint64)
 
@@ -121,7 +121,7 @@ def grouped_texts(batches: Iterator[pa.RecordBatch], size: int):
             lengths = [len(p) + 1 for p in parts]
             begin = np.cumsum(lengths) - lengths
             blank = np.full(1, 32, np.uint8)
-            start, word = _word_hashes(np.concatenate([x for p in parts for x in (p, blank)]))
+            start, _, word = word_hashes(np.concatenate([x for p in parts for x in (p, blank)]))
             owner = np.searchsorted(begin, start, side="right") - 1
             return (batch, np.array(rows), *_shingles(owner, word, len(rows), size))
 
