@@ -1,10 +1,13 @@
 """Each operator against SQL or a brute-force version, and on awkward rows and empty tables."""
 
+import hashlib
 import itertools
 import os
+import random
 import re
 
 import duckdb
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -65,13 +68,53 @@ def test_components_as_brute_force(words, percent, spark, sf_dir):
     assert {r["_td_id"]: (r["n_shingles"], r["component_id"]) for r in found} == want
 
 
+def brute_repeats(texts, length=repeats.LENGTH):
+    """The contract over a few texts: (n_bytes, n_removed, n_spans, kept_sha256)."""
+    data = [(x or "").encode() for x in texts]
+    count = {}
+    for d in data:
+        for i in range(len(d) - length + 1):
+            count[d[i : i + length]] = count.get(d[i : i + length], 0) + 1
+    out = []
+    for d in data:
+        gone = np.zeros(len(d), bool)
+        for i in range(len(d) - length + 1):
+            if count[d[i : i + length]] > 1:
+                gone[i : i + length] = True
+        kept = bytes(b for b, g in zip(d, gone) if not g)
+        spans = int((np.diff(np.r_[0, gone.astype(int), 0]) == 1).sum())
+        out.append((len(d), int(gone.sum()), spans, hashlib.sha256(kept).hexdigest()))
+    return out
+
+
+@pytest.mark.parametrize("windows", [1, 200_000])
+def test_repeats_of_many_contexts(windows, spark, monkeypatch):
+    monkeypatch.setattr(repeats, "WINDOWS", windows)
+    draw = random.Random(5)
+    passage = "".join(draw.choice("abcdefgh ") for _ in range(700))
+    texts = [passage[draw.randrange(300) :][: draw.randrange(150, 500)] + "".join(draw.choice("xyz ") for _ in range(draw.randrange(400))) for _ in range(300)]
+    texts += texts[:20]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    found = repeats.remove_repeats(docs).select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256))
+    assert {r[0]: tuple(r[1:]) for r in found.collect()} == dict(enumerate(brute_repeats(texts)))
+
+
+def test_repeats_in_a_long_text(spark):
+    draw = random.Random(6)
+    passage = "".join(draw.choice("abcdefgh ") for _ in range(2000))
+    long = "".join(draw.choice("abcdefgh ") for _ in range(repeats.PIECE - 1000)) + passage + "".join(draw.choice("abcdefgh ") for _ in range(400_000))
+    docs = spark.createDataFrame([(1, long), (2, "é" + passage[100:900])], "doc_id long, text string")
+    found = {r.doc_id: (r.n_removed, r.n_spans, bytes(r.kept)) for r in repeats.remove_repeats(docs).collect()}
+    assert found[1] == (800, 1, long.replace(passage[100:900], "").encode()) and found[2] == (800, 1, "é".encode())
+
+
 @pytest.mark.parametrize("big", [20_000, 1])
 def test_repeats_as_brute_force(big, spark):
     body = [f"part {i} " + "".join(chr(97 + (i * j * j) % 26) for j in range(150)) for i in range(12)]
     texts = ["".join(body[:5]), "".join(body[3:9]), "é" + "".join(body[4:6]) * 2, None, "", body[0], "".join(body[:5])]
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
     found = repeats.remove_repeats(docs, big=big).select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256))
-    assert {r[0]: tuple(r[1:]) for r in found.collect()} == dict(enumerate(repeats.brute_force(texts)))
+    assert {r[0]: tuple(r[1:]) for r in found.collect()} == dict(enumerate(brute_repeats(texts)))
 
 
 def test_line_dedup_as_brute_force(spark, sf_dir):

@@ -61,7 +61,8 @@ def bloom_filter(keys: DataFrame, key: str, blocks: int) -> DataFrame:
 def possible(rows: DataFrame, keys: DataFrame, on: list[str]) -> DataFrame:
     """The ``rows`` whose columns ``on`` may be among ``keys``: less to shuffle for the exact join that follows.
 
-    ``keys`` is counted, so pass a table.
+    ``keys`` is counted, so pass a table. Let the exact join be an inner one, on distinct keys: the optimiser would push a
+    semi join below this filter, and all rows would be shuffled.
     """
     blocks = blocks_for(keys.count())
     if not broadcastable(blocks):

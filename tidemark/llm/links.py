@@ -252,7 +252,7 @@ def _linked_components(docs: DataFrame, own: DataFrame, plan: JoinPlan, buckets:
     # The sets themselves, only for documents that share a bucket; one for equal sets.
     holders = t.materialise(own.join(wanted, "sid", "left_semi").groupBy("sid").agg(F.min("_td_hash").alias("_td_hash")))
     texts = docs.select(F.col(text).alias("text"), F.xxhash64(F.col(text).isNull(), F.col(text)).alias("_td_hash"))
-    texts = possible(texts, holders, ["_td_hash"]).join(holders.select("_td_hash").distinct(), "_td_hash", "left_semi")
+    texts = possible(texts, holders, ["_td_hash"]).join(holders.select("_td_hash").distinct(), "_td_hash")
     sets = t.materialise(
         texts.dropDuplicates(["_td_hash"]).select("text").mapInArrow(_features(plan.words), "sid long, features array<long>").dropDuplicates(["sid"])
     )

@@ -26,11 +26,11 @@ cross documents. Strings are equal if two 64-bit hashes are.
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -40,6 +40,7 @@ from tidemark.llm.bloom import possible
 LENGTH = 200
 GRAM = 64
 BIG_NAME = 20_000
+WINDOWS = 200_000
 PIECE = 1 << 20
 MULTIPLIERS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
 
@@ -119,6 +120,7 @@ def _places(length: int, gram: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()  # texts of this task: a copy adds nothing
         parts: list[tuple[np.ndarray, int, int, int]] = []
+        held = 0
 
         def flush():
             data = np.concatenate([p[0] for p in parts])
@@ -145,9 +147,11 @@ def _places(length: int, gram: int):
                 data = np.frombuffer(value, np.uint8)
                 for at in range(0, len(data) - length + 1, PIECE - length + 1):
                     parts.append((data[at : at + PIECE], int(one[i]), int(two[i]), at))
-                    if sum(len(p[0]) for p in parts) >= PIECE:
+                    held += len(parts[-1][0])
+                    if held >= PIECE:
                         yield from flush()
                         parts.clear()
+                        held = 0
         if parts:
             yield from flush()
 
@@ -197,18 +201,31 @@ def _repeated_runs(length: int):
     """Runs of windows that occur twice or more; the input has the rows of a name side by side."""
 
     def compared(rows: pa.Table) -> pa.RecordBatch | None:
-        one, two, row, start = _windows(rows, length)
+        contexts = rows.column("context").to_pylist()
+        number: dict[bytes, int] = {}
+        which = np.fromiter((number.setdefault(c, len(number)) for c in contexts), np.int64, len(contexts))
+        # A context that occurs twice is repeated as a whole; windows are compared between different ones.
+        unique, example, copies = np.unique(which, return_index=True, return_counts=True)
+        one, two, row, offset = _windows(rows.take(pa.array(example)), length)
+        offset = offset - rows.column("first").to_numpy()[example][row]
         order = np.lexsort((two, one))
         same = np.r_[False, (one[order][1:] == one[order][:-1]) & (two[order][1:] == two[order][:-1])]
         repeated = np.zeros(len(one), bool)
         repeated[order] = same | np.r_[same[1:], False]
+        repeated |= copies[row] > 1
         if not repeated.any():
             return None
-        row, start = row[repeated], start[repeated]
-        turn = np.flatnonzero((np.diff(row) != 0) | (np.diff(start) != 1)) + 1
-        a, b = np.r_[0, turn], np.r_[turn, len(row)] - 1
-        owners = [rows.column(c).to_numpy()[row[a]] for c in DIGEST]
-        return pa.RecordBatch.from_arrays([pa.array(x) for x in (*owners, start[a].astype(np.int32), start[b].astype(np.int32))], schema=RUNS)
+        row, offset = row[repeated], offset[repeated]
+        turn = np.flatnonzero((np.diff(row) != 0) | (np.diff(offset) != 1)) + 1
+        begin = np.r_[0, turn]
+        run_of, a, b = row[begin], offset[begin], offset[np.r_[turn, len(row)] - 1]
+        # Every row has the runs of its context.
+        low, count = np.searchsorted(run_of, which), np.bincount(run_of, minlength=len(unique))[which]
+        owner = np.repeat(np.arange(len(which)), count)
+        run = np.repeat(low - (np.cumsum(count) - count), count) + np.arange(len(owner))
+        first = rows.column("first").to_numpy()[owner]
+        owners = [rows.column(c).to_numpy()[owner] for c in DIGEST]
+        return pa.RecordBatch.from_arrays([pa.array(x) for x in (*owners, (first + a[run]).astype(np.int32), (first + b[run]).astype(np.int32))], schema=RUNS)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rest = None
@@ -218,12 +235,16 @@ def _repeated_runs(length: int):
             names = table.column("name").to_numpy()
             cut = int(np.searchsorted(names, names[-1]))  # the last name may go on in the next batch
             rest = table.slice(cut)
-            for at in range(0, cut, 8192):
-                # Whole names in slices of some thousand rows.
-                low = 0 if at == 0 else int(np.searchsorted(names, names[at]))
-                high = cut if at + 8192 >= cut else int(np.searchsorted(names, names[at + 8192]))
-                if high > low and (found := compared(table.slice(low, high - low))) is not None:
+            # Whole names, some ``WINDOWS`` windows at a time.
+            windows = np.cumsum(pc.binary_length(table.column("context")).to_numpy() - length + 1)
+            low = 0
+            while low < cut:
+                done = windows[low - 1] if low else 0
+                high = int(np.searchsorted(windows, done + WINDOWS))
+                high = min(max(int(np.searchsorted(names, names[min(high, cut)])), int(np.searchsorted(names, names[low], side="right"))), cut)
+                if (found := compared(table.slice(low, high - low))) is not None:
                     yield found
+                low = high
         if rest is not None and rest.num_rows and (found := compared(rest)) is not None:
             yield found
 
@@ -256,8 +277,9 @@ def repeated_windows(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, bi
         .select("name", "n")
     )
     candidates = t.materialise(places.join(names, "name").select("name", "n", "d1", "d2", "first", "last").distinct())
-    wanted = candidates.select(*DIGEST).distinct()
-    texts = possible(known, wanted, list(DIGEST)).join(wanted, list(DIGEST), "left_semi").select(*DIGEST, F.encode("text", "UTF-8").alias("text"))
+    t.drop(places)
+    wanted = t.materialise(candidates.select(*DIGEST).distinct())
+    texts = possible(known, wanted, list(DIGEST)).join(wanted, list(DIGEST)).select(*DIGEST, F.encode("text", "UTF-8").alias("text"))
     texts = texts.dropDuplicates(list(DIGEST))
 
     def contexts(places: DataFrame) -> DataFrame:
@@ -306,11 +328,13 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, big:
     columns = [c for c in docs.columns if c not in names]
     keyed = digests(docs.select(*columns), text).withColumn("n_bytes", F.octet_length(F.coalesce(F.col(text), F.lit(""))).cast("long"))
     whole = F.encode(F.coalesce(F.col(text), F.lit("")), "UTF-8")
-    runs = t.materialise(repeated_windows(docs, length, gram, big, text))
+    with t.Tables() as tables:
+        runs = t.materialise(repeated_windows(docs, length, gram, big, text))
+        tables.keep(runs)
     copies = keyed.filter(F.col("n_bytes") >= length).groupBy(*DIGEST).agg(F.count("*").alias("rows"))
     copied = copies.filter("rows > 1").select(*DIGEST, F.lit(True).alias("copied"))
-    hit = runs.select(*DIGEST).distinct()
-    texts = possible(keyed, hit, list(DIGEST)).join(hit, list(DIGEST), "left_semi").select(*DIGEST, whole.alias("text")).dropDuplicates(list(DIGEST))
+    hit = t.materialise(runs.select(*DIGEST).distinct())
+    texts = possible(keyed, hit, list(DIGEST)).join(hit, list(DIGEST)).select(*DIGEST, whole.alias("text")).dropDuplicates(list(DIGEST))
     cuts = texts.groupBy(*DIGEST).cogroup(runs.groupBy(*DIGEST)).applyInArrow(
         _cut(length), "d1 long, d2 long, n_removed long, n_spans long, kept binary"
     )
@@ -329,22 +353,3 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, big:
 def op10_repeated_strings(spark, sf_dir: str) -> DataFrame:
     docs = t.read(spark, sf_dir, "documents").select("doc_id", "text")
     return remove_repeats(docs).select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
-
-
-def brute_force(texts: list[str | None], length: int = LENGTH) -> list[tuple[int, int, int, str]]:
-    """The contract over a few texts, for tests: (n_bytes, n_removed, n_spans, kept_sha256)."""
-    data = [(x or "").encode() for x in texts]
-    count: dict[bytes, int] = {}
-    for d in data:
-        for i in range(len(d) - length + 1):
-            count[d[i : i + length]] = count.get(d[i : i + length], 0) + 1
-    out = []
-    for d in data:
-        gone = np.zeros(len(d), bool)
-        for i in range(len(d) - length + 1):
-            if count[d[i : i + length]] > 1:
-                gone[i : i + length] = True
-        kept = bytes(b for b, g in zip(d, gone) if not g)
-        spans = int((np.diff(np.r_[0, gone.astype(int), 0]) == 1).sum())
-        out.append((len(d), int(gone.sum()), spans, hashlib.sha256(kept).hexdigest()))
-    return out
