@@ -5,7 +5,7 @@ from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.sql import functions as F
 
 from tidemark.operators import churn, features, kpis, ltv, metrics, segments
-from tidemark.plans.pipeline import run_analysis, save
+from tidemark.plans.pipeline import model_checks, run_analysis, save
 from tidemark.sources.master import load_master, write_master
 
 
@@ -117,3 +117,11 @@ def test_alternative_features_agree_where_they_must(spark, sf_dir):
     alt = features.ml_features_alt(clean_only, w.raw.items, w.raw.products, w.customers, w.p)
     shared = ["customer_id", "recency_days", "frequency", "is_churned", "distinct_products_bought"]
     assert sorted(alt.select(*shared).collect()) == sorted(w.features.select(*shared).collect())
+
+
+def test_checks_of_fitted_models(work):
+    found = {r.subject: r for r in model_checks(work).collect()}
+    customers = work.features.count()
+    assert {"segments", "churn_scored", "ltv_scored"} < set(found) and len(found) == 6
+    for subject in ("segments", "churn_scored", "ltv_scored"):
+        assert (found[subject].customers, found[subject].agreeing) == (customers, customers)

@@ -70,16 +70,18 @@ def flagged_orders(base: DataFrame) -> DataFrame:
     return base.filter(F.col("date_flag") == 1)
 
 
-def drop_orphan_items(items: DataFrame, base: DataFrame) -> DataFrame:
+def drop_orphan_items(items: DataFrame, orders: DataFrame) -> DataFrame:
     """All but the items whose order key is NOT IN the orders.
 
-    NOT IN is unknown, and the item stays, if its key is NULL or any order has a NULL key.
+    NOT IN is unknown, and the item stays, if its key is NULL or any order has a NULL key. An existence join: the items
+    meet the distinct keys once, with a marker. The flag for NULL keys counts what the filter lets through; it reaches the
+    scan, so that is usually nothing. ``orders`` may hold copies.
     """
-    keys = base.select("order_id")
-    known = items.join(keys, "order_id", "left_semi").select(*items.columns)
-    unknown = items.join(keys, "order_id", "left_anti").select(*items.columns)
+    keys = orders.select("order_id")
+    marked = keys.filter(F.col("order_id").isNotNull()).distinct().withColumn("_known", F.lit(True))
     any_null = keys.filter(F.col("order_id").isNull()).agg((F.count(F.lit(1)) > 0).alias("any_null")).scalar()
-    return known.unionByName(unknown.filter(F.col("order_id").isNull() | any_null))
+    met = items.join(marked, "order_id", "left")
+    return met.filter(F.col("_known") | F.col("order_id").isNull() | any_null).select(*items.columns)
 
 
 def drop_bad_items(items: DataFrame) -> DataFrame:
@@ -88,8 +90,9 @@ def drop_bad_items(items: DataFrame) -> DataFrame:
     return items.filter(keep[0] & keep[1])
 
 
-def base_items(items: DataFrame, base: DataFrame) -> DataFrame:
-    return drop_orphan_items(drop_bad_items(items), base)
+def base_items(items: DataFrame, orders: DataFrame) -> DataFrame:
+    """The items after every item rule. Which orders exist does not depend on their copies: raw ``orders`` will do."""
+    return drop_orphan_items(drop_bad_items(items), drop_nonpositive_orders(orders))
 
 
 def sellable(items: DataFrame) -> DataFrame:
@@ -128,4 +131,4 @@ def orphan_order_count(base: DataFrame, customers: DataFrame) -> DataFrame:
 def clean_tables(tables: Tables, p: Params) -> Tables:
     """The model tables after all cleaning rules (flagged orders still present)."""
     orders = base_orders(tables.orders, p)
-    return Tables(clean_city(tables.customers), orders, base_items(tables.items, orders), tables.products)
+    return Tables(clean_city(tables.customers), orders, base_items(tables.items, tables.orders), tables.products)

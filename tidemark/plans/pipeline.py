@@ -96,3 +96,36 @@ def save(analysis: Analysis, folder: str) -> None:
     analysis.derived_kpis().write.mode("overwrite").parquet(f"{folder}/report_derived_kpis")
     for name, df in analysis.evaluation.items():
         df.write.mode("overwrite").parquet(f"{folder}/evaluation/{name}")
+
+
+def model_checks(w: Workspace) -> DataFrame:
+    """(subject, customers, agreeing): what must hold of fitted models, whatever their scores are.
+
+    ``customers`` counts those with a value in its range. ``agreeing`` counts those whose derived value follows from the fitted one:
+    a label that is the only one of its cluster, a tier from the score or from the quartiles; for a classifier the
+    held-out churned customers.
+    """
+    analysis = run_analysis(w, cross_validate=False)
+    master = analysis.master
+    named = master.select("cluster_id", "segment_label").distinct().groupBy("cluster_id").agg(F.count(F.lit(1)).alias("_labels"))
+    parts = [
+        master.join(F.broadcast(named), "cluster_id").agg(  # one row a cluster
+            F.lit("segments").alias("subject"),
+            F.count(F.when(F.col("cluster_id").between(0, w.p.n_clusters - 1), 1)).alias("customers"),
+            F.count(F.when(F.col("_labels") == 1, F.col("segment_label"))).alias("agreeing"),
+        ),
+        master.agg(
+            F.lit("churn_scored"),
+            F.count(F.when(F.col("churn_prob").between(0, 1), 1)),
+            F.count(F.when(F.col("churn_risk_tier") == churn.risk_tier(F.col("churn_prob"), w.p), 1)),
+        ),
+        ltv.ltv_tiers(master, "ltv_predicted", "_again").agg(
+            F.lit("ltv_scored"),
+            F.count(F.when(F.col("ltv_predicted") >= 0, 1)),
+            F.count(F.when(F.col("ltv_tier") == F.col("_again"), 1)),
+        ),
+    ]
+    cells = analysis.evaluation["confusion_matrix"]
+    churned = F.coalesce(F.sum(F.when(F.col("actual") == 1, F.col("customers"))), F.lit(0))
+    parts.append(cells.groupBy("model_name").agg(F.sum("customers"), churned))
+    return reduce(DataFrame.union, parts)

@@ -25,7 +25,7 @@ from tidemark.operators import (
 )
 from tidemark.params import Params
 from tidemark.plans.oracle import all_relations, statement
-from tidemark.plans.pipeline import run_analysis
+from tidemark.plans.pipeline import model_checks, run_analysis
 from tidemark.plans.workspace import Workspace
 from tidemark.sources.master import coerce_numeric
 from tidemark.sources.star import dirty_tables, star_tables
@@ -219,6 +219,22 @@ def _master() -> dict[str, Callable[[Workspace], DataFrame]]:
     }
 
 
+# A statement over the registered views, as an analyst would write it.
+CITY_SEGMENTS = """
+SELECT c.city, s.rfm_segment, COUNT(*) AS customers, SUM(s.frequency) AS orders, MAX(s.recency_days) AS longest_recency,
+       COUNT(f.customer_id) AS with_features
+FROM v_rfm_segments s
+JOIN customers c ON c.customer_id = s.customer_id
+LEFT JOIN v_ml_features f ON f.customer_id = s.customer_id
+GROUP BY c.city, s.rfm_segment
+"""
+
+
+def _statements() -> dict[str, Callable[[Workspace], DataFrame]]:
+    """Through ``spark.sql`` over the temporary views, and what must hold of the fitted models."""
+    return {"city_segments_view": lambda w: w.sql(CITY_SEGMENTS), "model_checks": model_checks}
+
+
 def _models() -> dict[str, Callable[[Workspace], DataFrame]]:
     """Fitted models: no SQL twin. Documented sizes, over all customers."""
     fit = churn.train_models
@@ -287,7 +303,7 @@ def queries() -> dict[str, Query]:
         register(key, build, dirty=False)
     for key, build in _cleaning().items():
         register(key, build, dirty=True)
-    analysis = {**_analysis(), **_features(), **_master()}
+    analysis = {**_analysis(), **_features(), **_master(), **_statements()}
     for key, build in analysis.items():
         register(key, build, dirty=False)
     for key in ALSO_DIRTY:

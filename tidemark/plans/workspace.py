@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+from collections.abc import Callable, Iterator, Mapping
 from functools import cached_property
 
 from pyspark.sql import DataFrame
@@ -85,20 +87,74 @@ class Workspace:
             }
         )
 
-    def datasets(self) -> dict[str, DataFrame]:
-        """The ten datasets of the analysis, lazily, under their public names.
+    def datasets(self) -> Mapping[str, DataFrame]:
+        """The ten datasets of the analysis under their public names. Each is built when it is asked for, not before:
+        a global order, as in ``rfm_segments``, runs jobs.
 
         ``order_gaps`` holds the purchase intervals: that is what the name has always meant.
         """
-        return {
-            "customers": self.base.customers,
-            "orders": self.base.orders,
-            "order_items": self.base.items,
-            "products": self.base.products,
-            "customer_stats": self.customer_stats,
-            "rfm_segments": self.rfm_segments,
-            "ml_features": self.features,
-            "cohort_retention": self.retention,
-            "cohort_revenue": cohorts.cohort_revenue(self.clean, self.p),
-            "order_gaps": self.purchase_intervals,
-        }
+        return Lazy(
+            {
+                "customers": lambda: self.base.customers,
+                "orders": lambda: self.base.orders,
+                "order_items": lambda: self.base.items,
+                "products": lambda: self.base.products,
+                "customer_stats": lambda: self.customer_stats,
+                "rfm_segments": lambda: self.rfm_segments,
+                "ml_features": lambda: self.features,
+                "cohort_retention": lambda: self.retention,
+                "cohort_revenue": lambda: cohorts.cohort_revenue(self.clean, self.p),
+                "order_gaps": lambda: self.purchase_intervals,
+            }
+        )
+
+    def views(self) -> Mapping[str, DataFrame]:
+        """The relations that SQL statements name: base tables, clean orders, and what is derived from them."""
+        return Lazy(
+            {
+                **{name: (lambda name=name: self.datasets()[name]) for name in ("customers", "orders", "order_items", "products")},
+                "v_orders_clean": lambda: self.clean,
+                "v_items_clean": lambda: cleaning.items_clean(self.raw.items, self.clean),
+                "v_customer_stats": lambda: self.customer_stats,
+                "v_order_gaps": lambda: customers.order_gaps(self.clean),
+                "v_purchase_intervals": lambda: self.purchase_intervals,
+                "v_product_mix": lambda: customers.product_mix(self.raw.items, self.clean, self.raw.products),
+                "v_rfm_raw": lambda: self.rfm_raw,
+                "v_rfm_segments": lambda: self.rfm_segments,
+                "v_cohort_base": lambda: cohorts.cohort_base(self.clean),
+                "v_cohort_retention": lambda: self.retention,
+                "v_cohort_revenue": lambda: cohorts.cohort_revenue(self.clean, self.p),
+                "v_ml_features": lambda: self.features,
+            }
+        )
+
+    def register(self, *names: str) -> None:
+        """Make :meth:`views` (all of them, or those named) temporary views of the session, to be read by ``spark.sql``."""
+        views = self.views()
+        for name in names or views:
+            views[name].createOrReplaceTempView(name)
+
+    def sql(self, statement: str) -> DataFrame:
+        """The result of a statement over the views. Only the ones it names are built."""
+        named = set(re.findall(r"\w+", statement.lower()))
+        self.register(*(name for name in self.views() if name in named))
+        return self.raw.orders.sparkSession.sql(statement)
+
+
+class Lazy(Mapping):
+    """A read-only mapping whose values are made when they are first asked for."""
+
+    def __init__(self, makers: dict[str, Callable[[], DataFrame]]):
+        self._makers = makers
+        self._made: dict[str, DataFrame] = {}
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self._made:
+            self._made[name] = self._makers[name]()
+        return self._made[name]
+
+    def __iter__(self) -> Iterator[str]:
+        return iter(self._makers)
+
+    def __len__(self) -> int:
+        return len(self._makers)

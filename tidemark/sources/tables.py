@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from typing import NamedTuple
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
@@ -70,3 +71,48 @@ def read_csv_tables(spark: SparkSession, folder: str) -> Tables:
 
 def read_parquet_tables(spark: SparkSession, folder: str) -> Tables:
     return Tables(*[spark.read.schema(schema).parquet(f"{folder}/{name}") for name, schema in SCHEMAS.items()])
+
+
+# The whole line of a row that does not fit its schema.
+REJECTED = "_rejected"
+
+
+def _read_checked(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """All rows, with the line of those that do not fit."""
+    wide = T.StructType([*schema.fields, T.StructField(REJECTED, T.StringType())])
+    reader = spark.read.schema(wide).option("header", True).option("enforceSchema", False)
+    read = reader.option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", REJECTED).csv(path)
+    # Always true, but it names every column: a field that a query doesn't need would not be parsed, and a bad one not seen.
+    return read.filter(F.concat_ws("", *[F.col(c).cast("string") for c in schema.names]) >= "")
+
+
+def _line() -> Column:
+    """The rejected line, else empty. A test for NULL would be pushed into the parser, which knows a line is bad only afterwards."""
+    return F.coalesce(F.col(REJECTED), F.lit(""))
+
+
+def read_csv_checked(spark: SparkSession, folder: str) -> Tables:
+    """Like :func:`read_csv_tables`, without the rows that have an unparsable field, or too few or too many. An empty field is NULL and fits."""
+    return Tables(
+        *[_read_checked(spark, f"{folder}/{name}.csv", schema).filter(_line() == "").drop(REJECTED) for name, schema in SCHEMAS.items()]
+    )
+
+
+def rejected_rows(spark: SparkSession, folder: str) -> DataFrame:
+    """(table_name, line): the rows that :func:`read_csv_checked` leaves out."""
+    found = None
+    for name, schema in SCHEMAS.items():
+        read = _read_checked(spark, f"{folder}/{name}.csv", schema)
+        lines = read.filter(_line() != "").select(F.lit(name).alias("table_name"), F.col(REJECTED).alias("line"))
+        found = lines if found is None else found.unionByName(lines)
+    return found
+
+
+def write_rejected(spark: SparkSession, folder: str, target: str) -> DataFrame:
+    """Write the rejected rows to a table of their own; (table_name, rejected) counts them there, without another pass over the files.
+
+    (``DataFrame.observe`` could count them while the tables are read, but a session that has observed once can no longer
+    serialise a fitted logistic regression.)
+    """
+    rejected_rows(spark, folder).write.mode("overwrite").parquet(target)
+    return spark.read.parquet(target).groupBy("table_name").agg(F.count(F.lit(1)).alias("rejected"))
