@@ -75,10 +75,12 @@ def drop_orphan_items(items: DataFrame, orders: DataFrame) -> DataFrame:
 
     NOT IN is unknown, and the item stays, if its key is NULL or any order has a NULL key. An existence join: the items
     meet the distinct keys once, with a marker. The flag for NULL keys counts what the filter lets through; it reaches the
-    scan, so that is usually nothing. ``orders`` may hold copies.
+    scan, so that is usually nothing. ``orders`` may hold copies. The keys are made distinct under a derived key, so that
+    the join shuffles both sides itself and AQE can split a hot order.
     """
     keys = orders.select("order_id")
-    marked = keys.filter(F.col("order_id").isNotNull()).distinct().withColumn("_known", F.lit(True))
+    present = keys.filter(F.col("order_id").isNotNull())
+    marked = present.groupBy(F.xxhash64("order_id"), "order_id").agg(F.lit(True).alias("_known")).select("order_id", "_known")
     any_null = keys.filter(F.col("order_id").isNull()).agg((F.count(F.lit(1)) > 0).alias("any_null")).scalar()
     met = items.join(marked, "order_id", "left")
     return met.filter(F.col("_known") | F.col("order_id").isNull() | any_null).select(*items.columns)
