@@ -121,8 +121,17 @@ def test_line_dedup_as_brute_force(spark, sf_dir):
     docs = t.read(spark, sf_dir, "documents").select("doc_id", "text").filter("doc_id < 60")
     rows = sorted((r.doc_id, n, line) for r in docs.collect() for n, line in enumerate((r.text or "").split("\n")) if line.strip())
 
+    found = {r["_td_id"]: set(r["gone"]) for r in line_dedup.removed_lines(docs).collect() if r["gone"]}
+    assert found == brute_lines(rows)
+
+
+def brute_lines(rows):
+    """The numbers of the duplicate lines of each document: the shorter of two lines allows 1 edit from 12 characters on, 2 from 24."""
+
     def near(a, b):
-        if abs(len(a) - len(b)) > 2 or min(len(a), len(b)) < line_dedup.MIN_CHARS:
+        shorter = min(len(a), len(b))
+        allowed = (shorter >= 12) + (shorter >= 24)
+        if abs(len(a) - len(b)) > allowed or not allowed:
             return a == b
         before = list(range(len(b) + 1))
         for i, x in enumerate(a, 1):
@@ -130,14 +139,35 @@ def test_line_dedup_as_brute_force(spark, sf_dir):
             for j, y in enumerate(b, 1):
                 row.append(min(before[j] + 1, row[-1] + 1, before[j - 1] + (x != y)))
             before = row
-        return before[-1] <= 2
+        return before[-1] <= allowed
 
     want = {}
     for k, (doc, n, line) in enumerate(rows):
         if any(near(line, other) for _, _, other in rows[:k]):
             want.setdefault(doc, set()).add(n)
+    return want
+
+
+def test_short_lines_as_brute_force(spark):
+    """Lines around both lengths, in ASCII and not, with 0 to 3 edits."""
+    draw = random.Random(5)
+    lines = []
+    for n in [*range(1, 30), 40]:
+        for letters in ("abc ", "aé€b"):
+            line = "x" + "".join(draw.choice(letters) for _ in range(n - 1))
+            lines.append(line)
+            for many in (1, 1, 2, 3):
+                other = list(line)
+                for _ in range(many):
+                    at = draw.randrange(len(other) + 1)
+                    other[at : at + draw.choice((0, 1))] = draw.choice(("", "y", "é"))
+                lines.append("".join(other))
+    draw.shuffle(lines)
+    texts = {k: "\n".join(lines[k::9]) for k in range(9)}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(3)
+    rows = sorted((doc, n, line) for doc, text in texts.items() for n, line in enumerate(text.split("\n")) if line.strip())
     found = {r["_td_id"]: set(r["gone"]) for r in line_dedup.removed_lines(docs).collect() if r["gone"]}
-    assert found == want
+    assert found == brute_lines(rows)
 
 
 def test_one_edit_is_a_duplicate_line(tables):

@@ -1,7 +1,8 @@
 """Line dedup: a segment-partition edit join over all lines.
 
-A line of n characters is cut into ``edits + 1`` segments. A line within ``edits`` edits of it holds
-one segment unchanged, at a place that the multi-match-aware bounds narrow to a few substrings. So
+How many edits two lines may differ by follows from the length of the shorter one (``EDITS``). A line whose
+length allows ``edits`` is cut into ``edits + 1`` segments. A line as long or longer within ``edits`` edits of it
+holds one segment unchanged, at a place that the multi-match-aware bounds narrow to a few substrings. So
 each line probes, for every length it may match, the substrings that could be a segment of a line of
 that length; a segment of its own is a probe as well, of its own length. Equal keys (segment
 number, length, substring) make a bucket. The first pass aggregates keys, map side first, to find
@@ -9,13 +10,13 @@ buckets with two lines or more; the second pass keeps only lines in those, with
 line is checked with Spark's banded edit distance, first against the earliest line of its bucket,
 and where that fails against every earlier one. The join emits only true matches.
 
-A line is a duplicate if an equal line, or one within ``edits`` edits of it, stands earlier: in a
+A line is a duplicate if an equal line, or one within that many edits of it, stands earlier: in a
 document with a smaller id, or above it. Lines are judged on the input, not on what is left.
 Spark's edit distance is banded by rows of characters rather than by machine words; results are
 those of a bit-parallel check.
 
-Defined cases: a line without a word is never a duplicate and stays. Lines under ``min_chars``
-match only when equal. NULL and empty texts have no lines with words. Ids are integers; a NULL id
+Defined cases: a line without a word is never a duplicate and stays. A line
+shorter than every length in ``edits`` allows none: it matches only when equal. NULL and empty texts have no lines with words. Ids are integers; a NULL id
 comes last. Rows that share an id are one document: a line of theirs at the same place is not its
 own duplicate. Equality of lines is that of two 64-bit hashes.
 """
@@ -27,8 +28,9 @@ from pyspark.sql import functions as F
 
 from tidemark.llm import text as t
 
-EDITS = 2
-MIN_CHARS = 24
+Edits = tuple[tuple[int, int], ...]
+# (characters, edits): a pair whose shorter line has so many characters, or more, may differ by so many edits.
+EDITS: Edits = ((12, 1), (24, 2))
 # Up to so many buckets, or lines in them, a hash join by broadcast; beyond, by shuffle.
 BROADCAST_ROWS = 500_000
 
@@ -49,35 +51,49 @@ def occurrences(docs: DataFrame, text: str = "text", key: str = "doc_id") -> Dat
     )
 
 
-def _probes(edits: int) -> Column:
-    """Every (shorter, part, shift): the line looks for a match ``shorter`` characters shorter whose segment ``part`` stands at ``shift``."""
+def _allowed(edits: Edits, length: Column) -> Column:
+    """The edits that a shorter line of ``length`` characters allows."""
+    allowed = F.lit(0)
+    for least, many in sorted(edits):
+        allowed = F.when(length >= least, many).otherwise(allowed)
+    return allowed
+
+
+def _probes(edits: Edits) -> Column:
+    """Every (low, high, parts, shorter, part, shift): the line looks for a match ``shorter`` characters shorter, of
+    low <= length < high, whose segment ``part`` of ``parts`` stands at ``shift``."""
+    ranges = sorted(edits)
+    ends = [low for low, _ in ranges[1:]] + [1 << 31]
+    names = ("low", "high", "parts", "shorter", "part", "shift")
     return F.array(
         *[
-            F.struct(F.lit(shorter).alias("shorter"), F.lit(part).alias("part"), F.lit(shift).alias("shift"))
-            for shorter in range(edits + 1)
-            for part in range(edits + 1)
-            for shift in range(max(-part, shorter - edits + part), min(part, shorter + edits - part) + 1)
+            F.struct(*[F.lit(v).cast("long").alias(name) for name, v in zip(names, (low, high, many + 1, shorter, part, shift))])
+            for (low, many), high in zip(ranges, ends)
+            for shorter in range(many + 1)
+            for part in range(many + 1)
+            for shift in range(max(-part, shorter - many + part), min(part, shorter + many - part) + 1)
         ]
     )
 
 
-def _keyed(lines: DataFrame, edits: int, min_chars: int) -> DataFrame:
+def _keyed(lines: DataFrame, edits: Edits) -> DataFrame:
     """Every key of a line: ``own`` for its segments, the others for what it may match.
 
     The probes are rows and the key one small expression over them, which the JVM compiles; an array of all keys
     is too large a method for that. Lines in ASCII are cut as bytes, which needs no count of characters.
     """
-    parts = edits + 1
-    counted = lines.withColumn("n", F.length("line")).filter(F.col("n") >= min_chars)
+    counted = lines.withColumn("n", F.length("line")).filter(F.col("n") >= min(least for least, _ in edits))
     raw = F.expr("IF(octet_length(line) = n, CAST(line AS BINARY), NULL)")
-    each = counted.withColumn("raw", raw).withColumn("probe", F.explode(_probes(edits)))
-    each = each.withColumns({"length": F.expr("n - probe.shorter"), "part": F.col("probe.part")}).filter(F.col("length") >= min_chars)
-    each = each.withColumns({"base": F.expr(f"CAST(length div {parts} AS INT)"), "over": F.expr(f"part - {parts} + length % {parts}")})
-    each = each.withColumns({"size": F.expr("base + CAST(over >= 0 AS INT)"), "at": F.expr("part * base + greatest(0, over) + probe.shift")})
+    each = counted.withColumn("raw", raw).select("*", F.inline(_probes(edits)))
+    each = each.withColumn("length", F.expr("n - shorter")).filter("length >= low AND length < high")
+    each = each.withColumns({"base": F.expr("length div parts"), "over": F.expr("part - parts + length % parts")})
+    each = each.withColumns(
+        {"size": F.expr("CAST(base + IF(over >= 0, 1, 0) AS INT)"), "at": F.expr("CAST(part * base + greatest(0, over) + shift AS INT)")}
+    )
     piece = "IF(raw IS NULL, CAST(substring(line, at + 1, size) AS BINARY), substring(raw, at + 1, size))"
     return each.filter("at >= 0 AND at + size <= n").select(
         F.expr(f"xxhash64(part, length, {piece})").alias("key"),
-        F.expr("probe.shorter = 0 AND probe.shift = 0").alias("own"),
+        F.expr("shorter = 0 AND shift = 0").alias("own"),
         "h1",
         "h2",
         "line",
@@ -89,9 +105,9 @@ def _join_small(left: DataFrame, right: DataFrame, on: list[str]) -> DataFrame:
     return left.join(F.broadcast(right) if right.count() <= BROADCAST_ROWS else right, on)
 
 
-def near_duplicates(lines: DataFrame, first: DataFrame, edits: int = EDITS, min_chars: int = MIN_CHARS) -> DataFrame:
-    """(h1, h2) of the lines that have an earlier line within ``edits`` edits."""
-    keyed = _keyed(lines, edits, min_chars)
+def near_duplicates(lines: DataFrame, first: DataFrame, edits: Edits = EDITS) -> DataFrame:
+    """(h1, h2) of the lines that have an earlier line within the edits that the shorter of the two allows."""
+    keyed = _keyed(lines, edits)
     shared = (
         keyed.groupBy("key")
         .agg(F.max("own").alias("own"), F.min("h1").alias("low"), F.max("h1").alias("high"))
@@ -103,7 +119,8 @@ def near_duplicates(lines: DataFrame, first: DataFrame, edits: int = EDITS, min_
     ids = members.select("h1", "h2").distinct()
     members = t.materialise(members.join(first.join(ids, ["h1", "h2"]), ["h1", "h2"]))
     in_bucket = Window.partitionBy("key").orderBy("place", "h1", "h2")
-    close = F.expr(f"levenshtein(line, other, {edits}) >= 0")
+    distance = F.levenshtein("line", "other", max(many for _, many in edits))
+    close = (distance >= 0) & (distance <= _allowed(edits, F.least(F.length("line"), F.length("other"))))
     begun = members.withColumn("other", F.first("line").over(in_bucket)).withColumn("before", F.first("place").over(in_bucket))
     matched = begun.filter(F.col("before") < F.col("place")).filter(close).select("h1", "h2").distinct()
     matched = t.materialise(matched)
@@ -118,11 +135,11 @@ def near_duplicates(lines: DataFrame, first: DataFrame, edits: int = EDITS, min_
     return matched.union(rest.select("h1", "h2")).distinct()
 
 
-def removed_lines(docs: DataFrame, edits: int = EDITS, min_chars: int = MIN_CHARS, text: str = "text", key: str = "doc_id") -> DataFrame:
+def removed_lines(docs: DataFrame, edits: Edits = EDITS, text: str = "text", key: str = "doc_id") -> DataFrame:
     """(_td_id, _td_hash, n_lines, gone): lines with words in each document, and the numbers of the duplicates."""
     found = occurrences(docs, text, key)
     first = t.materialise(found.groupBy("h1", "h2").agg(F.min("place").alias("place")))
-    near = near_duplicates(found, first, edits, min_chars).withColumn("near", F.lit(True))
+    near = near_duplicates(found, first, edits).withColumn("near", F.lit(True))
     verdicts = first.join(near, ["h1", "h2"], "left").withColumnRenamed("place", "first")
     again = (F.col("place") > F.col("first")) | F.coalesce("near", F.lit(False))
     return (
@@ -136,10 +153,10 @@ def removed_lines(docs: DataFrame, edits: int = EDITS, min_chars: int = MIN_CHAR
     )
 
 
-def line_dedup(docs: DataFrame, edits: int = EDITS, min_chars: int = MIN_CHARS, text: str = "text", key: str = "doc_id") -> DataFrame:
+def line_dedup(docs: DataFrame, edits: Edits = EDITS, text: str = "text", key: str = "doc_id") -> DataFrame:
     """``docs`` without duplicate lines; a document that loses every line with a word goes."""
     keyed = docs.withColumns(dict(zip(("_td_id", "_td_hash"), t.row_key(text, key))))
-    gone = removed_lines(docs, edits, min_chars, text, key).filter(F.size("gone") > 0)
+    gone = removed_lines(docs, edits, text, key).filter(F.size("gone") > 0)
     gone = gone.withColumnsRenamed({"gone": "_td_gone", "n_lines": "_td_lines"})
     joined = keyed.join(gone, t.same_key(keyed, gone), "left").filter("_td_gone IS NULL OR size(_td_gone) < _td_lines")
 
