@@ -3,11 +3,14 @@
 A candidate is a run of at least ``MIN_LENGTH`` key characters that has a digit, the shape of an issued key, or
 ``TURNS`` changes between small letters and capitals; and, at any length and of any characters, the value of a
 name of a credential. Its features are length,
-character transitions and classes, the share of its letter runs that the corpus uses as words
-(counted over all documents), its path, and the neighbouring words. The forest learns from labelled
+character transitions and classes, the share of its letter runs that the corpus uses as words (at least
+``DICTIONARY_SHARE`` times a document, counted over all), its path, and the neighbouring words. The forest learns from labelled
 findings, of which at most ``MAX_LABELLED`` are taken, in hash order; copies of a finding count once.
 Everything runs as DataFrame operations and Spark's own forest.
 
+No expression goes back over a word: the time of one grows with its length, so a text that is a single word of a
+megabyte is scanned like any other.
+
 Defined cases: NULL and empty texts have no candidates. Repeated rows are scanned one by one. With
 fewer than two classes among the labelled findings there is no forest: a candidate scores the share
 of positive labels, or 0.5 without labels.
@@ -25,12 +28,13 @@ from tidemark.llm import text as t
 
 MIN_LENGTH = 16
 MAX_LABELLED = 20_000
-DICTIONARY_COUNT = 20
+DICTIONARY_SHARE = 0.0005
 TREES, DEPTH, SEED = 40, 6, 17
 # Words that name a credential, prefixes and shapes of issued keys.
 CREDENTIAL = r"(?i)(token|password|passwd|secret|api.?key|access.?key|auth|credential|bearer)"
 ISSUED = r"^(AKIA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{36}|xox[abp]-[A-Za-z0-9-]{10,}|sk-[A-Za-z0-9]{20,})$"
 TURNS = 3
+OPENING, CLOSING = "\"'`([{", "\"'`)]},;."
 NUMBERS = r"^[0-9+\-/=_]+$"
 
 FEATURES = (
@@ -50,6 +54,17 @@ FEATURES = (
 )
 
 
+def _head(word: Column) -> Column:
+    """What stands before the first ``=`` or ``:``; empty without one."""
+    return F.regexp_extract(word, r"^([^=:]*+)[=:]", 1)
+
+
+def _last_name(word: Column) -> Column:
+    """The last name of a word that ends with ``=`` or ``:``; empty for others."""
+    names = F.translate(word, ":", "=")
+    return F.when(names.endswith("="), F.substring_index(names.substr(F.lit(1), F.length(names) - 1), "=", -1)).otherwise("")
+
+
 def candidates(docs: DataFrame, text: str = "text", key: str = "doc_id", path: str = "source") -> DataFrame:
     """(doc_id, path, position, candidate, name, quoted, before, before_2, after), one row for each candidate of a word."""
     split = docs.select(F.col(key).alias("doc_id"), F.col(path).alias("path"), t.words(F.col(text)).alias("w"))
@@ -58,7 +73,7 @@ def candidates(docs: DataFrame, text: str = "text", key: str = "doc_id", path: s
     wanted = F.filter(
         F.transform("w", lambda x, i: F.struct(i.alias("i"), x.alias("x"))),
         lambda s: s["x"].rlike(shape)
-        | s["x"].rlike(rf"{CREDENTIAL}[^=:]*[=:]")
+        | _head(s["x"]).rlike(CREDENTIAL)
         | F.coalesce(F.get("w", s["i"] - 1).rlike(r"[=:][\"']?$"), F.lit(False)),
     )
     each = split.withColumn("s", F.explode(wanted)).withColumn("i", F.col("s.i"))
@@ -68,10 +83,10 @@ def candidates(docs: DataFrame, text: str = "text", key: str = "doc_id", path: s
         F.regexp_extract_all("s.x", F.lit(f"({shape})"), 1),
         lambda c: c.rlike("[0-9]") | c.rlike(ISSUED) | c.rlike(rf"(([a-z](?=[A-Z])|[A-Z](?=[a-z])).*){{{TURNS}}}"),
     )
-    named = F.regexp_extract("s.x", rf"^[^=:]*{CREDENTIAL}[^=:]*:?[=:](.*)$", 2)
-    after_name = (F.col("before").isin("=", ":", ":=") & F.col("before_2").rlike(CREDENTIAL)) | F.col("before").rlike(rf"{CREDENTIAL}[^=:]*[=:]$")
+    named = F.when(_head(F.col("s.x")).rlike(CREDENTIAL), F.regexp_extract("s.x", r"(?s)^[^=:]*+(?::[=:]|[=:])(.*)$", 1)).otherwise("")
+    after_name = (F.col("before").isin("=", ":", ":=") & F.col("before_2").rlike(CREDENTIAL)) | _last_name(F.col("before")).rlike(CREDENTIAL)
     value = F.when(named != "", named).when(after_name & ~F.col("s.x").isin("=", ":", ":="), F.col("s.x")).otherwise("")
-    value = F.regexp_replace(value, r"^[\"'`(\[{]+|[\"'`)\]},;.]+$", "")
+    value = F.rtrim(F.ltrim(value, F.lit(OPENING)), F.lit(CLOSING))
     both = F.array_union(runs, F.filter(F.array(value), lambda v: v != ""))
     return each.withColumn("candidate", F.explode(both)).select(
         "doc_id",
@@ -86,11 +101,11 @@ def candidates(docs: DataFrame, text: str = "text", key: str = "doc_id", path: s
     )
 
 
-def dictionary(docs: DataFrame, text: str = "text", least: int = DICTIONARY_COUNT) -> DataFrame:
-    """(run): lower-case words of 3 letters or more that the whole corpus uses ``least`` times."""
+def dictionary(docs: DataFrame, text: str = "text", share: float = DICTIONARY_SHARE) -> DataFrame:
+    """(run): lower-case words of 3 letters or more that the whole corpus uses ``share`` times a document, or more often."""
     used = F.filter(t.words(F.col(text)), lambda w: w.rlike("^[a-z]{3,16}$"))
     counted = docs.select(F.explode(used).alias("run")).groupBy("run").agg(F.count("*").alias("n"))
-    return counted.filter(F.col("n") >= least).select("run")
+    return counted.filter(F.col("n") >= share * docs.count()).select("run")
 
 
 def with_features(found: DataFrame, known: DataFrame) -> DataFrame:
