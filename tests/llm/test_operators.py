@@ -271,6 +271,30 @@ def test_mix_meets_targets_and_repeats(spark, sf_dir):
     assert off <= 2 * mixing.MixPlan().block_words
 
 
+@pytest.mark.parametrize("kind", ["string", "binary", "double", "decimal(38,2)"])
+def test_ids_of_any_type(kind, tables, spark):
+    """Ids that are no whole numbers, repeated and NULL ones."""
+    named = F.col("doc_id") + F.lit(0.5) if kind != "string" else F.concat(F.lit("doc-"), F.col("doc_id"))
+    docs = tables.withColumn("doc_id", (named.cast("string") if kind == "binary" else named).cast(kind))
+    docs = docs.unionByName(docs.filter("doc_id IS NULL").withColumn("text", F.lit("four more words here")))
+    first, again = mixing.mixed(docs).drop("rows"), mixing.mix(docs.repartition(5))
+    order = ("doc_id", "source", "size", "source_size", "target", "taken")
+    rows = [sorted(map(str, frame.select(*order).collect())) for frame in (first, again)]
+    assert rows[0] == rows[1] and len(rows[0]) == docs.count()
+    found = license_scan.document_paths(docs).select("doc_id", "path").collect()
+    assert all((r.path is not None) and (r.doc_id is None or len(r.path.split("/")) >= 4) for r in found)
+
+
+@pytest.mark.parametrize("span", [1, 3, 65_536])
+def test_slots_of_several_spans(span, spark, monkeypatch):
+    monkeypatch.setattr(mixing, "SPAN", span)
+    sums = spark.range(40).filter("id % 7 <> 2").select(F.col("id").alias("range"), (F.col("id") % 5 + 1).alias("n"))
+    want, total = {}, 0
+    for r in sorted(sums.collect()):
+        want[r.range], total = total, total + r.n
+    assert {r.range: r.base for r in mixing._running(sums).collect()} == want
+
+
 def test_spans_are_cut(spark):
     item = "one two three four five six seven eight nine ten"
     docs = spark.createDataFrame([(1, f"before {item}, after"), (2, "clean text")], "doc_id long, text string")

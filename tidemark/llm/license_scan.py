@@ -194,10 +194,15 @@ def license_scan(files: DataFrame, text: str = "text", path: str = "path", min_c
 
 
 def document_paths(docs: DataFrame) -> DataFrame:
-    """The query's file tree: source, language, thousands, hundreds. A document that begins or ends with a statement is a licence file."""
+    """The query's file tree: source, language, thousands, hundreds. A document that begins or ends with a statement is a licence file.
+
+    An id that is no whole number counts as one that its hash gives, below 10^6; a NULL id has no folder of its own.
+    """
     edge = [F.split_part(F.coalesce("text", F.lit("")), F.lit("\n"), F.lit(n)) for n in (1, -1)]
     name = F.concat(F.when(edge[0].rlike(ANCHOR) | edge[1].rlike(ANCHOR), "LICENSE.").otherwise(""), F.col("doc_id").cast("string"))
-    folder = [F.floor(F.col("doc_id") / n).cast("string") for n in (1000, 100)]
+    hashed = F.when(F.col("doc_id").isNotNull(), F.pmod(F.xxhash64(F.col("doc_id").cast("string")), F.lit(1_000_000)))
+    number = F.coalesce(t.whole_number(F.col("doc_id")), hashed)
+    folder = [F.floor(number / n).cast("string") for n in (1000, 100)]
     return docs.withColumn("path", F.concat_ws("/", "source", "lang", *folder, name))
 
 

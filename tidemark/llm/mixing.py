@@ -6,12 +6,12 @@ ordered in one task. The output has shards of ``slots_per_shard`` slots. A sourc
 slots as its target asks for. All slots are drawn into a random order, by a seeded hash of source and
 number, and that order is cut into shards: the source counts of a shard are a multinomial draw under the
 condition that all shards together meet the targets. The j-th slot of a source is the block that the
-source's permutation of the epoch gives, and blocks are joined by index. The order comes from two-level
-ranks, within a hash range and over the range totals; nothing is collected, and a rerun gives the same mix.
+source's permutation of the epoch gives, and blocks are joined by index. The order comes from three-level
+ranks, within a hash range, over the ranges of a span and over the spans; nothing is collected, and a rerun gives the same mix.
 
 Defined cases: a NULL text has size 0 and a document of size 0 takes nothing; a NULL source is a
-source of its own, the last. Repeated rows are packed one by one, and NULL ids count as id 0 for
-packing. A target stops at ``max_epochs`` times its source's size, so no document is taken more
+source of its own, the last. Repeated rows are packed one by one. Ids may be of any type:
+whole numbers are packed by their number, all others, NULL included, by a hash of id and text. A target stops at ``max_epochs`` times its source's size, so no document is taken more
 often. An empty table gives an empty mix.
 """
 
@@ -27,6 +27,8 @@ from tidemark.llm import text as t
 # Primes below 10^7: a multiplier permutes 0..n-1 unless it divides n.
 PRIMES = (9_999_991, 9_999_973, 9_999_971, 9_999_943, 9_999_937, 9_999_931)
 CHUNK = 65_536
+# Ranges of the slots' hash in a span, over which one task sums.
+SPAN = 65_536
 
 
 @dataclass(frozen=True)
@@ -110,7 +112,7 @@ def packed(sizes: DataFrame, sources: DataFrame, plan: MixPlan = MixPlan()) -> D
     numbered = (
         sizes.join(known, sizes["source"].eqNullSafe(known["_td_source"]))
         .drop("_td_source")
-        .withColumn("_td_order", F.coalesce(F.col("doc_id").cast("long"), F.lit(0)))
+        .withColumn("_td_order", F.coalesce(t.whole_number(F.col("doc_id")), F.xxhash64(F.col("doc_id").cast("string"), "_td_hash")))
         .withColumn("_td_group", F.pmod(F.col("_td_order"), F.lit(plan.pack_groups)))
     )
     groups = numbered.groupBy("source_no", "_td_group").agg(F.sum("size").alias("_td_sum"))
@@ -129,6 +131,16 @@ def packed(sizes: DataFrame, sources: DataFrame, plan: MixPlan = MixPlan()) -> D
     )
 
 
+def _running(sums: DataFrame) -> DataFrame:
+    """(range, base): the slots before each range, added within spans of ranges and over the spans' totals."""
+    spans = sums.withColumn("span", F.floor(F.col("range") / SPAN))
+    totals = spans.groupBy("span").agg(F.sum("n").alias("n"))
+    ahead = totals.select("span", F.coalesce(F.sum("n").over(before_of("span")), F.lit(0)).alias("ahead"))
+    in_span = Window.partitionBy("span").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    within = spans.select("span", "range", F.coalesce(F.sum("n").over(in_span), F.lit(0)).alias("within"))
+    return within.join(ahead, "span").select("range", (F.col("ahead") + F.col("within")).alias("base"))
+
+
 def slots(sources: DataFrame, plan: MixPlan = MixPlan()) -> DataFrame:
     """(source_no, block, shard, slot): every slot of the output, made in chunks that spread over tasks."""
     chunks = sources.filter("n_slots > 0").select(
@@ -159,7 +171,7 @@ def slots(sources: DataFrame, plan: MixPlan = MixPlan()) -> DataFrame:
         drawn.bitwiseXOR(F.lit(-(1 << 63))).alias("order"),
     )
     sums = mapped.groupBy("range").agg(F.count("*").alias("n"))
-    starts = sums.select("range", F.coalesce(F.sum("n").over(before_of("range")), F.lit(0)).alias("base"))
+    starts = _running(sums)
     rank = F.row_number().over(Window.partitionBy("range").orderBy("order", "source_no", "j")) - 1
     place = F.col("base") + F.col("rank")
     return (

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from tidemark.session import shared_folder
 
-__all__ = ["WORD", "Tables", "ascii_lower", "delete", "drop", "let", "lines", "materialise", "read", "row_key", "same_key", "ship", "words"]
+__all__ = ["WORD", "Tables", "ascii_lower", "delete", "drop", "let", "lines", "materialise", "read", "row_key", "same_key", "ship", "whole_number", "words"]
 
 # What the contracts call white space, a word, and a letter to fold.
 SPACE = r"[\x20\x09-\x0D]"
@@ -116,6 +116,11 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.element_at(F.transform(F.array(value), body), 1)
 
 
+def whole_number(key: Column) -> Column:
+    """The whole number that an id of any type is; NULL for others."""
+    return key.cast("string").try_cast("long")
+
+
 def row_key(text: str = "text", key: str = "doc_id") -> list[Column]:
     """What tells rows apart where ``doc_id`` alone may be NULL or repeated."""
     return [F.col(key).alias("_td_id"), F.xxhash64(F.col(text).isNull(), F.col(text)).alias("_td_hash")]
