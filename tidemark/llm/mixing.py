@@ -138,7 +138,8 @@ def _running(sums: DataFrame) -> DataFrame:
     ahead = totals.select("span", F.coalesce(F.sum("n").over(before_of("span")), F.lit(0)).alias("ahead"))
     in_span = Window.partitionBy("span").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
     within = spans.select("span", "range", F.coalesce(F.sum("n").over(in_span), F.lit(0)).alias("within"))
-    return within.join(ahead, "span").select("range", (F.col("ahead") + F.col("within")).alias("base"))
+    # One row for 2^28 slots.
+    return within.join(F.broadcast(ahead), "span").select("range", (F.col("ahead") + F.col("within")).alias("base"))
 
 
 def slots(sources: DataFrame, plan: MixPlan = MixPlan()) -> DataFrame:
@@ -170,13 +171,13 @@ def slots(sources: DataFrame, plan: MixPlan = MixPlan()) -> DataFrame:
         # The unsigned order of the hash, which that of ranges follows.
         drawn.bitwiseXOR(F.lit(-(1 << 63))).alias("order"),
     )
-    sums = mapped.groupBy("range").agg(F.count("*").alias("n"))
-    starts = _running(sums)
+    starts = _running(t.materialise(mapped.groupBy("range").agg(F.count("*").alias("n"))))
     rank = F.row_number().over(Window.partitionBy("range").orderBy("order", "source_no", "j")) - 1
     place = F.col("base") + F.col("rank")
     return (
         mapped.withColumn("rank", rank)
-        .join(starts, "range")
+        # The planner doesn't see that slots multiply: it would broadcast them. They are dealt by range already.
+        .join(starts.hint("merge"), "range")
         .select(
             "source_no",
             "block",
