@@ -4,14 +4,14 @@ from __future__ import annotations
 
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import ClusteringEvaluator
-from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.fixedpoint import cents, from_cents, quotient, ratio, scaled, wide_sum
 from tidemark.functions.sizing import cached_for_training
+from tidemark.operators import lloyd
 from tidemark.operators.ranking import with_positions
 from tidemark.params import Params
 
@@ -37,6 +37,7 @@ LABELS_BY_RANK = [
 ]
 SWEEP = range(3, 9)
 SWEEP_RESTARTS = 10
+SWEEP_ITERATIONS = 300
 
 
 def z_name(column: str) -> str:
@@ -71,30 +72,33 @@ def scaled_features(features: DataFrame) -> DataFrame:
 
 def _points(features: DataFrame) -> DataFrame:
     columns = [z_name(c) for c in CLUSTER_FEATURES]
-    assembler = VectorAssembler(inputCols=columns, outputCol="_point")
-    return assembler.transform(z_scores(features, CLUSTER_FEATURES)).drop(*columns)
+    scaled_rows = z_scores(features, CLUSTER_FEATURES)
+    return scaled_rows.withColumn("_point", F.array(*columns)).drop(*columns)
 
 
-def _best_kmeans(points: DataFrame, k: int, iterations: int, restarts: int, seed: int):
-    """The cheapest of several seeded runs; the estimator itself has no restarts."""
-
-    def run(n: int):
-        trainer = KMeans(k=k, maxIter=iterations, seed=seed + n, featuresCol="_point", predictionCol="cluster_id")
-        return trainer.fit(points)
-
-    with ThreadPoolExecutor(restarts) as pool:  # independent runs share the cluster
-        return min(pool.map(run, range(restarts)), key=lambda model: model.summary.trainingCost)
+def _cheapest(fits: list[lloyd.Fit]) -> lloyd.Fit:
+    return min(fits, key=lambda found: found.cost)
 
 
 def kmeans_k_sweep(features: DataFrame, p: Params, restarts: int = SWEEP_RESTARTS) -> DataFrame:
-    """Inertia and silhouette (squared Euclidean) for k = 3..8."""
-    points = cached_for_training(_points(features).select("_point"), features.count())
-    judge = ClusteringEvaluator(featuresCol="_point", predictionCol="cluster_id")
-    rows = []
-    for k in SWEEP:
-        model = _best_kmeans(points, k, 300, restarts, p.seed)
-        rows.append((k, float(model.summary.trainingCost), float(judge.evaluate(model.transform(points)))))
+    """Inertia and silhouette (squared Euclidean) for k = 3..8.
+
+    All starts of all k share their passes; the silhouettes of the six best fits are independent jobs.
+    """
+    points = cached_for_training(_points(features).select("customer_id", "_point"), features.count())
+    starts = [(k, p.seed + n) for k in SWEEP for n in range(restarts)]
+    fits = lloyd.fit(points, "customer_id", "_point", starts, SWEEP_ITERATIONS)
+    best = {k: _cheapest([found for (size, _), found in zip(starts, fits) if size == k]) for k in SWEEP}
+    judge = ClusteringEvaluator(featuresCol="_vector", predictionCol="cluster_id")
+
+    def silhouette(k: int) -> float:
+        placed = points.select(array_to_vector("_point").alias("_vector"), lloyd.nearest("_point", best[k].centres).alias("cluster_id"))
+        return float(judge.evaluate(placed))
+
+    with ThreadPoolExecutor(len(SWEEP)) as pool:
+        judged = dict(zip(SWEEP, pool.map(silhouette, SWEEP)))
     points.unpersist()
+    rows = [(k, best[k].cost, judged[k]) for k in SWEEP]
     return features.sparkSession.createDataFrame(rows, "k int, inertia double, silhouette double")
 
 
@@ -153,10 +157,11 @@ def kmeans_segments(features: DataFrame, p: Params) -> DataFrame:
     projection of it, and the label lookup has one row per cluster: nothing is shuffled.
     """
     points = _points(features)
-    training = cached_for_training(points.select("_point"), features.count())
-    model = _best_kmeans(training, p.n_clusters, p.kmeans_iterations, p.kmeans_restarts, p.seed)
+    training = cached_for_training(points.select("customer_id", "_point"), features.count())
+    starts = [(p.n_clusters, p.seed + n) for n in range(p.kmeans_restarts)]
+    best = _cheapest(lloyd.fit(training, "customer_id", "_point", starts, p.kmeans_iterations))
     training.unpersist()
-    clustered = model.transform(points).drop("_point")
+    clustered = points.withColumn("cluster_id", lloyd.nearest("_point", best.centres)).drop("_point")
     labels = cluster_profiles(clustered).select("cluster_id", "segment_label", "segment_color")
     return clustered.join(F.broadcast(labels), "cluster_id").select(*features.columns, *labels.columns)
 
