@@ -508,3 +508,27 @@ def test_one_row_of_each_group_stays(tables, spark):
     nulls = spark.createDataFrame([(None, base), (None, near), (None, base)], "doc_id long, text string")
     assert jaccard_join.remove_near_duplicates(nulls).count() == 1
     assert sorted(str(r.doc_id) for r in jaccard_join.remove_near_duplicates(tables).collect()) == ["1", "3", "4", "5", "6", "7", "8", "None"]
+
+
+def test_filter_before_the_model_join_loses_no_gram(spark):
+    keys = spark.range(20_000).select(F.xxhash64("id").alias("gram"))
+    bits = quality_lm._broadcast_filter(keys, "gram").value
+    own = np.array([r.gram for r in keys.collect()], np.int64).view(np.uint64)
+    assert quality_lm._may_hold(bits, own).all()
+    others = spark.range(20_000, 60_000).select(F.xxhash64("id").alias("gram")).collect()
+    assert quality_lm._may_hold(bits, np.array([r.gram for r in others], np.int64).view(np.uint64)).mean() < 0.02
+    assert not quality_lm._may_hold(quality_lm._broadcast_filter(keys.limit(0), "gram").value, own).any()
+
+
+def test_keys_are_found_by_their_prefix(spark):
+    crowded = np.arange(5, dtype=np.uint64) * np.uint64(3)  # one prefix, so the search has to walk
+    spread = np.array([r[0] for r in spark.range(3_000).select(F.xxhash64("id")).collect()], np.int64).view(np.uint64)
+    held = np.concatenate([crowded, spread])
+    table = spark.createDataFrame([(int(k), i) for i, k in enumerate(held.view(np.int64))], "word long, place long")
+    keys, first, place = quality_lm._sorted_columns(table, "word")
+    wanted = np.concatenate([held, held + np.uint64(1), np.array([0, 2**64 - 1], np.uint64)])
+    at, there = quality_lm._found(keys, first, wanted)
+    assert (there == np.isin(wanted, held)).all()
+    assert (place[at[: len(held)]] == np.arange(len(held))).all()
+    none = quality_lm._found(keys[:0], first * 0, wanted)
+    assert not none[1].any()
