@@ -4,8 +4,9 @@ A candidate is a run of at least ``MIN_LENGTH`` key characters that has a digit,
 ``TURNS`` changes between small letters and capitals; and, at any length and of any characters, the value of a
 name of a credential. Its features are length,
 character transitions and classes, the share of its letter runs that the corpus uses as words (at least
-``DICTIONARY_SHARE`` times a document, counted over all), its path, and the neighbouring words. The forest learns from labelled
-findings, of which at most ``MAX_LABELLED`` are taken, in hash order; copies of a finding count once.
+``DICTIONARY_SHARE`` times a document, counted over all), the parts of its path, and how many neighbouring words
+name a credential, a digest or an example. The forest learns from labelled findings, of which at most
+``MAX_LABELLED`` are taken, in hash order; copies of a finding count once. A NULL path has no parts.
 Everything runs as DataFrame operations and Spark's own forest.
 
 No expression goes back over a word: the time of one grows with its length, so a text that is a single word of a
@@ -33,6 +34,11 @@ TREES, DEPTH, SEED = 40, 6, 17
 # Words that name a credential, prefixes and shapes of issued keys.
 CREDENTIAL = r"(?i)(token|password|passwd|secret|api.?key|access.?key|auth|credential|bearer)"
 ISSUED = r"^(AKIA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{36}|xox[abp]-[A-Za-z0-9-]{10,}|sk-[A-Za-z0-9]{20,})$"
+# Words around a candidate, parts of paths and kinds of files that speak for or against a secret.
+DIGEST = r"(?i)(sha\d*|md5|crc|checksum|digest|integrity|commit|revision|uuid|guid|etag|fingerprint)"
+PLACEHOLDER = r"(?i)(example|dummy|sample|placeholder|change.?me|your|fake|redacted|x{6,})"
+SAMPLE_PART = r"(?i)(^|[/_.-])(tests?|spec|fixtures?|examples?|samples?|mocks?|docs?)([/_.-]|$)"
+SETTINGS_FILE = r"(?i)\.(env|cfg|ini|conf|ya?ml|json|toml|properties|tf|sh)$"
 TURNS = 3
 OPENING, CLOSING = "\"'`([{", "\"'`)]},;."
 NUMBERS = r"^[0-9+\-/=_]+$"
@@ -50,7 +56,12 @@ FEATURES = (
     "f_named",
     "f_quoted",
     "f_after_named",
-    "f_path",
+    "f_near_credential",
+    "f_near_digest",
+    "f_near_placeholder",
+    "f_path_depth",
+    "f_path_sample",
+    "f_path_settings",
 )
 
 
@@ -126,6 +137,12 @@ def with_features(found: DataFrame, known: DataFrame) -> DataFrame:
     def yes(test: Column) -> Column:
         return F.coalesce(test, F.lit(False)).cast("double")
 
+    around = F.array("name", "before_2", "before", "after")
+
+    def near(pattern: str, *more: Column) -> Column:
+        return F.size(F.filter(F.concat(around, F.array(*more)) if more else around, lambda w: w.rlike(pattern))).cast("double")
+
+    folders = F.coalesce(F.col("path").cast("string"), F.lit(""))
     assigned = (F.col("name") != "") | F.col("before").isin("=", ":", ":=")
     return found.join(covered, "candidate", "left").withColumns(
         {
@@ -141,7 +158,12 @@ def with_features(found: DataFrame, known: DataFrame) -> DataFrame:
             "f_named": yes(F.col("name").rlike(CREDENTIAL)),
             "f_quoted": yes(F.col("quoted")),
             "f_after_named": yes(F.concat_ws(" ", "before_2", "before").rlike(CREDENTIAL)),
-            "f_path": F.pmod(F.xxhash64("path"), F.lit(64)).cast("double"),
+            "f_near_credential": near(CREDENTIAL),
+            "f_near_digest": near(DIGEST),
+            "f_near_placeholder": near(PLACEHOLDER, F.col("candidate")),
+            "f_path_depth": F.regexp_count(folders, F.lit("/")).cast("double"),
+            "f_path_sample": yes(folders.rlike(SAMPLE_PART)),
+            "f_path_settings": yes(folders.rlike(SETTINGS_FILE)),
         }
     )
 
