@@ -109,6 +109,18 @@ def test_amounts_below_a_cent_add_up(spark):
     assert totals.spend_cents == 400 and totals.max_cents == 0
 
 
+def test_customer_without_a_dated_order_has_no_monthly_rate(spark):
+    rows = [("o1", "undated", None, 5.0), ("o2", "dated", "2023-01-01", 5.0), ("o3", "partly", None, 5.0), ("o4", "partly", "2023-01-01", 5.0)]
+    clean = cleaning.orders_clean(orders(spark, rows), P)
+    items = spark.createDataFrame([("o1", "p", 2, 3.0)], "order_id string, product_id string, quantity int, price double")
+    products = spark.createDataFrame([("p", "mayo")], "product_id string, category string")
+    people = spark.createDataFrame([], "customer_id string, city string, signup_date date, channel string")
+    table = features.ml_features(clean, items, products, people, P)
+    assert column(table, "orders_per_month") == {"undated": None, "dated": 1.0, "partly": 2.0}
+    assert column(table, "lifespan_days") == {"undated": None, "dated": 0, "partly": 0}
+    assert column(features.feat_velocity(clean, P), "orders_per_month")["undated"] == 1.0
+
+
 def test_repeated_order_ids_multiply_items(spark):
     clean = cleaning.orders_clean(
         orders(spark, [("o", "a", "2023-01-01", 5.0), ("o", "a", "2023-01-02", 6.0), ("o", "b", "2023-01-02", 7.0)]), P

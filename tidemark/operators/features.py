@@ -134,10 +134,13 @@ def _churned(p: Params) -> Column:
 
 
 def ml_features(clean: DataFrame, items: DataFrame, products: DataFrame, customers: DataFrame, p: Params) -> DataFrame:
-    """All three inputs are one row per customer and hashed on customer_id before the joins."""
+    """All three inputs are one row per customer and hashed on customer_id before the joins.
+
+    Of a customer without a dated order the monthly rate is unknown, as its dates are; :func:`feat_velocity` gives the order count.
+    """
     joined = (
         _base(clean, p)
-        .withColumn("orders_per_month", _velocity())
+        .withColumn("orders_per_month", F.when(F.col("lifespan_days").isNotNull(), _velocity()))
         .join(feat_category_share(items, clean, products, p), "customer_id", "left")
         .join(feat_meta(customers, p), "customer_id", "left")
     )
