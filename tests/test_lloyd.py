@@ -82,3 +82,16 @@ def test_cluster_is_the_nearest(spark):
     for row in points.withColumn("c", lloyd.nearest("x", found.centres)).collect():
         assert row.c == ((found.centres - np.array(row.x)) ** 2).sum(axis=1).argmin()
     assert points.select(F.count("x")).first()[0] == 60
+
+
+def test_members_by_product_are_those_by_distance():
+    draw = np.random.default_rng(3)
+    points = draw.normal(size=(500, 7)) * [1, 1, 300, 1, 1e-3, 1, 1]
+    points[:50] = points[0]
+    stacked = np.concatenate([points[:5], points[60:68], points[60:63], points[[70, 70, 71]]])  # equal centres tie
+    stacked[9] = stacked[8] + 1e-14
+    edges = np.array([0, 5, 13, 16, 19])
+    member = lloyd.members(points, stacked, edges)
+    for low, high in zip(edges, edges[1:]):
+        exact = lloyd.distances(points[:, None, :], stacked[None, low:high]).argmin(axis=1)
+        assert (member[low:high].sum(axis=0) == 1).all() and (member[low:high].argmax(axis=0) == exact).all()

@@ -19,6 +19,7 @@ SEED_ROWS = 4096  # the starts are drawn from so many points; everything else us
 TOLERANCE = 1e-4  # a start rests when no centre moves further
 _UNIT = 1 << 20
 _CHUNK = 1024  # points whose distances are in memory at a time
+_ROUNDING = 1e-12  # of the squared lengths: a bound, thousands of times wider than it need be, for a distance's rounding
 
 
 class Fit(NamedTuple):
@@ -54,7 +55,7 @@ def fit(points: DataFrame, id_column: str, point: str, starts: list[tuple[int, i
         moving = still
         if not moving:
             break
-    return [Fit(c, cost / _UNIT) for c, (_, _, cost) in zip(centres, _pass(points, point, centres))]
+    return [Fit(c, cost / _UNIT) for c, (_, _, cost) in zip(centres, _pass(points, point, centres, costs=True))]
 
 
 def nearest(point: str, centres: np.ndarray) -> Column:
@@ -90,8 +91,8 @@ def _seed_sample(points: DataFrame, id_column: str, point: str) -> np.ndarray:
     return np.array([row[0] for row in drawn.select(point).collect()], dtype=float)
 
 
-def _pass(points: DataFrame, point: str, centres: list[np.ndarray]) -> list[tuple[np.ndarray, np.ndarray, int]]:
-    """For every start: points and summed coordinates by centre, and its summed squared distances; both sums in 2**-20."""
+def _pass(points: DataFrame, point: str, centres: list[np.ndarray], costs: bool = False) -> list[tuple[np.ndarray, np.ndarray, int]]:
+    """For every start: points and summed coordinates by centre, and (with ``costs``) its summed squared distances; both sums in 2**-20."""
     width = centres[0].shape[1]
     edges = np.concatenate([[0], np.cumsum([len(c) for c in centres])])
     stacked = np.concatenate(centres)
@@ -101,7 +102,7 @@ def _pass(points: DataFrame, point: str, centres: list[np.ndarray]) -> list[tupl
         for batch in batches:
             flat = batch.column(0).flatten().to_numpy(zero_copy_only=False).reshape(-1, width)
             for first in range(0, len(flat), _CHUNK):
-                add_points(found, flat[first : first + _CHUNK], stacked, edges)
+                add_points(found, flat[first : first + _CHUNK], stacked, edges, costs)
         slots = np.flatnonzero(found.any(axis=1))
         yield pa.RecordBatch.from_arrays(
             [pa.array(slots, pa.int32()), pa.array(list(found[slots]), pa.list_(pa.int64()))], names=["slot", "sums"]
@@ -116,24 +117,45 @@ def _pass(points: DataFrame, point: str, centres: list[np.ndarray]) -> list[tupl
     return [(part[:, width], part[:, :width], int(part[0, width + 1])) for part in parts]
 
 
-def add_points(found: np.ndarray, points: np.ndarray, stacked: np.ndarray, edges: np.ndarray) -> None:
+def distances(points: np.ndarray, centres: np.ndarray) -> np.ndarray:
+    """Squared distances, added coordinate by coordinate: the same bits whatever the shapes. The arrays broadcast."""
+    total = np.zeros(np.broadcast_shapes(points.shape, centres.shape)[:-1])
+    for j in range(points.shape[-1]):
+        gap = points[..., j] - centres[..., j]
+        total += gap * gap
+    return total
+
+
+def members(points: np.ndarray, stacked: np.ndarray, edges: np.ndarray) -> np.ndarray:
+    """(centres, points): 1 where the centre is the nearest of its start, by :func:`distances`; ties go to the smaller centre.
+
+    A matrix product, whose rounding depends on its shape, rules out all centres that are further by more than it can be wrong.
+    Where more than one is left, :func:`distances` decides.
+    """
+    squares = (stacked * stacked).sum(axis=1)
+    near = np.column_stack([-2 * stacked, squares]) @ np.column_stack([points, np.ones(len(points))]).T
+    margin = _ROUNDING * ((points * points).sum(axis=1) + squares.max() + 1)
+    bound = np.minimum.reduceat(near, edges[:-1], axis=0) + margin
+    member = (near <= np.repeat(bound, np.diff(edges), axis=0)).astype(float)
+    open_starts, open_points = np.nonzero(np.add.reduceat(member, edges[:-1], axis=0) > 1)
+    for start in np.unique(open_starts):
+        low, high, own = edges[start], edges[start + 1], open_points[open_starts == start]
+        choice = distances(points[own, None, :], stacked[None, low:high]).argmin(axis=1)
+        member[low:high, own] = choice == np.arange(high - low)[:, None]
+    return member
+
+
+def add_points(found: np.ndarray, points: np.ndarray, stacked: np.ndarray, edges: np.ndarray, costs: bool = True) -> None:
     """Add ``points`` to the rows of ``found`` that belong to their nearest centres, one for every start.
 
-    Distances are added coordinate by coordinate, not as a matrix product, whose rounding depends on its shape. The sums may
-    be one: below 2**53 they are whole numbers exactly, and a standardised coordinate is at most the root of the number of points.
+    The sums may be a matrix product: below 2**53 they are whole numbers exactly, and a standardised coordinate is at most the
+    root of the number of points.
     """
     width = points.shape[1]
-    rows = np.arange(len(points))
-    distance = np.zeros((len(points), len(stacked)))
-    gap = np.empty_like(distance)
-    for j in range(width):
-        np.subtract(points[:, j, None], stacked[None, :, j], out=gap)
-        np.multiply(gap, gap, out=gap)
-        distance += gap
-    member = np.zeros_like(distance)
-    for low, high in zip(edges, edges[1:]):
-        choice = low + distance[:, low:high].argmin(axis=1)
-        member[rows, choice] = 1
-        found[low, width + 1] += np.rint(distance[rows, choice] * _UNIT).astype(np.int64).sum()
+    member = members(points, stacked, edges)
     whole = np.column_stack([np.rint(points * _UNIT), np.ones(len(points))])
-    found[:, : width + 1] += (member.T @ whole).astype(np.int64)
+    found[:, : width + 1] += (member @ whole).astype(np.int64)
+    if costs:
+        for low, high in zip(edges, edges[1:]):
+            own = stacked[low + member[low:high].argmax(axis=0)]
+            found[low, width + 1] += np.rint(distances(points, own) * _UNIT).astype(np.int64).sum()
