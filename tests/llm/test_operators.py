@@ -433,6 +433,25 @@ def test_quality_model_as_defined(spark):
                 assert abs(found[i][1] / quality_lm.UNIT - score(x, 1)) < 1e-6, x
 
 
+def test_pairs_seen_once_are_discounted_not_dropped(spark, monkeypatch):
+    texts = ["a b c a b", "a b d", "b c x", "a b c a d d", "the c", "a b c", "c d a b", "b c d", "x d", "x d", "x d"]
+    docs = spark.createDataFrame([(i, x, "en") for i, x in enumerate(texts)], "doc_id long, text string, lang string")
+    seen, scored = [], quality_lm.log_probabilities
+
+    def looked_at(docs, model, spelling):
+        seen.append((model.discounts, sorted(r.c for r in model.pairs.collect())))
+        return scored(docs, model, spelling)
+
+    monkeypatch.setattr(quality_lm, "log_probabilities", looked_at)
+    quality_lm.quality_scores(docs, docs.select("doc_id"))
+    pairs = [p for x in texts for p in itertools.pairwise(["<s>", *x.split(), "</s>"])]
+    counts = sorted(pairs.count(p) for p in set(pairs))
+    n1, n2, n3 = (counts.count(k) for k in (1, 2, 3))
+    assert n1 and n2 and n3
+    ((discounts, found),) = seen
+    assert found == counts and discounts[0] == pytest.approx(n1 / (n1 + 2 * n2))
+
+
 def test_quality_model_cuts_long_texts(spark, monkeypatch):
     texts = ["one two three four five six seven " * 3, "  one  two " + "x" * 90 + " three", "seven six five one two", "one two three", "y" * 200, " " * 100]
     docs = spark.createDataFrame([(i, i, "en", x) for i, x in enumerate(texts)], "_td_id long, _td_hash long, _td_lang string, text string")

@@ -3,8 +3,8 @@
 The model is one of words (A-Z as a-z): pairs of words, under them single words by how many others they follow, and under
 those the spelling, for words the trusted texts do not have. Pairs are counted in all trusted documents, and counts,
 continuation counts, discounts, context totals and back-off weights are joins and aggregations of tables sharded by
-a word's hash, so the model grows with the corpus and stays in the executors. A pair seen once is discounted
-whole: what one document says once is no evidence about others. Trusted texts are counted, and documents
+a word's hash, so the model grows with the corpus and stays in the executors. Pairs of every count are kept, those
+seen once too, each with the discount estimated for its count. Trusted texts are counted, and documents
 scored, in ``SLICES`` passes over parts of the words and pairs, so that only one part is shuffled at a time.
 
 What an n-gram adds to the log probability over its suffix, and what it weighs as a context, is one number, so a document's
@@ -308,23 +308,24 @@ def _stacked(frames: list[DataFrame]) -> DataFrame:
     return whole
 
 
-def word_model(slices: Iterator[DataFrame]) -> Model:
+def word_model(slices: Iterator[DataFrame], one: float | None = None) -> Model:
     """What :func:`pair_counts` gives, slice by slice, as ``words`` and ``pairs``, each written as a table.
 
     ``words`` (word, times, whole, less): what a word adds to its spelling and weighs as a context; less is without one occurrence.
     ``pairs`` (pair, c, total, given): count, that of the context, and the probability of the second word without the pair.
-    ``spelt`` is the log weight of the spelling, ``discounts`` those of pairs.
+    ``spelt`` is the log weight of the spelling, ``discounts`` those of pairs; ``one`` sets that of pairs seen once, and at 1, which
+    leaves them nothing, they are not stored.
     """
     pairs, ones, contexts, counts = [], [], [], []
     for part in slices:
         part = t.materialise(part)
-        pairs.append(t.materialise(part.filter("c > 1").select("w1", "w2", "c")))
+        pairs.append(t.materialise(part.filter(F.col("c") > (1 if one == 1 else 0)).select("w1", "w2", "c")))
         ones.append(t.materialise(part.groupBy("w2").agg(F.count("*").alias("n"), F.max("spelling").alias("spelling"))))
         by_count = [F.sum(F.expr(f"CAST({rule} AS BIGINT)")).alias(name) for name, rule in (("s1", "c = 1"), ("s2", "c = 2"), ("s3", "c > 2"))]
         contexts.append(t.materialise(part.groupBy("w1").agg(F.sum("c").alias("total"), *by_count)))
         counts.append(part.agg(*_counts_of_counts("c")).first())
         t.drop(part)
-    d = _discounts({f"n{k}": sum(row[f"n{k}"] or 0 for row in counts) for k in (1, 2, 3, 4)}, one=1.0)
+    d = _discounts({f"n{k}": sum(row[f"n{k}"] or 0 for row in counts) for k in (1, 2, 3, 4)}, one)
     summed = _stacked(contexts).groupBy("w1").agg(*[F.sum(c).alias(c) for c in ("total", "s1", "s2", "s3")])
     backoff = (F.col("s1") * d[0] + F.col("s2") * d[1] + F.col("s3") * d[2]) / F.col("total")
     context = t.materialise(summed.select(F.col("w1").alias("word"), "total", backoff.alias("backoff")))
@@ -516,10 +517,10 @@ def log_probabilities(docs: DataFrame, model: Model, spelling) -> DataFrame:
     return t.materialise(found)
 
 
-def fitted(texts: DataFrame) -> tuple[Model, object]:
-    """The model of the ``texts`` (text), and the broadcast spelling."""
+def fitted(texts: DataFrame, one: float | None = 1.0) -> tuple[Model, object]:
+    """The model of the ``texts`` (text), and the broadcast spelling. ``one`` as in :func:`word_model`; None estimates it."""
     spelling = _broadcast(texts.sparkSession, kneser_ney(t.materialise(gram_counts(texts))))
-    return word_model(pair_counts(texts, spelling, number) for number in range(SLICES)), spelling
+    return word_model((pair_counts(texts, spelling, number) for number in range(SLICES)), one), spelling
 
 
 def thresholds(checked: DataFrame, quantile: float = QUANTILE) -> tuple[DataFrame, float | None]:
@@ -566,7 +567,7 @@ def quality_scores(docs: DataFrame, trusted: DataFrame, quantile: float = QUANTI
         texts = t.materialise(texts)
         learnt = not texts.isEmpty()
         if learnt:
-            model, spelling = fitted(texts)
+            model, spelling = fitted(texts, one=None)
             t.drop(texts)
         else:
             model, spelling = _blank_model(docs.sparkSession)
