@@ -37,3 +37,13 @@ def test_training_partitions_are_even_and_fixed(spark, monkeypatch, slices):
     again = sizing.cached_for_training(uneven.orderBy(F.col("id").desc()), 4000, "id")
     assert again.rdd.glom().map(lambda rows: [r.x for r in rows]).collect() == found
     again.unpersist()
+
+
+def test_partitions_of_a_large_training_table_grow_in_size(spark, monkeypatch):
+    assert [sizing.training_partitions(n) for n in (0, 25_000, 25_001, 600_000)] == [1, 1, 2, 24]
+    assert [sizing.training_partitions(n) for n in (900_000, 5_400_000, 6_000_001)] == [24, 24, 25]
+    monkeypatch.setattr(sizing, "ROWS_PER_PARTITION", 50)
+    dealt = sizing.cached_for_training(spark.range(4000), 4000, "id")
+    sizes = dealt.withColumn("x", F.lit(1)).rdd.glom().map(len).collect()
+    dealt.unpersist()
+    assert len(sizes) == 24 and sum(sizes) == 4000 and max(sizes) < 1.5 * 4000 / 24
