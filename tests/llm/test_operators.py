@@ -551,3 +551,24 @@ def test_keys_are_found_by_their_prefix(spark):
     assert (place[at[: len(held)]] == np.arange(len(held))).all()
     none = quality_lm._found(keys[:0], first * 0, wanted)
     assert not none[1].any()
+
+
+def test_trusted_documents_need_no_pairs_seen_once(spark, monkeypatch):
+    texts = ["a b c a b", "a b d", "b c x", "a b c a d d", "the c", "a b c", "c d a b", "b c d", "x d"]
+    docs = spark.createDataFrame([(i, i, "en", x) for i, x in enumerate(texts)], "_td_id long, _td_hash long, _td_lang string, text string")
+    model, spelling = quality_lm.fitted(docs, one=None)
+    monkeypatch.setattr(quality_lm, "HEAVY", 0)
+    marked = docs.withColumn("trusted", F.col("_td_id") != 0)
+    plain, told = ({r["_td_id"]: r for r in quality_lm.log_probabilities(x, model, spelling).collect()} for x in (docs, marked))
+    assert {i: r["less"] for i, r in told.items()} == {i: r["less"] for i, r in plain.items()}
+    assert told[0] == plain[0] and told[4]["whole"] < plain[4]["whole"]  # "the c" has pairs of its own only
+
+
+def test_documents_are_marked_by_exact_ids(spark, monkeypatch):
+    ids = spark.range(0, 40, 4).select(F.col("id").alias("_td_key_id"))
+    docs = spark.range(40).select(F.expr("IF(id = 5, NULL, id)").alias("_td_id"), F.lit("x").alias("text"))
+    for passes in (quality_lm.holds, lambda words, key, blocks: F.lit(True)):
+        monkeypatch.setattr(quality_lm, "holds", passes)
+        monkeypatch.setattr(quality_lm, "possible", lambda rows, keys, on: rows)
+        found = [(r["_td_id"], r["trusted"]) for r in quality_lm._marked(docs, ids).collect()]
+        assert len(found) == 40 and {i for i, own in found if own} == set(range(0, 40, 4))

@@ -5,7 +5,8 @@ those the spelling, for words the trusted texts do not have. Pairs are counted i
 continuation counts, discounts, context totals and back-off weights are joins and aggregations of tables sharded by
 a word's hash, so the model grows with the corpus and stays in the executors. Pairs of every count are kept, those
 seen once too, each with the discount estimated for its count. Trusted texts are counted, and documents
-scored, in ``SLICES`` passes over parts of the words and pairs, so that only one part is shuffled at a time.
+scored, in ``SLICES`` passes over the words of one part and the pairs that end in them, so that only one part is shuffled at a
+time. What a pair needs of its two words is joined to it just before its pass.
 
 What an n-gram adds to the log probability over its suffix, and what it weighs as a context, is one number, so a document's
 log probability is its spelling plus that of its words and pairs. Each document's distinct ones are joined to the
@@ -15,6 +16,7 @@ classes of bytes within a word: at most 64^3.
 
 A trusted document is scored without itself: its own occurrences are taken off the count of each pair, and one off the
 continuation count of each word (of a text beyond ``links.BUFFER`` bytes, those of the stretch at hand). So its score is like that of any other document, and being labelled earns nothing.
+A pair seen once adds exactly nothing to it, so a trusted document is not joined to those.
 
 The scores of all trusted documents give a threshold for each language: its own median, and above it a reach in log perplexity.
 The reach is the ``quantile`` of the language's scores, less the part of them that one or two documents make up. The fewer they are
@@ -41,7 +43,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm import text as t
-from tidemark.llm.bloom import BITS_PER_KEY, blocks_for, broadcastable, possible
+from tidemark.llm.bloom import BITS_PER_KEY, bloom_filter, blocks_for, broadcastable, holds, possible, slice_of
 from tidemark.llm.links import BUFFER, SPACES, word_hashes
 
 t.ship(__name__)
@@ -50,7 +52,7 @@ ORDER, BITS = 3, 6
 SYMBOLS = 1 << BITS
 UNIT = 1 << 32
 QUANTILE = 0.995
-SLICES = 2  # a power of two
+SLICES = 4  # a power of two
 HEAVY = 1 << 16
 PREFIX = 18  # leading bits of a key that index a broadcast table
 LEVELS = (0.5, 0.75, 0.9, 0.95, 0.97, 0.98, 0.985, 0.99, 0.9925, 0.995, 0.9975, 0.999)
@@ -292,7 +294,8 @@ def _trusted_pairs(number: int, spelling):
     return run
 
 
-Model = namedtuple("Model", "words pairs spelt discounts")
+# ``parts`` are the counts (w1, w2, c) of ``pairs`` by slice, and ``known`` makes rows of ``pairs`` of them.
+Model = namedtuple("Model", "words pairs spelt discounts parts known")
 
 
 def pair_counts(trusted: DataFrame, spelling, number: int) -> DataFrame:
@@ -309,7 +312,7 @@ def _stacked(frames: list[DataFrame]) -> DataFrame:
 
 
 def word_model(slices: Iterator[DataFrame], one: float | None = None) -> Model:
-    """What :func:`pair_counts` gives, slice by slice, as ``words`` and ``pairs``, each written as a table.
+    """What :func:`pair_counts` gives, slice by slice, as ``words``, a table, and ``pairs``, which join what is known of their words.
 
     ``words`` (word, times, whole, less): what a word adds to its spelling and weighs as a context; less is without one occurrence.
     ``pairs`` (pair, c, total, given): count, that of the context, and the probability of the second word without the pair.
@@ -349,11 +352,14 @@ def word_model(slices: Iterator[DataFrame], one: float | None = None) -> Model:
         units(F.log(p(F.col("n") - 1)) - other) + units(F.when(F.col("total") > 1, F.log("backoff"))),
     )
     words = t.materialise(words.toDF("word", "times", "whole", "less"))
-    of_second = one.select(F.col("word").alias("w2"), p(F.col("n")).alias("p"))
-    met = _stacked(pairs).join(context.withColumnRenamed("word", "w1"), "w1").join(of_second, "w2")
-    known = t.materialise(met.select(F.xxhash64("w1", "w2").alias("pair"), "c", "total", (F.col("backoff") * F.col("p")).alias("given")))
-    t.drop(*pairs, *ones, *contexts, context)
-    return Model(words, known, spelt, d)
+    of_second = t.materialise(one.select(F.col("word").alias("w2"), p(F.col("n")).alias("p")))
+    t.drop(*ones, *contexts)
+
+    def known(part: DataFrame) -> DataFrame:
+        met = part.join(context.withColumnRenamed("word", "w1"), "w1").join(of_second, "w2")
+        return met.select(F.xxhash64("w1", "w2").alias("pair"), "c", "total", (F.col("backoff") * F.col("p")).alias("given"))
+
+    return Model(words, known(_stacked(pairs)), spelt, d, pairs, known)
 
 
 def _most_frequent(table: DataFrame, count: str) -> DataFrame:
@@ -453,19 +459,25 @@ def _documents(spelling, heavy, discounts):
     return run
 
 
-def _document_grams(heavy, number: int, known_grams):
+def _document_grams(heavy, number: int, known_grams, repeated_grams):
+    """Those of slice ``number``; of a trusted document only what ``repeated_grams`` may hold."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = [table[:2] for table in heavy.value]
         for s in stretches(batches):
             first, second, item, _ = _pairs(s)
+            trusted = s.batch.column("trusted").to_numpy(zero_copy_only=False)[s.rows].astype(bool)
+            word, word_item = _words(s, second, item)
+            mine, of_word = np.flatnonzero(second % np.uint64(SLICES) == number), np.flatnonzero(word % np.uint64(SLICES) == number)
             grams, items = [], []
-            for (gram, own), table in zip((_words(s, second, item), (pair_hash(first, second), item)), known):
-                mine = np.flatnonzero(gram % np.uint64(SLICES) == number)
-                if known_grams is not None:
-                    mine = mine[_may_hold(known_grams.value, gram[mine])]
-                mine = mine[~_found(*table, gram[mine])[1]]
-                grams.append(gram[mine])
-                items.append(own[mine])
+            for gram, own, table in zip((word[of_word], pair_hash(first[mine], second[mine])), (word_item[of_word], item[mine]), known):
+                for which, wanted in ((~trusted[own], known_grams), (trusted[own], repeated_grams)):
+                    at = np.flatnonzero(which)
+                    if wanted is not None:
+                        at = at[_may_hold(wanted.value, gram[at])]
+                    at = at[~_found(*table, gram[at])[1]]
+                    grams.append(gram[at])
+                    items.append(own[at])
             item, gram, times = _grouped(np.concatenate(items), np.concatenate(grams))
             doc = s.batch.column("doc").take(pa.array(s.rows[item]))
             yield pa.RecordBatch.from_arrays([doc, *_longs(gram, times)], names=["doc", "gram", "times"])
@@ -476,10 +488,12 @@ def _document_grams(heavy, number: int, known_grams):
 def log_probabilities(docs: DataFrame, model: Model, spelling) -> DataFrame:
     """(_td_id, _td_hash, _td_lang, n_symbols, n_words, whole, less): log probabilities in units, with and without the document's own counts.
 
-    ``docs`` has _td_id, _td_hash, _td_lang and text.
+    ``docs`` has _td_id, _td_hash, _td_lang and text, and may have trusted (boolean): of those documents only ``less`` is meant.
+    The counts of ``model.parts`` are deleted as they are used, if the :class:`Tables` entered last hold them.
     """
     kinds = dict(docs.dtypes)
-    words, pairs = _most_frequent(model.words, "times"), _most_frequent(model.pairs, "c")
+    trusted = F.col("trusted") if "trusted" in kinds else F.lit(False)
+    words, pairs = _most_frequent(model.words, "times"), model.known(_most_frequent(_stacked(model.parts), "c"))
     heavy = docs.sparkSession.sparkContext.broadcast((_sorted_columns(words, "word"), _sorted_columns(pairs, "pair")))
     schema = f"_td_id {kinds['_td_id']}, _td_hash long, _td_lang {kinds['_td_lang']}, opens boolean, n_symbols long, n_words long, whole long, less long"
     rows = docs.mapInArrow(_documents(spelling, heavy, model.discounts), schema)
@@ -488,7 +502,7 @@ def log_probabilities(docs: DataFrame, model: Model, spelling) -> DataFrame:
     # The stretches of long texts, and repeated rows, are one row; ``copies`` tells how many rows a document is.
     own = rows.groupBy("_td_id", "_td_hash", "_td_lang").agg(F.sum(F.col("opens").cast("long")).alias("copies"), *[F.sum(c).alias(c) for c in sums])
     parts = [t.materialise(own.select("*", doc))]
-    texts = docs.select(doc, "text")
+    texts = docs.select(doc, "text", trusted.alias("trusted"))
     entry = "doc long, gram long, times long"
 
     times = F.col("times")
@@ -497,15 +511,19 @@ def log_probabilities(docs: DataFrame, model: Model, spelling) -> DataFrame:
         share = F.greatest(c - _cut(c, model.discounts), F.lit(0.0)) / F.col("total") / F.col("given")
         return F.round(F.log1p(share) * UNIT).cast("long") * times
 
-    entries = model.words.withColumnRenamed("word", "gram").drop("times").unionByName(model.pairs.withColumnRenamed("pair", "gram"), allowMissingColumns=True)
+    entries = model.words.withColumnRenamed("word", "gram").drop("times")
     whole = F.coalesce(times * F.col("whole"), weight(F.col("c")))
     less = F.coalesce(times * F.col("less"), weight(F.col("c") - times))
-    for number in range(SLICES):
-        table = entries.filter(F.col("gram").bitwiseAND(SLICES - 1) == number)
-        # As many rows as the corpus has words, and a model of their order: only its filter is broadcast, by size.
-        grams = texts.mapInArrow(_document_grams(heavy, number, _broadcast_filter(table, "gram")), entry)
+    for number, counted in enumerate(model.parts):
+        own_pairs = t.materialise(model.known(counted))
+        t.drop(counted)
+        table = entries.filter(F.col("gram").bitwiseAND(SLICES - 1) == number).unionByName(own_pairs.withColumnRenamed("pair", "gram"), allowMissingColumns=True)
+        # As many rows as the corpus has words, and a model of their order: only its filters are broadcast, by size.
+        filters = [_broadcast_filter(rows, "gram") for rows in (table, table.filter("c IS NULL OR c > 1"))]
+        grams = texts.mapInArrow(_document_grams(heavy, number, *filters), entry)
         met = grams.join(table.hint("shuffle_hash"), "gram")
         parts.append(t.materialise(met.groupBy("doc").agg(F.sum(whole).alias("whole"), F.sum(less).alias("less"))))
+        t.drop(own_pairs)
     joined = parts[0]
     for part in parts[1:]:
         joined = joined.join(part.select("doc", F.col("whole").alias("more"), F.col("less").alias("more_less")), "doc", "left")
@@ -557,6 +575,26 @@ def thresholds(checked: DataFrame, quantile: float = QUANTILE) -> tuple[DataFram
     return found, found.agg(F.max("own")).first()[0]
 
 
+def _marked(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """``docs`` with trusted: whether _td_id is one of ``ids`` (_td_key_id), without shuffling the texts.
+
+    A Bloom filter finds all of them; the few others that pass it are found by an exact join of ids and broadcast. Too many
+    ids for a filter leave every document unmarked.
+    """
+    blocks = blocks_for(ids.count())
+    if not broadcastable(blocks):
+        return docs.withColumn("trusted", F.lit(False))
+    rows = docs.select(F.col("_td_id").alias("_td_key_id")).filter("_td_key_id IS NOT NULL")
+    wrong = t.materialise(possible(rows, ids, ["_td_key_id"]).join(ids, "_td_key_id", "left_anti").distinct())
+    bits = F.broadcast(bloom_filter(ids.select(F.xxhash64("_td_key_id").alias("_td_key")), "_td_key", blocks).toDF("_td_slice", "_td_words"))
+    keyed = docs.withColumn("_td_key", F.xxhash64("_td_id"))
+    met = keyed.withColumn("_td_slice", slice_of(F.col("_td_key"), blocks)).join(bits, "_td_slice")
+    passed = F.col("_td_id").isNotNull() & holds(F.col("_td_words"), F.col("_td_key"), blocks)
+    others = F.broadcast(wrong.select("_td_key_id", F.lit(True).alias("_td_wrong")))  # 0.15 % of the ids
+    met = met.withColumn("_td_passed", passed).join(others, F.col("_td_id") == F.col("_td_key_id"), "left")
+    return met.select(*docs.columns, (F.col("_td_passed") & F.col("_td_wrong").isNull()).alias("trusted"))
+
+
 def quality_scores(docs: DataFrame, trusted: DataFrame, quantile: float = QUANTILE, text: str = "text", key: str = "doc_id", lang: str = "lang") -> DataFrame:
     """(_td_id, _td_hash, lang, n_symbols, perplexity, threshold, kept), a row for each of ``docs``; ``trusted`` holds the ids of trusted documents."""
     keyed = docs.select(*t.row_key(text, key), F.col(lang).alias("_td_lang"), F.col(text).alias("text"))
@@ -571,7 +609,7 @@ def quality_scores(docs: DataFrame, trusted: DataFrame, quantile: float = QUANTI
             t.drop(texts)
         else:
             model, spelling = _blank_model(docs.sparkSession)
-        scored = log_probabilities(keyed, model, spelling)
+        scored = log_probabilities(_marked(keyed, ids), model, spelling)
         marked = scored.join(ids, F.col("_td_id") == F.col("_td_key_id"), "left").withColumn("known", F.col("_td_key_id").isNotNull())
         total = F.when(F.col("known"), F.col("less")).otherwise(F.col("whole"))
         perplexity = F.when(F.col("n_symbols") > 0, F.exp(-total / UNIT / F.col("n_symbols"))) if learnt else F.lit(None).cast("double")
@@ -594,7 +632,7 @@ def _blank_model(spark) -> tuple[Model, object]:
     """Nothing is known: only words and symbols are counted."""
     words = spark.createDataFrame([], "word long, times long, whole long, less long")
     pairs = spark.createDataFrame([], "pair long, c long, total long, given double")
-    return Model(words, pairs, 0.0, [0.5, 0.5, 0.5]), spark.sparkContext.broadcast(np.zeros(SYMBOLS**ORDER, np.int64))
+    return Model(words, pairs, 0.0, [0.5, 0.5, 0.5], [pairs] * SLICES, lambda part: part), spark.sparkContext.broadcast(np.zeros(SYMBOLS**ORDER, np.int64))
 
 
 def remove_low_quality(docs: DataFrame, trusted: DataFrame, quantile: float = QUANTILE, text: str = "text", key: str = "doc_id", lang: str = "lang") -> DataFrame:
