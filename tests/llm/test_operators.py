@@ -496,6 +496,23 @@ def test_shards_are_drawn_and_hold_the_text(tables, spark, sf_dir):
             assert all(any(w[x.first_word : x.first_word + len(x.text.split(" "))] == x.text.split(" ") for w in mine) for x in r.rows)
 
 
+def test_mix_hands_each_text_on_once(tables):
+    """Blocks meet slots without their words: one exchange carries texts, that to the places of their documents."""
+
+    def exchanges(node):
+        if node.nodeName() == "AdaptiveSparkPlan":
+            node = node.initialPlan()
+        found = [node] if node.nodeName() == "Exchange" else []
+        return found + [x for i in range(node.children().size()) for x in exchanges(node.children().apply(i))]
+
+    plan = mixing.mixed(tables)._jdf.queryExecution().executedPlan()
+    handed = [{x.output().apply(i).name() for i in range(x.output().size())} for x in exchanges(plan)]
+    assert len([names for names in handed if names & {"text", "_td_text", "first", "buf"}]) == 1
+    rows = mixing.shard_rows(tables, mixing.MixPlan(block_words=4))
+    assert rows.columns == ["shard", "slot", "source", "doc_id", "first_word", "text"]
+    assert rows.agg(F.sum(F.size(F.split("text", " ")))).first()[0] == mixing.mix(tables, mixing.MixPlan(block_words=4)).agg(F.sum("taken")).first()[0]
+
+
 def test_licence_within_other_words(spark):
     texts = {
         "a": "Copyright 2020 Acme Inc. Licensed under the Apache License, Version 2.0",

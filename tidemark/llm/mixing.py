@@ -220,17 +220,24 @@ def draw(docs: DataFrame, plan: MixPlan = MixPlan(), **names: str) -> Drawn:
 
 
 def _taken(drawn: Drawn, plan: MixPlan) -> DataFrame:
-    """(doc_id, source, size, source_size, target, taken, source_no, start, _td_hash): the words of each document's rows in the slots."""
+    """(doc_id, source, size, source_size, target, taken, source_no, start, _td_hash, places): the words of each document's rows in the slots.
+
+    ``places`` tells the rows without their text: (shard, slot, first_word, n_words), in order.
+    """
     own = ["doc_id", "source", "size", "source_size", "target", "source_no", "start", "_td_hash"]
+    place = F.when(F.col("slot").isNotNull(), F.struct("shard", "slot", "first_word", "n_words"))
     taken = (
         pieces(drawn.placed, plan)
         # As many blocks as words / block_words: never a broadcast.
         .join(drawn.slots.hint("merge"), ["source_no", "block"], "left")
         .groupBy(*own)
-        .agg(F.sum(F.when(F.col("slot").isNotNull(), F.col("n_words")).otherwise(0)).alias("taken"))
+        .agg(
+            F.sum(F.when(F.col("slot").isNotNull(), F.col("n_words")).otherwise(0)).alias("taken"),
+            F.sort_array(F.collect_list(place)).alias("places"),
+        )
     )
-    none = drawn.placed.filter("size = 0").withColumn("taken", F.lit(0).cast("long"))
-    return taken.select(*own, "taken").unionByName(none.select(*own, "taken"))
+    none = drawn.placed.filter("size = 0").withColumns({"taken": F.lit(0).cast("long"), "places": F.array().cast(taken.schema["places"].dataType)})
+    return taken.select(*own, "taken", "places").unionByName(none.select(*own, "taken", "places"))
 
 
 def mix(docs: DataFrame, plan: MixPlan = MixPlan(), **names: str) -> DataFrame:
@@ -238,49 +245,40 @@ def mix(docs: DataFrame, plan: MixPlan = MixPlan(), **names: str) -> DataFrame:
     return _taken(draw(docs, plan, **names), plan).select("doc_id", "source", "size", "source_size", "target", "taken")
 
 
-def _rows(docs: DataFrame, drawn: Drawn, plan: MixPlan, text: str, key: str, source: str) -> DataFrame:
-    """(shard, slot, source, doc_id, first_word, text, source_no, start)."""
-    texts = docs.select(*t.row_key(text, key), F.col(source).alias("_td_source"), F.col(text).alias("_td_text"))
-    texts = texts.dropDuplicates(["_td_id", "_td_hash", "_td_source"])
-    placed = drawn.placed.filter("size > 0").withColumnRenamed("_td_hash", "_td_of")
-    met = placed.join(
-        texts,
-        placed["doc_id"].eqNullSafe(texts["_td_id"]) & (placed["_td_of"] == texts["_td_hash"]) & placed["source"].eqNullSafe(texts["_td_source"]),
-    )
-    block, end = plan.block_words, F.col("start") + F.col("size")
-
-    def cut(words: Column) -> Column:
-        def piece(number: Column) -> Column:
-            first = F.greatest(F.col("start"), number * block)
-            many = F.least(end, (number + 1) * block) - first
-            at = (first - F.col("start")).cast("int")
-            return F.struct(number.alias("block"), at.cast("long").alias("first_word"), F.array_join(F.slice(words, at + 1, many.cast("int")), " ").alias("text"))
-
-        return F.transform(F.sequence(F.floor(F.col("start") / block), F.floor((end - 1) / block)), piece)
-
-    parts = met.select("source_no", "source", "doc_id", "start", F.inline(t.let(t.words(F.col("_td_text")), cut)))
-    return parts.join(drawn.slots.hint("merge"), ["source_no", "block"]).select(
-        "shard", "slot", "source", "doc_id", "first_word", "text", "source_no", "start"
-    )
+def _named(key: str, source: str) -> dict[str, Column]:
+    """Columns without NULL, alike for the same id and source: a plain join by them finds rows as they were dealt for deduplication."""
+    columns = {}
+    for name, value in (("id", F.col(key)), ("source", F.col(source))):
+        columns |= {f"_td_{name}_text": F.coalesce(value.cast("string"), F.lit("")), f"_td_{name}_null": value.isNull()}
+    return columns
 
 
 def shard_rows(docs: DataFrame, plan: MixPlan = MixPlan(), text: str = "text", key: str = "doc_id", source: str = "source") -> DataFrame:
     """(shard, slot, source, doc_id, first_word, text): the mix itself; a slot's rows in order of first_word form its block."""
-    drawn = draw(docs, plan, text=text, key=key, source=source)
-    return _rows(docs, drawn, plan, text, key, source).drop("source_no", "start")
+    rows = mixed(docs, plan, text, key, source).select("source", "doc_id", F.inline("rows"))
+    return rows.select("shard", "slot", "source", "doc_id", "first_word", "text")
 
 
 def mixed(docs: DataFrame, plan: MixPlan = MixPlan(), text: str = "text", key: str = "doc_id", source: str = "source") -> DataFrame:
-    """What :func:`mix` gives, and ``rows``: the document's rows of :func:`shard_rows`, (shard, slot, first_word, text), in order."""
-    drawn = draw(docs, plan, text=text, key=key, source=source)
-    own = ["source_no", "start"]
-    rows = _rows(docs, drawn, plan, text, key, source).groupBy(*own).agg(F.sort_array(F.collect_list(F.struct("shard", "slot", "first_word", "text"))).alias("rows"))
-    # A document without words shares its start with the next one.
-    counted = _taken(drawn, plan).withColumn("_td_start", F.when(F.col("size") > 0, F.col("start")))
-    rows = rows.withColumnsRenamed({"source_no": "_td_no", "start": "_td_at"})
-    return counted.join(rows, (F.col("source_no") == F.col("_td_no")) & (F.col("_td_start") == F.col("_td_at")), "left").select(
-        "doc_id", "source", "size", "source_size", "target", "taken", F.coalesce("rows", F.array().cast(rows.schema["rows"].dataType)).alias("rows")
-    )
+    """What :func:`mix` gives, and ``rows``: the document's rows of :func:`shard_rows`, (shard, slot, first_word, text), in order.
+
+    Blocks meet slots as numbers alone. Each text is shuffled once, to the places of its document, and cut there.
+    """
+    with t.Tables() as tables:
+        counted = t.materialise(_taken(draw(docs, plan, text=text, key=key, source=source), plan))
+        tables.keep(counted)
+    same = [*_named(key, source), "_td_hash"]
+    texts = docs.select(*[c.alias(name) for name, c in _named(key, source).items()], t.row_key(text, key)[1], F.col(text).alias("_td_text"))
+
+    def cut(words: Column) -> Column:
+        def row(place: Column) -> Column:
+            piece = F.slice(words, (place["first_word"] + 1).cast("int"), place["n_words"].cast("int"))
+            return F.struct(place["shard"].alias("shard"), place["slot"].alias("slot"), place["first_word"].alias("first_word"), F.array_join(piece, " ").alias("text"))
+
+        return F.transform("places", row)
+
+    met = counted.withColumns(_named("doc_id", "source")).join(texts.dropDuplicates(same), same)
+    return met.select("doc_id", "source", "size", "source_size", "target", "taken", t.let(t.words(F.col("_td_text")), cut).alias("rows"))
 
 
 def op4_mix_sources(spark, sf_dir: str) -> DataFrame:
