@@ -589,3 +589,41 @@ def test_documents_are_marked_by_exact_ids(spark, monkeypatch):
         monkeypatch.setattr(quality_lm, "possible", lambda rows, keys, on: rows)
         found = [(r["_td_id"], r["trusted"]) for r in quality_lm._marked(docs, ids).collect()]
         assert len(found) == 40 and {i for i, own in found if own} == set(range(0, 40, 4))
+
+
+def test_collected_tables_leave_no_shuffle_files(spark):
+    folders = [str(x) for x in spark.sparkContext._jsc.sc().env().blockManager().diskBlockManager().localDirsString()]
+
+    def held():
+        found = [os.path.join(at, x) for folder in folders for at, _, names in os.walk(folder) for x in names]
+        return sum(os.path.getsize(x) for x in found if os.path.basename(x).startswith("shuffle_") and x.endswith(".data"))
+
+    keys = spark.range(50_000).select(F.xxhash64("id").alias("gram"))
+    before = held()
+    with t.Tables():
+        quality_lm._broadcast_filter(keys, "gram").destroy()
+        quality_lm._sorted_columns(keys.groupBy("gram").count(), "gram")
+    assert held() - before < 10_000  # a count leaves some bytes a task
+
+
+def test_a_pass_takes_the_documents_in_shares(spark, monkeypatch):
+    """Fewer n-grams are shuffled at a time, and the sums stay."""
+    docs = spark.range(60).select(F.col("id").alias("doc_id"), F.concat_ws(" ", F.lit("a b"), F.col("id") % 7, F.col("id") % 5, F.lit("c d")).alias("text"))
+    docs = docs.select(*t.row_key(), F.lit("en").alias("_td_lang"), "text")
+    monkeypatch.setattr(quality_lm, "HEAVY", 0)
+    found, sizes, write = [], [], t.materialise
+
+    def noted(df):
+        written = write(df)
+        if df.columns == ["doc", "whole", "less"]:
+            sizes.append(written.count())
+        return written
+
+    monkeypatch.setattr(t, "materialise", noted)
+    for shares in (1, 3, quality_lm.SHARES):
+        monkeypatch.setattr(quality_lm, "SHARES", shares)
+        sizes.clear()
+        model, spelling = quality_lm.fitted(docs, one=None)
+        found.append(sorted(map(tuple, quality_lm.log_probabilities(docs, model, spelling).collect())))
+    assert found[0] == found[1] == found[2] and len(found[0]) == 60
+    assert len(sizes) == quality_lm.SLICES * quality_lm.SHARES and max(sizes) < 60

@@ -6,7 +6,8 @@ continuation counts, discounts, context totals and back-off weights are joins an
 a word's hash, so the model grows with the corpus and stays in the executors. Pairs of every count are kept, those
 seen once too, each with the discount estimated for its count. Trusted texts are counted, and documents
 scored, in ``SLICES`` passes over the words of one part and the pairs that end in them, so that only one part is shuffled at a
-time. What a pair needs of its two words is joined to it just before its pass.
+time. What a pair needs of its two words is joined to it just before its pass. A scoring pass takes the documents in ``SHARES``
+turns, by a hash, so that only one share of their n-grams is shuffled at a time; each document is in one of them.
 
 What an n-gram adds to the log probability over its suffix, and what it weighs as a context, is one number, so a document's
 log probability is its spelling plus that of its words and pairs. Each document's distinct ones are joined to the
@@ -53,7 +54,9 @@ SYMBOLS = 1 << BITS
 UNIT = 1 << 32
 QUANTILE = 0.995
 SLICES = 4  # a power of two
+SHARES = 3
 HEAVY = 1 << 16
+KEYS_PER_BLOCK = 4  # of 64 bits, in a filter that is sent to tasks
 PREFIX = 18  # leading bits of a key that index a broadcast table
 LEVELS = (0.5, 0.75, 0.9, 0.95, 0.97, 0.98, 0.985, 0.99, 0.9925, 0.995, 0.9975, 0.999)
 
@@ -282,7 +285,7 @@ def _trusted_pairs(number: int, spelling):
         for s in stretches(batches):
             sums, _ = _spelled(s, spelling.value)
             first, second, _, word = _pairs(s)
-            mine = second % np.uint64(SLICES) == number
+            mine = second & np.uint64(SLICES - 1) == number
             first, second, word = first[mine], second[mine], word[mine]
             _, at, times = np.unique(pair_hash(first, second), return_index=True, return_counts=True)
             at_word = word[at]
@@ -342,7 +345,7 @@ def word_model(slices: Iterator[DataFrame], one: float | None = None) -> Model:
         return (n - _cut(n, d1)) / whole + F.exp(other)
 
     def units(weight: Column) -> Column:
-        return F.round(F.coalesce(weight, F.lit(0.0)) * UNIT).cast("long")
+        return F.rint(F.coalesce(weight, F.lit(0.0)) * UNIT).cast("long")
 
     both = one.join(context, "word", "full_outer")
     words = both.select(
@@ -376,7 +379,7 @@ def _most_frequent(table: DataFrame, count: str) -> DataFrame:
 
 def _sorted_columns(table: DataFrame, key: str) -> list[np.ndarray]:
     """Sorted keys, where those with each prefix begin, and the other columns."""
-    columns = [c.to_numpy() for c in table.toArrow().combine_chunks().columns]
+    columns = [c.to_numpy() for c in t.collected(table).combine_chunks().columns]
     at = table.columns.index(key)
     order = np.argsort(columns[at].view(np.uint64))
     keys = columns[at][order].view(np.uint64)
@@ -398,17 +401,20 @@ def _found(keys: np.ndarray, first: np.ndarray, wanted: np.ndarray) -> tuple[np.
 
 
 def _broadcast_filter(table: DataFrame, key: str):
-    """A blocked Bloom filter of the hashes ``key``, whose own bits place them, for tasks to apply before they hand rows on; None above the byte limit."""
-    blocks = blocks_for(table.count())
+    """A blocked Bloom filter of the hashes ``key``, whose own bits place them, for tasks to apply before they hand rows on; None above the byte limit.
+
+    Executors keep a file of each, so there are as many blocks as the keys need and not the next power of two.
+    """
+    blocks = max(1, math.ceil(table.count() / KEYS_PER_BLOCK))
     if not broadcastable(blocks):
         return None
     hashed = F.col(key)
-    block = F.shiftrightunsigned(hashed, SLICES.bit_length() - 1).bitwiseAND(F.lit(blocks - 1))
+    block = F.pmod(F.shiftrightunsigned(hashed, SLICES.bit_length()), F.lit(blocks).cast("long"))
     bits = F.lit(0).cast("long")
     for k in range(BITS_PER_KEY):
         place = F.shiftrightunsigned(hashed, 40 + 6 * k).bitwiseAND(F.lit(63)).cast("int")
         bits = bits.bitwiseOR(F.call_function("shiftleft", F.lit(1).cast("long"), place))
-    used = table.groupBy(block.alias("block")).agg(F.bit_or(bits).alias("bits")).toArrow()
+    used = t.collected(table.groupBy(block.alias("block")).agg(F.bit_or(bits).alias("bits")))
     words = np.zeros(blocks, np.uint64)
     words[used.column("block").to_numpy()] = used.column("bits").to_numpy().view(np.uint64)
     return table.sparkSession.sparkContext.broadcast(words)
@@ -416,7 +422,7 @@ def _broadcast_filter(table: DataFrame, key: str):
 
 def _may_hold(words: np.ndarray, gram: np.ndarray) -> np.ndarray:
     """Which grams may be in the filter: all that went in, and few others."""
-    word = words[(gram >> np.uint64(SLICES.bit_length() - 1)) & np.uint64(len(words) - 1)]
+    word = words[(gram >> np.uint64(SLICES.bit_length())) % np.uint64(len(words))]
     there = np.ones(len(gram), bool)
     for k in range(BITS_PER_KEY):
         there &= ((word >> ((gram >> np.uint64(40 + 6 * k)) & np.uint64(63))) & np.uint64(1)).astype(bool)
@@ -468,7 +474,7 @@ def _document_grams(heavy, number: int, known_grams, repeated_grams):
             first, second, item, _ = _pairs(s)
             trusted = s.batch.column("trusted").to_numpy(zero_copy_only=False)[s.rows].astype(bool)
             word, word_item = _words(s, second, item)
-            mine, of_word = np.flatnonzero(second % np.uint64(SLICES) == number), np.flatnonzero(word % np.uint64(SLICES) == number)
+            mine, of_word = np.flatnonzero(second & np.uint64(SLICES - 1) == number), np.flatnonzero(word & np.uint64(SLICES - 1) == number)
             grams, items = [], []
             for gram, own, table in zip((word[of_word], pair_hash(first[mine], second[mine])), (word_item[of_word], item[mine]), known):
                 for which, wanted in ((~trusted[own], known_grams), (trusted[own], repeated_grams)):
@@ -509,7 +515,8 @@ def log_probabilities(docs: DataFrame, model: Model, spelling) -> DataFrame:
 
     def weight(c: Column) -> Column:
         share = F.greatest(c - _cut(c, model.discounts), F.lit(0.0)) / F.col("total") / F.col("given")
-        return F.round(F.log1p(share) * UNIT).cast("long") * times
+        # As _pair_weight has it; round() goes through decimals.
+        return F.rint(F.log1p(share) * UNIT).cast("long") * times
 
     entries = model.words.withColumnRenamed("word", "gram").drop("times")
     whole = F.coalesce(times * F.col("whole"), weight(F.col("c")))
@@ -520,10 +527,16 @@ def log_probabilities(docs: DataFrame, model: Model, spelling) -> DataFrame:
         table = entries.filter(F.col("gram").bitwiseAND(SLICES - 1) == number).unionByName(own_pairs.withColumnRenamed("pair", "gram"), allowMissingColumns=True)
         # As many rows as the corpus has words, and a model of their order: only its filters are broadcast, by size.
         filters = [_broadcast_filter(rows, "gram") for rows in (table, table.filter("c IS NULL OR c > 1"))]
-        grams = texts.mapInArrow(_document_grams(heavy, number, *filters), entry)
-        met = grams.join(table.hint("shuffle_hash"), "gram")
-        parts.append(t.materialise(met.groupBy("doc").agg(F.sum(whole).alias("whole"), F.sum(less).alias("less"))))
+        shares = []
+        for share in range(SHARES):
+            grams = texts.filter(F.pmod(F.col("doc"), F.lit(SHARES)) == share).mapInArrow(_document_grams(heavy, number, *filters), entry)
+            met = grams.join(table.hint("shuffle_hash"), "gram")
+            shares.append(t.materialise(met.groupBy("doc").agg(F.sum(whole).alias("whole"), F.sum(less).alias("less"))))
+        parts.append(_stacked(shares))
         t.drop(own_pairs)
+        for sent in filters:
+            if sent is not None:
+                sent.destroy()  # a file on every executor
     joined = parts[0]
     for part in parts[1:]:
         joined = joined.join(part.select("doc", F.col("whole").alias("more"), F.col("less").alias("more_less")), "doc", "left")
@@ -532,7 +545,9 @@ def log_probabilities(docs: DataFrame, model: Model, spelling) -> DataFrame:
     one = [F.expr(f"{c} div greatest(copies, 1)").alias(c) for c in ("n_symbols", "n_words")]
     found = joined.withColumns({c: F.col(c) + spelt for c in ("whole", "less")})
     found = found.select("_td_id", "_td_hash", "_td_lang", "copies", *one, *[(F.col(c) / F.greatest("copies", F.lit(1))).alias(c) for c in ("whole", "less")])
-    return t.materialise(found)
+    found = t.materialise(found)
+    heavy.destroy()
+    return found
 
 
 def fitted(texts: DataFrame, one: float | None = 1.0) -> tuple[Model, object]:
