@@ -8,6 +8,7 @@ import re
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -627,3 +628,28 @@ def test_a_pass_takes_the_documents_in_shares(spark, monkeypatch):
         found.append(sorted(map(tuple, quality_lm.log_probabilities(docs, model, spelling).collect())))
     assert found[0] == found[1] == found[2] and len(found[0]) == 60
     assert len(sizes) == quality_lm.SLICES * quality_lm.SHARES and max(sizes) < 60
+
+
+def test_windows_are_made_only_around_blocks_of_the_benchmark(spark):
+    """Whatever the alignment: each window that a block allows once, every hit among them, and none in clean text."""
+    words = [f"w{i % 23}x{i % 7}" for i in range(60)]
+    for size in (1, 2, 3, 9, 10):
+        item = [f"item{k}" for k in range(size)]
+        texts = [" ".join(words[:n] + item + words[n : n + 9]) for n in range(12)] + [" ".join(words), "Item0", ""]
+        docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+        cut = docs.select(*t.row_key(), decontaminate.tokens(F.col("text")).alias("w"))
+        tested = spark.createDataFrame([(item,)], "w array<string>")
+        made = [(r["_td_id"], r["start"]) for r in decontaminate._near_blocks(cut, tested, size).collect()]
+        block = (size + 1) // 2
+        assert len(set(made)) == len(made) <= 12 * 2 * block + (size == 1)
+        assert {(n, n) for n in range(12)} <= set(made) and not any(i == 12 for i, _ in made)
+        bench = spark.createDataFrame([(1, " ".join(item).upper())], "item_id long, text string")
+        found = {(r["_td_id"], r["start"]) for r in decontaminate.hits(docs, bench, window=size).collect()}
+        assert found == {(n, n) for n in range(12)} | ({(13, 0)} if size == 1 else set())
+
+
+def test_only_ascii_letters_are_folded(spark):
+    texts = ["AbZ [C] \x7f", "Straße ÉCOLE İI K", "", None]
+    docs = spark.createDataFrame([(x,) for x in texts], "text string")
+    found = [r[0] for r in docs.select(decontaminate.tokens(F.col("text"))).collect()]
+    assert found == [["abz", "c"], ["straße", "École", "İi", "k"], [], []]

@@ -1,10 +1,12 @@
 """Benchmark decontamination: a broadcast hash set of test n-grams against every training window.
 
-A document is normalised, cut into words and hashed in windows of ``window`` words inside one
-projection; the windows stream through a broadcast hash join with the benchmark's, and the words
+A document is normalised, cut into words and hashed in blocks of half a window, one after another, inside one
+projection. Wherever a window starts, one whole block lies in its first words, so the blocks stream through a
+broadcast semi join with the benchmark's runs of as many words, and windows are made, each once, only around the
+blocks that pass. These stream through a broadcast hash join with the benchmark's, and the words
 are compared there, so a hash collision is no hit. Only hits are shuffled. The set is broadcast
 when a count of it stays within ``BROADCAST_WINDOWS``; a larger set is joined by shuffle with the
-same result, the windows' words travelling along.
+same result, every window's words travelling along.
 
 Defined cases: a NULL or empty text has no words and no hits. An item without words has no window.
 Repeated rows each get their own result; rows with the same id and text share it.
@@ -21,19 +23,27 @@ WINDOW = 10
 BROADCAST_WINDOWS = 1_000_000
 # Fixed value: what separates the words of the contract after folding A-Z.
 SEPARATOR = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-TOKEN = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+
+
+def _folded(text: Column) -> Column:
+    """A-Z as a-z. A text of ASCII alone, with as many bytes as characters, is faster with ``lower``, which does the same there."""
+    return F.when(F.octet_length(text) == F.char_length(text), F.lower(text)).otherwise(t.ascii_lower(text))
 
 
 def tokens(text: Column) -> Column:
-    return F.array_remove(F.split(t.ascii_lower(F.coalesce(text, F.lit(""))), SEPARATOR), "")
+    return F.array_remove(F.split(_folded(F.coalesce(text, F.lit(""))), SEPARATOR), "")
+
 
+def _hash(w: Column, start: Column, size: int) -> Column:
+    return F.xxhash64(*[F.get(w, start + k) for k in range(size)])
 
-def _hashes(word_list: Column, size: int) -> Column:
-    """The hash of every run of ``size`` words; empty where there are fewer."""
+
+def _hashes(word_list: Column, size: int, step: int = 1) -> Column:
+    """The hash of the run of ``size`` words at every ``step``-th word; empty where there are fewer."""
 
     def windows(w: Column) -> Column:
-        starts = F.sequence(F.lit(0), F.size(w) - size)
-        return F.transform(starts, lambda i: F.xxhash64(*[F.get(w, i + k) for k in range(size)]))
+        starts = F.sequence(F.lit(0), F.size(w) - size, F.lit(step))
+        return F.transform(starts, lambda i: _hash(w, i, size))
 
     return F.when(F.size(word_list) < size, F.array().cast("array<bigint>")).otherwise(t.let(word_list, windows))
 
@@ -52,6 +62,21 @@ def benchmark_windows(benchmark: DataFrame, window: int = WINDOW, text: str = "t
     return runs.groupBy("size", "words").agg(F.collect_set("item").alias("items"))
 
 
+def _near_blocks(cut: DataFrame, tested: DataFrame, size: int) -> DataFrame:
+    """(_td_id, _td_hash, w, start): each start of ``size`` words of ``cut`` once, where the first whole block may be one of ``tested``.
+
+    Blocks of half the size, rounded up, lie end to end, so the first that begins in a window ends in it. Its offset there is less than its own size.
+    """
+    block = (size + 1) // 2
+    runs = F.transform(F.sequence(F.lit(0), F.lit(block - 1)), lambda i: _hash(F.col("w"), i, block))
+    known = tested.select(F.explode(runs).alias("part")).distinct()
+    blocks = cut.select("_td_id", "_td_hash", "w", F.posexplode(_hashes(F.col("w"), block, block)).alias("number", "part"))
+    met = blocks.join(F.broadcast(known), "part", "left_semi")
+    first = F.greatest(F.col("number") * block - (block - 1), F.lit(0))
+    last = F.least(F.col("number") * block, F.size("w") - size)
+    return met.select("_td_id", "_td_hash", "w", F.explode(F.when(first <= last, F.sequence(first, last))).alias("start"))
+
+
 def hits(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, text: str = "text", key: str = "doc_id") -> DataFrame:
     """(_td_id, _td_hash, start, size, items): every occurrence of a test window in a document."""
     tests = t.materialise(benchmark_windows(benchmark, window, text))
@@ -62,14 +87,14 @@ def hits(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, text: str
     found = None
     for size in sorted(sizes):
         split = F.split("words", " ")
-        own = tests.filter(F.col("size") == size).select(
-            F.xxhash64(*[F.get(split, F.lit(k)) for k in range(size)]).alias("h"), F.col("words").alias("test"), "items"
-        )
-        every = cut.select("_td_id", "_td_hash", "w", F.posexplode(_hashes(F.col("w"), size)).alias("start", "h"))
+        tested = tests.filter(F.col("size") == size)
+        own = tested.select(_hash(split, F.lit(0), size).alias("h"), F.col("words").alias("test"), "items")
         here = F.array_join(F.slice("w", F.col("start") + 1, size), " ")
         if small:
+            every = _near_blocks(cut, tested.select(split.alias("w")), size).withColumn("h", _hash(F.col("w"), F.col("start"), size))
             met = every.join(F.broadcast(own), (every["h"] == own["h"]) & (here == own["test"]))
         else:
+            every = cut.select("_td_id", "_td_hash", "w", F.posexplode(_hashes(F.col("w"), size)).alias("start", "h"))
             every = every.select("_td_id", "_td_hash", "start", "h", here.alias("here"))
             met = every.join(own, (every["h"] == own["h"]) & (every["here"] == own["test"]))
         met = met.select("_td_id", "_td_hash", "start", F.lit(size).alias("size"), "items")
@@ -101,7 +126,7 @@ def hit_words(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, text:
 
 def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, text: str = "text", key: str = "doc_id") -> DataFrame:
     """(doc_id, n_words, n_hit, n_items, items, contaminated), a row for each of ``docs``."""
-    own = docs.select(*t.row_key(text, key), F.regexp_count(t.ascii_lower(F.coalesce(F.col(text), F.lit(""))), F.lit(TOKEN)).cast("long").alias("n_words"))
+    own = docs.select(*t.row_key(text, key), F.size(tokens(F.col(text))).cast("long").alias("n_words"))
     found = hit_words(docs, benchmark, window, text, key)
     joined = own.join(found, t.same_key(own, found), "left")
     n_hit = F.coalesce(F.size("positions"), F.lit(0)).cast("long")
