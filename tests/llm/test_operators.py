@@ -653,3 +653,29 @@ def test_only_ascii_letters_are_folded(spark):
     docs = spark.createDataFrame([(x,) for x in texts], "text string")
     found = [r[0] for r in docs.select(decontaminate.tokens(F.col("text"))).collect()]
     assert found == [["abz", "c"], ["straße", "École", "İi", "k"], [], []]
+
+
+def test_short_texts_are_gathered_in_bounded_stretches():
+    texts = pa.array(["some words " * 4_000] * 60)
+    batch = pa.RecordBatch.from_arrays([texts], names=["text"])
+    made = list(quality_lm.stretches(iter([batch])))
+    assert sum(len(s.rows) for s in made) == 60 and max(len(s.data) for s in made) < 600_000
+
+
+def test_scoring_hands_small_batches_on_and_lets_go_between_passes(spark, monkeypatch):
+    texts = ["a b c a b", "a b d", "b c x", "a b c a d d", "the c", "a b c"]
+    docs = spark.createDataFrame([(i, x, "en") for i, x in enumerate(texts)], "doc_id long, text string, lang string")
+    before, scored, let_go, rows, calls = spark.conf.get(t.ARROW_ROWS), quality_lm.log_probabilities, t.let_go, [], []
+
+    def looked_at(docs, model, spelling):
+        rows.append(int(spark.conf.get(t.ARROW_ROWS)))
+        return scored(docs, model, spelling)
+
+    monkeypatch.setattr(quality_lm, "log_probabilities", looked_at)
+    monkeypatch.setattr(t, "let_go", lambda s: (calls.append(1), let_go(s)))
+    assert quality_lm.quality_scores(docs, docs.select("doc_id")).count() == 6
+    assert rows == [quality_lm.ARROW_ROWS] and spark.conf.get(t.ARROW_ROWS) == before
+    assert len(calls) == 2 * quality_lm.SLICES
+    with t.small_batches(spark, 3):
+        sizes = spark.range(0, 20, 1, 1).mapInArrow(lambda batches: (pa.RecordBatch.from_pydict({"n": [b.num_rows]}) for b in batches), "n long")
+        assert max(r.n for r in sizes.collect()) == 3

@@ -6,7 +6,7 @@ continuation counts, discounts, context totals and back-off weights are joins an
 a word's hash, so the model grows with the corpus and stays in the executors. Pairs of every count are kept, those
 seen once too, each with the discount estimated for its count. Trusted texts are counted, and documents
 scored, in ``SLICES`` passes over the words of one part and the pairs that end in them, so that only one part is shuffled at a
-time. What a pair needs of its two words is joined to it just before its pass. A scoring pass takes the documents in ``SHARES``
+time. What a pair needs of its two words is joined to it, and its weights are worked out, just before its pass. A scoring pass takes the documents in ``SHARES``
 turns, by a hash, so that only one share of their n-grams is shuffled at a time; each document is in one of them.
 
 What an n-gram adds to the log probability over its suffix, and what it weighs as a context, is one number, so a document's
@@ -54,7 +54,9 @@ SYMBOLS = 1 << BITS
 UNIT = 1 << 32
 QUANTILE = 0.995
 SLICES = 4  # a power of two
-SHARES = 3
+SHARES = 2
+GATHERED = 1 << 19  # bytes of short texts that are worked on at once
+ARROW_ROWS = 1_000  # texts that are handed to Python at once
 HEAVY = 1 << 16
 KEYS_PER_BLOCK = 4  # of 64 bits, in a filter that is sent to tasks
 PREFIX = 18  # leading bits of a key that index a broadcast table
@@ -135,7 +137,7 @@ def stretches(batches: Iterator[pa.RecordBatch]) -> Iterator[Stretch]:
                 at, before = end, made.word[-1] if len(made.word) else before
             items.append((i, data[at:], before, at == 0, True))
             held += len(data) - at
-            if held >= BUFFER:
+            if held >= min(GATHERED, BUFFER):
                 yield flush(batch, items)
                 items, held = [], 0
         if items:
@@ -331,6 +333,7 @@ def word_model(slices: Iterator[DataFrame], one: float | None = None) -> Model:
         contexts.append(t.materialise(part.groupBy("w1").agg(F.sum("c").alias("total"), *by_count)))
         counts.append(part.agg(*_counts_of_counts("c")).first())
         t.drop(part)
+        t.let_go(part.sparkSession)
     d = _discounts({f"n{k}": sum(row[f"n{k}"] or 0 for row in counts) for k in (1, 2, 3, 4)}, one)
     summed = _stacked(contexts).groupBy("w1").agg(*[F.sum(c).alias(c) for c in ("total", "s1", "s2", "s3")])
     backoff = (F.col("s1") * d[0] + F.col("s2") * d[1] + F.col("s3") * d[2]) / F.col("total")
@@ -514,17 +517,19 @@ def log_probabilities(docs: DataFrame, model: Model, spelling) -> DataFrame:
     times = F.col("times")
 
     def weight(c: Column) -> Column:
-        share = F.greatest(c - _cut(c, model.discounts), F.lit(0.0)) / F.col("total") / F.col("given")
+        share = F.greatest(c - _cut(c, model.discounts), F.lit(0.0)) / F.col("base")
         # As _pair_weight has it; round() goes through decimals.
-        return F.rint(F.log1p(share) * UNIT).cast("long") * times
+        return F.rint(F.log1p(share) * UNIT).cast("long")
 
     entries = model.words.withColumnRenamed("word", "gram").drop("times")
-    whole = F.coalesce(times * F.col("whole"), weight(F.col("c")))
-    less = F.coalesce(times * F.col("less"), weight(F.col("c") - times))
+    # A pair's weights are worked out once, with all of its count and with one less; only a document that repeats it needs others.
+    whole = times * F.col("whole")
+    less = times * F.when(F.col("c").isNull() | (times == 1), F.col("less")).otherwise(weight(F.col("c") - times))
     for number, counted in enumerate(model.parts):
-        own_pairs = t.materialise(model.known(counted))
+        based = model.known(counted).select(F.col("pair").alias("gram"), "c", (F.col("total") * F.col("given")).alias("base"))
+        own_pairs = t.materialise(based.select("*", weight(F.col("c")).alias("whole"), weight(F.col("c") - 1).alias("less")))
         t.drop(counted)
-        table = entries.filter(F.col("gram").bitwiseAND(SLICES - 1) == number).unionByName(own_pairs.withColumnRenamed("pair", "gram"), allowMissingColumns=True)
+        table = entries.filter(F.col("gram").bitwiseAND(SLICES - 1) == number).unionByName(own_pairs, allowMissingColumns=True)
         # As many rows as the corpus has words, and a model of their order: only its filters are broadcast, by size.
         filters = [_broadcast_filter(rows, "gram") for rows in (table, table.filter("c IS NULL OR c > 1"))]
         shares = []
@@ -537,6 +542,7 @@ def log_probabilities(docs: DataFrame, model: Model, spelling) -> DataFrame:
         for sent in filters:
             if sent is not None:
                 sent.destroy()  # a file on every executor
+        t.let_go(docs.sparkSession)
     joined = parts[0]
     for part in parts[1:]:
         joined = joined.join(part.select("doc", F.col("whole").alias("more"), F.col("less").alias("more_less")), "doc", "left")
@@ -613,7 +619,7 @@ def _marked(docs: DataFrame, ids: DataFrame) -> DataFrame:
 def quality_scores(docs: DataFrame, trusted: DataFrame, quantile: float = QUANTILE, text: str = "text", key: str = "doc_id", lang: str = "lang") -> DataFrame:
     """(_td_id, _td_hash, lang, n_symbols, perplexity, threshold, kept), a row for each of ``docs``; ``trusted`` holds the ids of trusted documents."""
     keyed = docs.select(*t.row_key(text, key), F.col(lang).alias("_td_lang"), F.col(text).alias("text"))
-    with t.Tables() as tables:
+    with t.Tables() as tables, t.small_batches(docs.sparkSession, ARROW_ROWS):
         ids = t.materialise(trusted.select(F.col(key).alias("_td_key_id")).filter("_td_key_id IS NOT NULL").distinct())
         named = docs.select(F.col(key).alias("_td_key_id"), F.col(text).alias("text"))
         texts = possible(named, ids, ["_td_key_id"]).join(ids, "_td_key_id").select("text").filter(F.col("text").rlike(t.WORD))
