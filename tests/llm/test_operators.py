@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from tidemark.llm import (
+    bloom,
     decontaminate,
     jaccard_join,
     license_scan,
@@ -171,6 +172,19 @@ def test_short_lines_as_brute_force(spark):
     assert found == brute_lines(rows)
 
 
+def test_keys_of_lines_go_without_their_texts(spark, monkeypatch):
+    """A line has a dozen keys: with the text in each, a join by shuffle takes many times the input on disk."""
+    body = "a line number {} of some length, with words enough for two edits"
+    texts = {k: "\n".join([body.format(k * 37), f"{k} short one", body.format(k * 37 + 1000).replace("some", "sme")]) for k in range(20)}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(3)
+    keyed = line_dedup._keyed(line_dedup.occurrences(docs), line_dedup.EDITS)
+    assert {kind for _, kind in keyed.dtypes} == {"bigint", "boolean"}
+    rows = [(doc, n, line) for doc, text in texts.items() for n, line in enumerate(text.split("\n"))]
+    monkeypatch.setattr(bloom, "BROADCAST_BYTES", 0)  # as with too many shared keys for a broadcast filter
+    found = {r["_td_id"]: set(r["gone"]) for r in line_dedup.removed_lines(docs).collect() if r["gone"]}
+    assert found == brute_lines(rows) and found
+
+
 def test_one_edit_is_a_duplicate_line(tables):
     kept = {r.doc_id: r.text for r in line_dedup.line_dedup(tables).collect()}
     assert "first line" in kept[1] and 2 not in kept and 3 not in kept

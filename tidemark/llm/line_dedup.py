@@ -6,8 +6,8 @@ holds one segment unchanged, at a place that the multi-match-aware bounds narrow
 each line probes, for every length it may match, the substrings that could be a segment of a line of
 that length; a segment of its own is a probe as well, of its own length. Equal keys (segment
 number, length, substring) make a bucket. The first pass aggregates keys, map side first, to find
-buckets with two lines or more; the second pass keeps only lines in those, with their text. There a
-line is checked with Spark's banded edit distance, first against the earliest line of its bucket,
+buckets with two lines or more; the second pass keeps only lines in those, by number, and a third
+brings their texts. There a line is checked with Spark's banded edit distance, first against the earliest line of its bucket,
 and where that fails against every earlier one. The join emits only true matches.
 
 A line is a duplicate if an equal line, or one within that many edits of it, stands earlier: in a
@@ -27,12 +27,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm import text as t
+from tidemark.llm.bloom import possible
 
 Edits = tuple[tuple[int, int], ...]
 # (characters, edits): a pair whose shorter line has so many characters, or more, may differ by so many edits.
 EDITS: Edits = ((12, 1), (24, 2))
-# Up to so many buckets, or lines in them, a hash join by broadcast; beyond, by shuffle.
-BROADCAST_ROWS = 500_000
 
 
 def occurrences(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
@@ -96,17 +95,14 @@ def _keyed(lines: DataFrame, edits: Edits) -> DataFrame:
         F.expr("shorter = 0 AND shift = 0").alias("own"),
         "h1",
         "h2",
-        "line",
     )
 
 
-def _join_small(left: DataFrame, right: DataFrame, on: list[str]) -> DataFrame:
-    """``right`` is a written table: its count decides whether it may be broadcast."""
-    return left.join(F.broadcast(right) if right.count() <= BROADCAST_ROWS else right, on)
-
+def near_duplicates(lines: DataFrame, edits: Edits = EDITS) -> DataFrame:
+    """(h1, h2) of the lines that have an earlier line within the edits that the shorter of the two allows.
 
-def near_duplicates(lines: DataFrame, first: DataFrame, edits: Edits = EDITS) -> DataFrame:
-    """(h1, h2) of the lines that have an earlier line within the edits that the shorter of the two allows."""
+    A line has a dozen keys, so its text is not shuffled with them: it joins the members of a bucket by its hashes.
+    """
     keyed = _keyed(lines, edits)
     shared = (
         keyed.groupBy("key")
@@ -114,10 +110,12 @@ def near_duplicates(lines: DataFrame, first: DataFrame, edits: Edits = EDITS) ->
         .filter("own AND low <> high")
         .select("key")
     )
-    members = _join_small(keyed, t.materialise(shared), ["key"])
-    members = t.materialise(members.groupBy("key", "h1", "h2", "line").agg(F.max("own").alias("own")))
-    ids = members.select("h1", "h2").distinct()
-    members = t.materialise(members.join(first.join(ids, ["h1", "h2"]), ["h1", "h2"]))
+    shared = t.materialise(shared)
+    members = possible(keyed, shared, ["key"]).groupBy("key", "h1", "h2").agg(F.max("own").alias("own"))
+    members = t.materialise(members.join(shared, "key"))
+    ids = t.materialise(members.select("h1", "h2").distinct())
+    texts = possible(lines, ids, ["h1", "h2"]).groupBy("h1", "h2", "line").agg(F.min("place").alias("place"))
+    members = t.materialise(members.join(texts, ["h1", "h2"]))
     in_bucket = Window.partitionBy("key").orderBy("place", "h1", "h2")
     distance = F.levenshtein("line", "other", max(many for _, many in edits))
     close = (distance >= 0) & (distance <= _allowed(edits, F.least(F.length("line"), F.length("other"))))
@@ -139,7 +137,7 @@ def removed_lines(docs: DataFrame, edits: Edits = EDITS, text: str = "text", key
     """(_td_id, _td_hash, n_lines, gone): lines with words in each document, and the numbers of the duplicates."""
     found = occurrences(docs, text, key)
     first = t.materialise(found.groupBy("h1", "h2").agg(F.min("place").alias("place")))
-    near = near_duplicates(found, first, edits).withColumn("near", F.lit(True))
+    near = near_duplicates(found, edits).withColumn("near", F.lit(True))
     verdicts = first.join(near, ["h1", "h2"], "left").withColumnRenamed("place", "first")
     again = (F.col("place") > F.col("first")) | F.coalesce("near", F.lit(False))
     return (
