@@ -185,6 +185,12 @@ def test_keys_of_lines_go_without_their_texts(spark, monkeypatch):
     assert found == brute_lines(rows) and found
 
 
+def test_texts_are_shuffled_after_the_search_for_lines(tables):
+    """Only the documents and the numbers of their duplicates are shuffled last: the search has left no shuffle files."""
+    plan = line_dedup.line_dedup(tables)._jdf.queryExecution().optimizedPlan().toString()
+    assert "_td_gone" in plan and "h1" not in plan and "Aggregate" not in plan
+
+
 def test_one_edit_is_a_duplicate_line(tables):
     kept = {r.doc_id: r.text for r in line_dedup.line_dedup(tables).collect()}
     assert "first line" in kept[1] and 2 not in kept and 3 not in kept

@@ -152,10 +152,13 @@ def removed_lines(docs: DataFrame, edits: Edits = EDITS, text: str = "text", key
 
 
 def line_dedup(docs: DataFrame, edits: Edits = EDITS, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """``docs`` without duplicate lines; a document that loses every line with a word goes."""
+    """``docs`` without duplicate lines; a document that loses every line with a word goes.
+
+    The lines to cut are a table of their own, so no shuffle files of the search are left when whole texts are shuffled.
+    """
     keyed = docs.withColumns(dict(zip(("_td_id", "_td_hash"), t.row_key(text, key))))
     gone = removed_lines(docs, edits, text, key).filter(F.size("gone") > 0)
-    gone = gone.withColumnsRenamed({"gone": "_td_gone", "n_lines": "_td_lines"})
+    gone = t.materialise(gone.withColumnsRenamed({"gone": "_td_gone", "n_lines": "_td_lines"}))
     joined = keyed.join(gone, t.same_key(keyed, gone), "left").filter("_td_gone IS NULL OR size(_td_gone) < _td_lines")
 
     def rest(line_list: Column) -> Column:
